@@ -166,10 +166,11 @@ def augment_swap(c, key, seed: int = 42) -> Column:
     n = F.size(words)
     u = hash_uniform(F.concat(F.lit(f"{seed}:"), _col(key).cast("string")))
     idx = F.floor(u * (n - 1)).cast("int")  # 0-based, in [0, n-2]
-    swapped = F.transform(
-        words,
-        lambda w, i: F.when(i == idx, F.element_at(words, idx + 2))
-        .when(i == idx + 1, F.element_at(words, idx + 1))
-        .otherwise(w),
+    # Slices instead of a per-element lookup: referencing ``words`` inside a
+    # lambda would re-split the text for every element.
+    swapped = F.concat(
+        F.slice(words, F.lit(1), idx),
+        F.array(F.element_at(words, idx + 2), F.element_at(words, idx + 1)),
+        F.slice(words, idx + 3, F.greatest(n - idx - 2, F.lit(0))),
     )
     return F.when(n > 1, F.array_join(swapped, " ")).otherwise(F.array_join(words, " "))
