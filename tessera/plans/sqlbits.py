@@ -105,7 +105,7 @@ def char_ngram_rows(src: str, text_expr: str, lo: int = 3, hi: int = 5) -> str:
 
 def grid_value(i: str) -> str:
     step = f"((({GRID_STOP})::DOUBLE - ({GRID_START})::DOUBLE) / {GRID_POINTS - 1})"
-    return f"(CASE WHEN {i} = {GRID_POINTS - 1} THEN ({GRID_STOP})::DOUBLE ELSE ({GRID_START})::DOUBLE + {i} * {step} END)"
+    return f"(CASE WHEN ({i}) = {GRID_POINTS - 1} THEN ({GRID_STOP})::DOUBLE ELSE ({GRID_START})::DOUBLE + ({i}) * {step} END)"
 
 
 def sigmoid(expr: str) -> str:
