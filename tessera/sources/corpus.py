@@ -71,14 +71,14 @@ def load_split_csvs(spark: SparkSession, root: str, splits: Sequence[str] = SPLI
 
     A missing file raises ``AnalysisException`` (Spark resolves paths eagerly).
     Texts may hold newlines and quotes, hence multiLine and the quote escape.
-    ``doc_id`` is the position inside the split file order is not kept by
-    Spark, so ids come from a hash of (split, text, label) plus a tiebreak.
+    ``doc_id`` is a generated unique id (Spark keeps no file position).
     """
     frames = []
     for split in splits:
-        df = (spark.read.schema(CORPUS_SCHEMA)
-              .option("header", True).option("multiLine", True)
-              .option("escape", '"').option("enforceSchema", False)
+        # Columns by header name (all strings, no inference pass); extra
+        # columns are dropped by the projection below.
+        df = (spark.read.option("header", True).option("multiLine", True)
+              .option("escape", '"')
               .csv(f"{root.rstrip('/')}/{split}.csv"))
         frames.append(df.select(clean_text("text").alias("text"),
                                 F.col("label").cast("int").alias("label"),
