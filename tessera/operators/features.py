@@ -115,6 +115,35 @@ def _index_by_term(stats: DataFrame) -> DataFrame:
     return spark.createDataFrame(rdd, schema)
 
 
+def materialized_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
+                        key: str = "doc_id") -> DataFrame:
+    """Term counts computed once and kept (memory, spilling to disk).
+
+    The vocabulary fit and the transform both read the counts; without this
+    the explode and per-document count would run twice.  The cached plan
+    keeps the ``doc_id`` hash partitioning, so the transform's per-document
+    window needs no shuffle; a lost block is recomputed from lineage.
+    (A reliable checkpoint was measured slower here: the write costs more
+    than the second explode it saves.)
+    """
+    from pyspark import StorageLevel
+    return term_counts(docs, spec, text_col, key).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fit_transform(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text", key: str = "doc_id",
+                  fit_on: DataFrame | None = None, idx_offset: int = 0):
+    """(vocab, long TF-IDF of every doc).  ``fit_on`` (keys only) restricts
+    the vocabulary fit to a subset, e.g. the train split."""
+    counts = materialized_counts(docs, spec, text_col, key)
+    if fit_on is None:
+        fit_counts, n_fit = counts, docs.count()
+    else:
+        fit_counts = counts.join(fit_on.select(key), key, "left_semi")
+        n_fit = fit_on.count()
+    vocab = fit_vocab(fit_counts, n_fit, spec)
+    return vocab, tfidf_long(counts, vocab, spec, key, idx_offset)
+
+
 def vectorizer_fit(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text") -> DataFrame:
     """Fit a vocabulary on ``docs`` (the reference fits on the train split)."""
     counts = term_counts(docs, spec, text_col)

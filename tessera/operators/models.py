@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.numeric import hash32, sigmoid
 from tessera.operators import features as fe
+from tessera.session import materialize
 
 
 @dataclass(frozen=True)
@@ -53,15 +54,13 @@ def build_features(corpus: DataFrame, specs: Sequence[fe.VectorizerSpec], text_c
                    fit_split: str = "train") -> FeatureSet:
     """Fit each vectorizer on the ``fit_split`` rows and transform every row;
     blocks are placed side by side (each L2-normalised on its own)."""
-    fit_docs = corpus.where(F.col("split") == fit_split)
-    n_fit = fit_docs.count()
+    fit_docs = corpus.where(F.col("split") == fit_split).select("doc_id")
     parts, vocabs, offset = [], [], 0
     for spec in specs:
-        all_counts = fe.term_counts(corpus, spec, text_col)
-        fit_counts = all_counts.join(fit_docs.select("doc_id"), "doc_id", "left_semi")
-        vocab = fe.fit_vocab(fit_counts, n_fit, spec).cache()
+        vocab, long = fe.fit_transform(corpus, spec, text_col, fit_on=fit_docs, idx_offset=offset)
+        vocab = vocab.cache()  # at most max_features rows
         size = vocab.count()
-        parts.append(fe.tfidf_long(all_counts, vocab, spec, idx_offset=offset))
+        parts.append(long)
         vocabs.append((spec, vocab, offset))
         offset += size
     long = parts[0]
@@ -144,12 +143,18 @@ def score(model, rows: DataFrame, keep: Sequence[str] = ("doc_id", "split", "lab
 
 
 def train_and_score(fs: FeatureSet, spec: ModelSpec, fit_split: str = "train"):
-    """Fit on the ``fit_split`` rows and score every row of the feature set."""
+    """Fit on the ``fit_split`` rows and score every row of the feature set.
+
+    The design frames are cached for the fit's iterations and the scoring
+    pass (one row per document), then released.
+    """
     penalised = spec.intercept == "penalised"
-    train_rows = design(fs, bias=penalised, flip=penalised).where(F.col("split") == fit_split)
+    train_rows = design(fs, bias=penalised, flip=penalised).where(F.col("split") == fit_split).cache()
     model = fit(train_rows, spec)
     plain = design(fs, bias=penalised, flip=False)
-    return model, score(model, plain)
+    scored = materialize(score(model, plain))
+    train_rows.unpersist()
+    return model, scored
 
 
 def coefficient_table(spark: SparkSession, model, fs: FeatureSet) -> DataFrame:

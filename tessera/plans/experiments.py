@@ -103,7 +103,7 @@ def run_grid(corpus: DataFrame, experiments: Sequence[Experiment], text_col: str
             folds = mo.cross_validate(fs, exp.model)
             cv_rows.append(folds.withColumn("experiment", F.lit(exp.name)))
         model, scored = mo.train_and_score(fs, exp.model)
-        preds.append(materialize(scored.withColumn("experiment", F.lit(exp.name))))
+        preds.append(scored.withColumn("experiment", F.lit(exp.name)))  # already checkpointed
         models[exp.name], feats[exp.name] = model, fs
     allp = preds[0]
     for p in preds[1:]:

@@ -118,10 +118,8 @@ def q_vocab_char(spark, sf_dir):
 
 
 def _tfidf_query(spark, sf_dir, spec):
-    d = _norm_docs(spark, sf_dir)
-    counts = fe.term_counts(d, spec)
-    vocab = fe.fit_vocab(counts, d.count(), spec)
-    return fe.tfidf_long(counts, vocab, spec).select("doc_id", "idx", F.round("value", R).alias("value"))
+    _, long = fe.fit_transform(_norm_docs(spark, sf_dir), spec)
+    return long.select("doc_id", "idx", F.round("value", R).alias("value"))
 
 
 def q_tfidf_word(spark, sf_dir):
@@ -138,15 +136,10 @@ COMBINED_CHAR = fe.VectorizerSpec("char", 3, 5, 3, 3000)
 
 def q_combined_features(spark, sf_dir):
     d = _norm_docs(spark, sf_dir)
-    n = d.count()
-    wc = fe.term_counts(d, COMBINED_WORD)
-    cc = fe.term_counts(d, COMBINED_CHAR)
-    wv = fe.fit_vocab(wc, n, COMBINED_WORD)
-    cv = fe.fit_vocab(cc, n, COMBINED_CHAR)
+    wv, wl = fe.fit_transform(d, COMBINED_WORD)
     word_size = wv.count()
-    out = fe.tfidf_long(wc, wv, COMBINED_WORD).unionByName(
-        fe.tfidf_long(cc, cv, COMBINED_CHAR, idx_offset=word_size))
-    return out.select("doc_id", "idx", F.round("value", R).alias("value"))
+    _, cl = fe.fit_transform(d, COMBINED_CHAR, idx_offset=word_size)
+    return wl.unionByName(cl).select("doc_id", "idx", F.round("value", R).alias("value"))
 
 
 # ------------------------------------------------------------- oracle SQL ---
