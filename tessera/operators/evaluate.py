@@ -34,8 +34,11 @@ def confusion_cells(pred: DataFrame, keys: Sequence[str], label: str = "label",
     """(keys..., true_label, pred_label, n) over the group's class grid,
     missing cells 0.  Rows are true labels, columns predicted labels."""
     keys = list(keys)
+    # The count table has at most groups x classes^2 rows and feeds several
+    # sub-plans; caching it keeps the prediction table from being re-read
+    # once per branch.
     counts = pred.groupBy(*keys, F.col(label).alias("true_label"),
-                          F.col(prediction).alias("pred_label")).agg(F.count(F.lit(1)).alias("n"))
+                          F.col(prediction).alias("pred_label")).agg(F.count(F.lit(1)).alias("n")).cache()
     classes = (counts.groupBy(*keys)
                .agg(F.array_sort(F.array_union(F.collect_set("true_label"),
                                                F.collect_set("pred_label"))).alias("classes")))
@@ -147,10 +150,11 @@ def threshold_sweep(pred: DataFrame, keys: Sequence[str], label: str = "label",
     is_pos = (F.col(label) == positive).cast("long")
     b = pred.select(*keys, is_pos.alias("pos"), grid_bucket(prob).alias("k"),
                     (F.col(prob) >= F.lit(DEFAULT_THRESHOLD)).cast("long").alias("half"))
+    # <= 182 x groups rows, read twice below: cached so the input is scanned once
     per_k = b.groupBy(*keys, "k").agg(F.sum("pos").alias("pos_k"),
                                       F.sum(1 - F.col("pos")).alias("neg_k"),
                                       F.sum(F.col("half") * F.col("pos")).alias("half_pos_k"),
-                                      F.sum(F.col("half") * (1 - F.col("pos"))).alias("half_neg_k"))
+                                      F.sum(F.col("half") * (1 - F.col("pos"))).alias("half_neg_k")).cache()
     groups = per_k.select(*keys).distinct()
     grid = groups.select(*keys, F.explode(F.sequence(F.lit(-1), F.lit(GRID_POINTS - 1))).alias("k"))
     filled = (grid.join(per_k, keys + ["k"], "left")

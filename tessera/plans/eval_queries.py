@@ -31,8 +31,15 @@ def _rnd(df: DataFrame, *cols: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ Spark side ---
+def _scored(corpus):
+    """Scorer predictions, kept for the several sub-plans that read them
+    (one row per document and scorer)."""
+    from pyspark import StorageLevel
+    return scorer_predictions(corpus).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _pred(spark, sf_dir):
-    return scorer_predictions(labelled_docs(spark, sf_dir))
+    return _scored(labelled_docs(spark, sf_dir))
 
 
 def _base_table(pred):
@@ -124,7 +131,7 @@ def q_leaderboard(spark, sf_dir):
 
 def q_leaderboard_v2(spark, sf_dir):
     corpus = labelled_docs(spark, sf_dir)
-    t = rp.leaderboard_v2(_v2_table(scorer_predictions(corpus), corpus))
+    t = rp.leaderboard_v2(_v2_table(_scored(corpus), corpus))
     return _rnd(t, *rp.SUMMARY_COLS, "cv_mean", "cv_std", "gap")
 
 
@@ -135,7 +142,7 @@ def q_leaderboard_gap(spark, sf_dir):
 
 def q_leaderboard_with_ensemble(spark, sf_dir):
     corpus = labelled_docs(spark, sf_dir)
-    pred = scorer_predictions(corpus)
+    pred = _scored(corpus)
     ens = rp.with_gap(rp.experiment_table(ev.metric_bundle(_vote_rows(pred), KEYS)))
     t = rp.leaderboard_v2(rp.append_rows(_v2_table(pred, corpus), ens))
     return _rnd(t, *rp.SUMMARY_COLS, "cv_mean", "cv_std", "gap")
@@ -156,7 +163,7 @@ def q_baseline_compare(spark, sf_dir):
 
 def q_error_examples(spark, sf_dir):
     corpus = labelled_docs(spark, sf_dir)
-    pred = scorer_predictions(corpus)
+    pred = _scored(corpus)
     best = rp.leaderboard(_base_table(pred)).where(F.col("rank") == 1).select("experiment")
     test_pred = pred.where(F.col("split") == "test").join(F.broadcast(best), "experiment")
     return rp.error_examples(test_pred, corpus, 8, mask_terms=MASKS)
@@ -168,7 +175,7 @@ def q_metric_long(spark, sf_dir):
 
 def q_cv_summary(spark, sf_dir):
     corpus = labelled_docs(spark, sf_dir)
-    cv = _cv(scorer_predictions(corpus), corpus)
+    cv = _cv(_scored(corpus), corpus)
     return _rnd(cv.select("experiment", "cv_mean", "cv_std", F.size("cv_scores").alias("n_folds")), "cv_mean", "cv_std")
 
 
