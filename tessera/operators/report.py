@@ -41,7 +41,10 @@ def with_gap(table: DataFrame) -> DataFrame:
 
 
 def leaderboard_v2(table: DataFrame, key: str = "experiment") -> DataFrame:
-    """Sort by val macro-F1, cv_mean, test macro-F1, all desc, nulls last."""
+    """Sort by val macro-F1, cv_mean, test macro-F1, all desc, nulls last
+    (a table without cross-validation gets a null ``cv_mean``)."""
+    if "cv_mean" not in table.columns:
+        table = table.withColumn("cv_mean", F.lit(None).cast("double"))
     w = Window.orderBy(F.desc_nulls_last("val_macro_f1"), F.desc_nulls_last("cv_mean"),
                        F.desc_nulls_last("test_macro_f1"), F.asc(key))
     return table.withColumn("rank", F.row_number().over(w))
@@ -136,3 +139,38 @@ def feature_select(coef: DataFrame) -> DataFrame:
     med = coef.agg(F.percentile(F.abs("weight"), F.lit(0.5))).first()[0]
     kept = coef.where(F.abs("weight") >= F.lit(med))
     return kept.withColumn("new_idx", (F.row_number().over(Window.orderBy("idx")) - 1).cast("int"))
+
+
+def v2_summary(board: DataFrame, original: DataFrame, key: str = "experiment") -> DataFrame:
+    """One row: best model by the board's rank (validation first) with its
+    gap, the best model by test macro-F1 (diagnostic only; ties by name),
+    and the comparison with the original baseline row
+    (``model, val_macro_f1, test_macro_f1, gap``)."""
+    gap = F.col("val_macro_f1") - F.col("test_macro_f1")
+    rows = board.select(F.lit("new").alias("tag"), F.col(key).alias("model"), "val_macro_f1", "test_macro_f1",
+                        gap.alias("gap"), F.col("rank").cast("double").alias("r"))
+    base = original.select(F.lit("original").alias("tag"), "model", "val_macro_f1", "test_macro_f1", "gap",
+                           F.lit(1.0).alias("r"))
+    both = rows.unionByName(base)
+    is_new = F.col("tag") == "new"
+    by_rank = F.when(is_new, F.col("r"))
+    by_test = F.when(is_new, F.struct(-F.col("test_macro_f1"), F.col("model")))
+    orig = F.when(F.col("tag") == "original", F.col("r"))
+    out = both.agg(
+        F.min_by("model", by_rank).alias("best_model"),
+        F.min_by("val_macro_f1", by_rank).alias("best_val_f1"),
+        F.min_by("test_macro_f1", by_rank).alias("corresponding_test_f1"),
+        F.min_by("gap", by_rank).alias("gap"),
+        F.min_by("model", by_test).alias("best_test_model"),
+        F.min_by("test_macro_f1", by_test).alias("best_test_f1"),
+        F.min_by("val_macro_f1", by_test).alias("best_test_model_val_f1"),
+        F.min_by("gap", by_test).alias("best_test_model_gap"),
+        F.min_by("model", orig).alias("original_best_model"),
+        F.min_by("test_macro_f1", orig).alias("original_test_f1"),
+        F.min_by("gap", orig).alias("original_gap"))
+    return out.select(
+        "best_model", "best_val_f1", "corresponding_test_f1", "gap", F.lit("val_macro_f1").alias("selection_metric"),
+        "best_test_model", "best_test_f1", "best_test_model_val_f1", "best_test_model_gap",
+        "original_best_model", "original_test_f1", "original_gap",
+        (F.col("corresponding_test_f1") - F.col("original_test_f1")).alias("improvement_over_original"),
+        (F.col("original_gap") - F.col("gap")).alias("gap_reduction"))

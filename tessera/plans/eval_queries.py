@@ -148,6 +148,20 @@ def q_leaderboard_with_ensemble(spark, sf_dir):
     return _rnd(t, *rp.SUMMARY_COLS, "cv_mean", "cv_std", "gap")
 
 
+def q_v2_summary(spark, sf_dir):
+    """Best by validation (v2 order, ensemble included) and by test, against
+    the best row of the base table."""
+    from tessera.sources.baseline import best_of
+    corpus = labelled_docs(spark, sf_dir)
+    pred = _scored(corpus)
+    ens = rp.with_gap(rp.experiment_table(ev.metric_bundle(_vote_rows(pred), KEYS)))
+    board = rp.leaderboard_v2(rp.append_rows(_v2_table(pred, corpus), ens))
+    out = rp.v2_summary(board, best_of(_base_table(pred)))
+    return _rnd(out, "best_val_f1", "corresponding_test_f1", "gap", "best_test_f1", "best_test_model_val_f1",
+                "best_test_model_gap", "original_test_f1", "original_gap", "improvement_over_original",
+                "gap_reduction")
+
+
 def q_best_model_summary(spark, sf_dir):
     b = rp.best_model_summary(rp.leaderboard(_base_table(_pred(spark, sf_dir))))
     return _rnd(b, "best_validation_macro_f1", "corresponding_test_macro_f1", "largest_drop_val_to_test_macro_f1")
@@ -228,6 +242,7 @@ QUERIES = {
     "leaderboard_gap": q_leaderboard_gap,
     "leaderboard_with_ensemble": q_leaderboard_with_ensemble,
     "best_model_summary": q_best_model_summary,
+    "v2_summary": q_v2_summary,
     "baseline_compare": q_baseline_compare,
     "error_examples": q_error_examples,
     "metric_long": q_metric_long,
@@ -420,6 +435,25 @@ ORACLE = {
                  val_macro_f1 - test_macro_f1 FROM ee)
         SELECT experiment, {SUMMARY_R}, round(cv_mean, {R}) AS cv_mean, round(cv_std, {R}) AS cv_std,
                round(gap, {R}) AS gap, CAST(row_number() OVER ({V2_ORDER}) AS INTEGER) AS rank FROM allr""",
+    "v2_summary": f"""{BASE}, {CV}, {V2}, {MEMBERS}, {VOTE},
+        ve AS (SELECT 'voting_ensemble' AS experiment, split, label, prediction FROM vote),
+        {metric_ctes('ve', KEYS, 'e_')}, ee AS ({exp_table_sql('e_mb')}),
+        allr AS (SELECT experiment, val_macro_f1, test_macro_f1, cv_mean FROM v2
+                 UNION ALL SELECT experiment, val_macro_f1, test_macro_f1, NULL FROM ee),
+        lb AS (SELECT *, val_macro_f1 - test_macro_f1 AS gap, row_number() OVER ({V2_ORDER}) AS rank FROM allr),
+        b AS (SELECT * FROM lb WHERE rank = 1),
+        bt AS (SELECT * FROM lb ORDER BY test_macro_f1 DESC, experiment ASC LIMIT 1),
+        o AS (SELECT experiment, test_macro_f1, val_macro_f1 - test_macro_f1 AS gap FROM et
+              ORDER BY val_macro_f1 DESC, test_macro_f1 DESC, experiment ASC LIMIT 1)
+        SELECT b.experiment AS best_model, round(b.val_macro_f1, {R}) AS best_val_f1,
+               round(b.test_macro_f1, {R}) AS corresponding_test_f1, round(b.gap, {R}) AS gap,
+               'val_macro_f1' AS selection_metric, bt.experiment AS best_test_model,
+               round(bt.test_macro_f1, {R}) AS best_test_f1, round(bt.val_macro_f1, {R}) AS best_test_model_val_f1,
+               round(bt.gap, {R}) AS best_test_model_gap, o.experiment AS original_best_model,
+               round(o.test_macro_f1, {R}) AS original_test_f1, round(o.gap, {R}) AS original_gap,
+               round(b.test_macro_f1 - o.test_macro_f1, {R}) AS improvement_over_original,
+               round(o.gap - b.gap, {R}) AS gap_reduction
+        FROM b, bt, o""",
     "best_model_summary": f"""{BASE}, lb AS (SELECT *, row_number() OVER (ORDER BY val_macro_f1 DESC, experiment ASC) AS rank FROM et)
         SELECT arg_min(experiment, rank) AS best_validation_model,
                round(arg_min(val_macro_f1, rank), {R}) AS best_validation_macro_f1,

@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import normalize_text
+from tessera.operators import ensemble as en
 from tessera.operators import evaluate as ev
 from tessera.operators import features as fe
 from tessera.operators import models as mo
 from tessera.operators import report as rp
 from tessera.operators import validate as va
-from tessera.session import materialize
 
 
 @dataclass(frozen=True)
@@ -116,3 +116,25 @@ def run_grid(corpus: DataFrame, experiments: Sequence[Experiment], text_col: str
         cv = va.cv_summary(cvs).select("experiment", "cv_mean", "cv_std")
         table = table.join(cv, "experiment", "left")
     return GridResult(allp, table, models, feats)
+
+
+def with_ensemble(res: GridResult, kind: str = "soft", k: int = 3, name: str | None = None) -> DataFrame:
+    """Append a top-k voting ensemble to a grid's result table.
+
+    ``soft``: validation-macro-F1-weighted mean of the members' sigmoid
+    decision values >= 0.5; ``majority``: mean member vote >= 0.5.  Members
+    are the k best experiments by validation macro-F1; the ensemble row has
+    no CV columns.
+    """
+    members = en.top_members(res.table, k)
+    if kind == "soft":
+        votes = en.soft_vote(res.predictions, en.normalised_weights(members))
+        name = name or "ensemble_top3"
+    elif kind == "majority":
+        votes = en.majority_vote(res.predictions, members)
+        name = name or "voting_ensemble"
+    else:
+        raise ValueError(kind)
+    ens = rp.experiment_table(ev.metric_bundle(votes.withColumn("experiment", F.lit(name)),
+                                               ["experiment", "split"]))
+    return rp.append_rows(res.table, ens)

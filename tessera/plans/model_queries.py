@@ -71,6 +71,12 @@ def q_experiment_summary(spark, sf_dir):
     return rp.leaderboard(res.table)
 
 
+def q_ensemble_summary(spark, sf_dir):
+    """Base grid plus the top-3 soft-vote ensemble, ranked (v2 order)."""
+    res = ex.run_grid(_norm(spark, sf_dir), ex.BASE)
+    return rp.leaderboard_v2(rp.with_gap(ex.with_ensemble(res, "soft")))
+
+
 def q_preprocessing_ablation(spark, sf_dir):
     """Word LR (C=4) on raw vs normalized text."""
     corpus = labelled_docs(spark, sf_dir)
@@ -102,6 +108,7 @@ QUERIES = {
     "train_svc": q_train_svc,
     "predictions": q_predictions,
     "experiment_summary": q_experiment_summary,
+    "ensemble_summary": q_ensemble_summary,
     "preprocessing_ablation": q_preprocessing_ablation,
     "batch_score": q_batch_score,
     "metrics_json": q_metrics_json,
