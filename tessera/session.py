@@ -42,16 +42,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder: the session's, else a fresh local one.
+    """The reliable checkpoint folder: the one the session names in
+    ``spark.checkpoint.dir`` (a shared folder on a cluster).
 
-    A local folder is only made when nothing is configured, which is the case
-    in tests and local benches; clusters configure ``spark.checkpoint.dir``.
+    Only a local-mode session without that setting (tests, local benches)
+    gets a fresh folder of its own; a cluster session without it is an error,
+    because a machine-local folder would not survive an executor loss.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster session")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
