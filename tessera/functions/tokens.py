@@ -60,3 +60,34 @@ def char_wb_ngrams_of_word(word, lo: int = 3, hi: int = 5) -> Column:
 def char_wb_ngrams(c, lo: int = 3, hi: int = 5) -> Column:
     """Character n-grams inside whitespace-separated words (``char_wb``)."""
     return F.flatten(F.transform(split_words(c), lambda w: char_wb_ngrams_of_word(w, lo, hi)))
+
+
+def char_wb_gram_count(word, lo: int = 3, hi: int = 5) -> Column:
+    """Number of char_wb n-grams of one word (padded length L: one gram when
+    L < lo, else the sum of L - n + 1 over n in [lo, min(hi, L)])."""
+    L = F.char_length(_col(word)) + 2
+    total = F.greatest(L - lo + 1, F.lit(0))
+    for n in range(lo + 1, hi + 1):
+        total = total + F.greatest(L - n + 1, F.lit(0))
+    return F.when(L < lo, F.lit(1)).otherwise(total)
+
+
+def char_wb_gram_at(word, k, lo: int = 3, hi: int = 5) -> Column:
+    """The k-th (0-based) char_wb n-gram of one word, in the order of
+    ``char_wb_ngrams_of_word``: plain arithmetic and ``substring`` (whole-stage
+    codegen) instead of a lambda per gram.  Pair with
+    ``explode(sequence(0, char_wb_gram_count(word) - 1))``."""
+    p = F.concat(F.lit(" "), _col(word), F.lit(" "))
+    L = F.char_length(_col(word)) + 2
+    k = _col(k)
+    n_expr = i_expr = None
+    off = F.lit(0)
+    for n in range(lo, hi + 1):
+        c = F.greatest(L - n + 1, F.lit(0))
+        inside = k < off + c
+        n_expr = F.when(inside, F.lit(n)) if n_expr is None else n_expr.when(inside, F.lit(n))
+        i_expr = F.when(inside, k - off + 1) if i_expr is None else i_expr.when(inside, k - off + 1)
+        off = off + c
+    n_col = F.when(L < lo, L).otherwise(n_expr)
+    i_col = F.when(L < lo, F.lit(1)).otherwise(i_expr)
+    return F.substring(p, i_col, n_col)

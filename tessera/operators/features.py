@@ -23,7 +23,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.tokens import char_wb_ngrams, word_ngrams, word_tokens
+from tessera.functions.text import split_words
+from tessera.functions.tokens import (
+    char_wb_gram_at,
+    char_wb_gram_count,
+    char_wb_ngrams,
+    word_ngrams,
+    word_tokens,
+)
 
 # Above this many vocabulary rows the transform join is left to Catalyst/AQE
 # instead of an explicit broadcast.
@@ -79,6 +86,8 @@ def term_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
     """
     n = num_partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parted = docs.select(key, text_col).repartition(n, key)
+    if spec.kind == "char":
+        return _char_counts(parted, spec, text_col, key)
     # explode_outer: an inner explode makes Catalyst infer size(terms) > 0
     # and push it, with the whole term expression inlined, below the
     # repartition -- computing every n-gram twice.
@@ -88,6 +97,22 @@ def term_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def _char_counts(parted: DataFrame, spec: VectorizerSpec, text_col: str, key: str) -> DataFrame:
+    """char_wb counts: a word's n-grams depend only on the word, so words are
+    counted per document first and each distinct (doc, word) is expanded
+    once, weighted by its count.  Both aggregates run on the ``doc_id``
+    partitioning (no shuffle)."""
+    words = (parted.select(key, F.explode_outer(split_words(text_col)).alias("w"))
+             .where(F.col("w").isNotNull())
+             .groupBy(key, "w").agg(F.count(F.lit(1)).alias("wc")))
+    # One row per gram index, then plain substring arithmetic: stays in
+    # whole-stage codegen (a lambda per gram is interpreted).
+    k = F.explode(F.sequence(F.lit(0), char_wb_gram_count("w", spec.ngram_lo, spec.ngram_hi) - 1))
+    grams = (words.select(key, "w", "wc", k.alias("k"))
+             .select(key, "wc", char_wb_gram_at("w", "k", spec.ngram_lo, spec.ngram_hi).alias("term")))
+    return grams.groupBy(key, "term").agg(F.sum("wc").alias("tf"))
+
+
 def fit_vocab(counts: DataFrame, n_docs: int, spec: VectorizerSpec) -> DataFrame:
     """vocab(term, idx, df, cf, idf) from a term-count table."""
     stats = (counts.groupBy("term")
