@@ -67,14 +67,13 @@ def terms_of(spec: VectorizerSpec, text_col: str = "text"):
     return char_wb_ngrams(text_col, spec.ngram_lo, spec.ngram_hi)
 
 
-def _term_array(df: DataFrame, spec: VectorizerSpec, text_col: str, key: str) -> DataFrame:
-    """(key, terms ARRAY<STRING>).  Word tokens are projected first so the
-    n-gram lambdas read a column instead of re-running the tokenizer per
-    element (Catalyst keeps an expensive, multiply-used projection apart)."""
-    if spec.kind == "word":
-        toks = df.select(key, word_tokens(text_col).alias("_tok"))
-        return toks.select(key, word_ngrams("_tok", spec.ngram_lo, spec.ngram_hi).alias("terms"))
-    return df.select(key, char_wb_ngrams(text_col, spec.ngram_lo, spec.ngram_hi).alias("terms"))
+def _word_terms(df: DataFrame, spec: VectorizerSpec, text_col: str, key: str) -> DataFrame:
+    """(key, terms ARRAY<STRING>) of word n-grams.  Tokens are projected
+    first so the n-gram lambdas read a column instead of re-running the
+    tokenizer per element (Catalyst keeps an expensive, multiply-used
+    projection apart)."""
+    toks = df.select(key, word_tokens(text_col).alias("_tok"))
+    return toks.select(key, word_ngrams("_tok", spec.ngram_lo, spec.ngram_hi).alias("terms"))
 
 
 def term_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
@@ -91,7 +90,7 @@ def term_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
     # explode_outer: an inner explode makes Catalyst infer size(terms) > 0
     # and push it, with the whole term expression inlined, below the
     # repartition -- computing every n-gram twice.
-    return (_term_array(parted, spec, text_col, key)
+    return (_word_terms(parted, spec, text_col, key)
             .select(key, F.explode_outer("terms").alias("term"))
             .where(F.col("term").isNotNull())
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))

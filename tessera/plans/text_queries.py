@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
-from tessera.functions.tokens import char_wb_ngrams, word_ngrams, word_tokens
+from tessera.functions.tokens import word_tokens
 from tessera.operators import features as fe
 from tessera.plans import sqlbits as S
 from tessera.plans.fixtures import edge_frame, edge_values_sql

@@ -13,7 +13,6 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.numeric import hash_bucket
 from tessera.functions.text import clean_text
@@ -26,12 +25,6 @@ TRAIN_BUCKETS = 60
 VALIDATION_BUCKETS = 80
 # ----------------------------------------------------------------------------
 
-CORPUS_SCHEMA = T.StructType([
-    T.StructField("text", T.StringType(), True),
-    T.StructField("label", T.IntegerType(), True),
-])
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
