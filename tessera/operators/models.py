@@ -142,17 +142,38 @@ def score(model, rows: DataFrame, keep: Sequence[str] = ("doc_id", "split", "lab
         *keep, "score", sigmoid("score").alias("prob"), (F.col("score") > 0).cast("int").alias("prediction"))
 
 
+def linear_scores(model, fs: FeatureSet, penalised: bool, rows: DataFrame | None = None,
+                  keep: Sequence[str] = ("doc_id", "split", "label")) -> DataFrame:
+    """Decision values without vectors: ``intercept + sum(weight[idx] * value)``
+    as a broadcast join of the long TF-IDF table with the weights (one row
+    per vocabulary column, bounded by ``max_features``) and a per-document
+    sum on the ``doc_id`` partitioning.  Documents without a known term get
+    the intercept.  Same margin as ``model.transform``, all in the JVM."""
+    spark = fs.long.sparkSession
+    w = model.coefficients.toArray()
+    intercept = float(w[fs.size]) if penalised else float(model.intercept)
+    weights = spark.createDataFrame(list(enumerate(w[: fs.size].tolist())), "idx int, weight double")
+    dots = (fs.long.join(F.broadcast(weights), "idx")
+            .groupBy("doc_id").agg(F.sum(F.col("value") * F.col("weight")).alias("dot")))
+    base = fs.corpus if rows is None else rows
+    margin = F.coalesce(F.col("dot"), F.lit(0.0)) + F.lit(intercept)
+    return (base.join(dots, "doc_id", "left")
+            .select(*keep, margin.alias("score"))
+            .select(*keep, "score", sigmoid("score").alias("prob"),
+                    (F.col("score") > 0).cast("int").alias("prediction")))
+
+
 def train_and_score(fs: FeatureSet, spec: ModelSpec, fit_split: str = "train"):
     """Fit on the ``fit_split`` rows and score every row of the feature set.
 
-    The design frames are cached for the fit's iterations and the scoring
-    pass (one row per document), then released.
+    Only the training rows are turned into vectors (cached for the fit's
+    iterations, then released); scoring is relational (``linear_scores``)
+    and checkpointed, one row per document.
     """
     penalised = spec.intercept == "penalised"
     train_rows = design(fs, bias=penalised, flip=penalised).where(F.col("split") == fit_split).cache()
     model = fit(train_rows, spec)
-    plain = design(fs, bias=penalised, flip=False)
-    scored = materialize(score(model, plain))
+    scored = materialize(linear_scores(model, fs, penalised))
     train_rows.unpersist()
     return model, scored
 
@@ -195,15 +216,17 @@ def cross_validate(fs: FeatureSet, spec: ModelSpec, k: int = 5, seed: int = 42)
     train = fs.corpus.where(F.col("split") == "train")
     folds = stratified_folds(train, k=k, seed=seed).select("doc_id", "fold")
     fit_rows = design(fs, penalised, penalised).join(folds, "doc_id").cache()
-    plain = design(fs, penalised, False).join(folds, "doc_id").cache()
+    held = fs.corpus.join(folds, "doc_id")
     scored = []
     for f in range(k):
         model = fit(fit_rows.where(F.col("fold") != f), spec)
-        scored.append(score(model, plain.where(F.col("fold") == f), ("doc_id", "label", "fold")))
+        scored.append(linear_scores(model, fs, penalised, held.where(F.col("fold") == f),
+                                    ("doc_id", "label", "fold")))
     allp = scored[0]
     for s in scored[1:]:
         allp = allp.unionByName(s)
     out = metric_bundle(allp, ["fold"]).select("fold", "macro_f1")
+    fit_rows.unpersist()
     return out
 
 

@@ -130,3 +130,15 @@ def test_entry_and_registry(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 56
+
+
+def test_relational_scores_equal_transform(spark):
+    corpus = ex.normalized_corpus(co.labelled_docs(spark, SF_SMALL))
+    fs = mo.build_features(corpus, (fe.VectorizerSpec("word", 1, 2, 2, 150),))
+    for spec in (mo.ModelSpec("lr", 4.0), mo.ModelSpec("svc", 1.0), mo.ModelSpec("lr", 0.1, intercept="free")):
+        pen = spec.intercept == "penalised"
+        model = mo.fit(mo.design(fs, pen, pen).where("split = 'train'"), spec)
+        a = {r.doc_id: r.score for r in mo.linear_scores(model, fs, pen).collect()}
+        b = {r.doc_id: r.score for r in mo.score(model, mo.design(fs, pen, False)).collect()}
+        assert a.keys() == b.keys()
+        assert max(abs(a[k] - b[k]) for k in a) < 1e-9
