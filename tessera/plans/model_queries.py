@@ -77,6 +77,23 @@ def q_ensemble_summary(spark, sf_dir):
     return rp.leaderboard_v2(rp.with_gap(ex.with_ensemble(res, "soft")))
 
 
+def _one_experiment(spark, sf_dir, exp):
+    res = ex.run_grid(_norm(spark, sf_dir), [exp])
+    return rp.with_gap(res.table).withColumn("n_features", F.lit(res.features[exp.name].size))
+
+
+def q_selected_svc_cv(spark, sf_dir):
+    """Median feature selection (LR C=0.5 selector) + LinearSVC C=0.1 with
+    stratified 5-fold CV: the improved grid's word_svc_strong_reg."""
+    return _one_experiment(spark, sf_dir, ex.IMPROVED[1])
+
+
+def q_balanced_lr_cv(spark, sf_dir):
+    """Class-balanced LR C=1 on word 1-3 grams with stratified 5-fold CV:
+    the v2 grid's word_lr_balanced."""
+    return _one_experiment(spark, sf_dir, ex.V2[0])
+
+
 def q_preprocessing_ablation(spark, sf_dir):
     """Word LR (C=4) on raw vs normalized text."""
     corpus = labelled_docs(spark, sf_dir)
@@ -109,6 +126,8 @@ QUERIES = {
     "predictions": q_predictions,
     "experiment_summary": q_experiment_summary,
     "ensemble_summary": q_ensemble_summary,
+    "selected_svc_cv": q_selected_svc_cv,
+    "balanced_lr_cv": q_balanced_lr_cv,
     "preprocessing_ablation": q_preprocessing_ablation,
     "batch_score": q_batch_score,
     "metrics_json": q_metrics_json,
