@@ -76,28 +76,32 @@ def flip_sign(key: str = "doc_id", seed: int = 7):
 
 
 def design(fs: FeatureSet, bias: bool, flip: bool, key: str = "doc_id") -> DataFrame:
-    """Vectors per document: (doc_id, label, split, features[, label_fit, sign]).
+    """Vectors per document: (doc_id, label, split, sign, features, label_fit).
 
     With ``bias`` a constant entry is appended at index ``size``; with
     ``flip`` the rows with sign -1 get ``-x`` and ``1 - y`` (``label_fit``).
+    The long table is grouped on its own ``doc_id`` partitioning (the sign
+    is a function of ``doc_id``, the bias entry is added per document), so
+    only the corpus side is moved for the final left join, which keeps
+    documents without a known term as all-zero rows.
     """
     from pyspark.ml.linalg import Vectors, VectorUDT
 
     size = fs.size + (1 if bias else 0)
-    docs = fs.corpus.withColumn("sign", flip_sign(key) if flip else F.lit(1.0))
-    entries = fs.long
-    if bias:
-        entries = entries.unionByName(fs.corpus.select(key, F.lit(fs.size).alias("idx"), F.lit(1.0).alias("value")))
-    signed = entries.join(docs.select(key, "sign"), key).select(key, "idx", (F.col("value") * F.col("sign")).alias("value"))
+    bias_idx = fs.size
 
     @F.udf(returnType=VectorUDT())
-    def make_vec(e):
-        if not e:
-            return Vectors.sparse(size, [], [])
-        return Vectors.sparse(size, [x[0] for x in e], [x[1] for x in e])
-
-    grouped = signed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("e"))
-    out = docs.join(grouped, key, "left").withColumn("features", make_vec("e")).drop("e")
+    def make_vec(e, sign):
+        idx = [x[0] for x in e] if e else []
+        val = [x[1] * sign for x in e] if e else []
+        if bias:
+            idx.append(bias_idx)
+            val.append(sign)
+        return Vectors.sparse(size, idx, val)
+
+    grouped = fs.long.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("e"))
+    docs = fs.corpus.withColumn("sign", flip_sign(key) if flip else F.lit(1.0))
+    out = docs.join(grouped, key, "left").withColumn("features", make_vec("e", "sign")).drop("e")
     label_fit = F.when(F.col("sign") < 0, 1 - F.col("label")).otherwise(F.col("label"))
     return out.withColumn("label_fit", label_fit.cast("double"))
 
