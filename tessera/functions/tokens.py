@@ -91,3 +91,30 @@ def char_wb_gram_at(word, k, lo: int = 3, hi: int = 5) -> Column:
     n_col = F.when(L < lo, L).otherwise(n_expr)
     i_col = F.when(L < lo, F.lit(1)).otherwise(i_expr)
     return F.substring(p, i_col, n_col)
+
+
+def word_gram_count(tokens, lo: int = 1, hi: int = 2) -> Column:
+    """Number of word n-grams (n in [lo, hi]) of a token array."""
+    n_tok = F.size(_col(tokens))
+    total = F.greatest(n_tok - lo + 1, F.lit(0))
+    for n in range(lo + 1, hi + 1):
+        total = total + F.greatest(n_tok - n + 1, F.lit(0))
+    return total
+
+
+def word_gram_at(tokens, k, lo: int = 1, hi: int = 2) -> Column:
+    """The k-th (0-based) word n-gram in the order of ``word_ngrams``
+    (all unigrams, then bigrams, ...), by arithmetic on k and a ``slice``:
+    pair with ``explode(sequence(0, word_gram_count(tokens) - 1))``."""
+    tok = _col(tokens)
+    n_tok = F.size(tok)
+    k = _col(k)
+    n_expr = i_expr = None
+    off = F.lit(0)
+    for n in range(lo, hi + 1):
+        c = F.greatest(n_tok - n + 1, F.lit(0))
+        inside = k < off + c
+        n_expr = F.when(inside, F.lit(n)) if n_expr is None else n_expr.when(inside, F.lit(n))
+        i_expr = F.when(inside, k - off + 1) if i_expr is None else i_expr.when(inside, k - off + 1)
+        off = off + c
+    return F.array_join(F.slice(tok, i_expr, n_expr), " ")

@@ -28,6 +28,8 @@ from tessera.functions.tokens import (
     char_wb_gram_at,
     char_wb_gram_count,
     char_wb_ngrams,
+    word_gram_at,
+    word_gram_count,
     word_ngrams,
     word_tokens,
 )
@@ -67,15 +69,6 @@ def terms_of(spec: VectorizerSpec, text_col: str = "text"):
     return char_wb_ngrams(text_col, spec.ngram_lo, spec.ngram_hi)
 
 
-def _word_terms(df: DataFrame, spec: VectorizerSpec, text_col: str, key: str) -> DataFrame:
-    """(key, terms ARRAY<STRING>) of word n-grams.  Tokens are projected
-    first so the n-gram lambdas read a column instead of re-running the
-    tokenizer per element (Catalyst keeps an expensive, multiply-used
-    projection apart)."""
-    toks = df.select(key, word_tokens(text_col).alias("_tok"))
-    return toks.select(key, word_ngrams("_tok", spec.ngram_lo, spec.ngram_hi).alias("terms"))
-
-
 def term_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
                 key: str = "doc_id", num_partitions: int | None = None) -> DataFrame:
     """(doc_id, term, tf) for every distinct term of every document.
@@ -87,13 +80,15 @@ def term_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
     parted = docs.select(key, text_col).repartition(n, key)
     if spec.kind == "char":
         return _char_counts(parted, spec, text_col, key)
-    # explode_outer: an inner explode makes Catalyst infer size(terms) > 0
-    # and push it, with the whole term expression inlined, below the
-    # repartition -- computing every n-gram twice.
-    return (_word_terms(parted, spec, text_col, key)
-            .select(key, F.explode_outer("terms").alias("term"))
-            .where(F.col("term").isNotNull())
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    # Tokens are projected first (the gram expressions read a column, not
+    # the tokenizer); then one row per gram index and a plain slice+join, as
+    # for char n-grams.  The count can be 0, so the index range is guarded.
+    toks = parted.select(key, word_tokens(text_col).alias("_tok"))
+    total = word_gram_count("_tok", spec.ngram_lo, spec.ngram_hi)
+    k = F.explode(F.when(total > 0, F.sequence(F.lit(0), total - 1)).otherwise(F.array().cast("array<int>")))
+    grams = (toks.select(key, "_tok", k.alias("k"))
+             .select(key, word_gram_at("_tok", "k", spec.ngram_lo, spec.ngram_hi).alias("term")))
+    return grams.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _char_counts(parted: DataFrame, spec: VectorizerSpec, text_col: str, key: str) -> DataFrame:

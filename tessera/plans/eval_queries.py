@@ -200,7 +200,7 @@ def coefficient_table(spark, sf_dir, spec=fe.WORD_1_2) -> DataFrame:
     equal ratios tie exactly."""
     corpus = labelled_docs(spark, sf_dir)
     norm = corpus.select("doc_id", "label", tx.normalize_text("text").alias("text"))
-    counts = fe.term_counts(norm, spec)
+    counts = fe.materialized_counts(norm, spec)  # read by the vocabulary fit and the per-term sums
     n_docs, n_pos = norm.agg(F.count(F.lit(1)), F.sum("label")).first()
     n_neg = n_docs - n_pos
     vocab = fe.fit_vocab(counts, n_docs, spec)
