@@ -6,10 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table
+from tessera.llm.decision_list import quality_rules
 from tessera.llm.mixing import MIX_SQL, systematic_mix
+from tessera.llm.quality_zstd import score_quality
 from tessera.llm.url_templates import judge_urls
 
 
+def op3_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     mixed = systematic_mix(table(spark, sf_dir, "documents"))
@@ -21,9 +28,18 @@ def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rule and learned verdict for every document."""
+    judged, _ = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
 QUERIES = {
+    "op3_quality_zstd": op3_quality_zstd,
     "op7_systematic_mix": op7_systematic_mix,
     "op8_url_templates": op8_url_templates,
+    "op9_decision_list": op9_decision_list,
 }
 
 ORACLE = {
