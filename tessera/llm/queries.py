@@ -9,6 +9,7 @@ from tessera.llm.common import table
 from tessera.llm.decision_list import quality_rules
 from tessera.llm.mixing import MIX_SQL, systematic_mix
 from tessera.llm.quality_zstd import score_quality
+from tessera.llm.toxicity_kernel import score_toxicity
 from tessera.llm.url_templates import judge_urls
 
 
@@ -17,6 +18,11 @@ def op3_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     mixed = systematic_mix(table(spark, sf_dir, "documents"))
@@ -37,6 +43,7 @@ def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality_zstd": op3_quality_zstd,
+    "op5_string_kernel": op5_string_kernel,
     "op7_systematic_mix": op7_systematic_mix,
     "op8_url_templates": op8_url_templates,
     "op9_decision_list": op9_decision_list,
