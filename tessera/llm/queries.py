@@ -7,12 +7,24 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import table
 from tessera.llm.decision_list import quality_rules
+from tessera.llm.html_main import extract_main_text
 from tessera.llm.mixing import MIX_SQL, systematic_mix
+from tessera.llm.packing import pack_documents
 from tessera.llm.quality_zstd import score_quality
 from tessera.llm.toxicity_kernel import score_toxicity
 from tessera.llm.url_templates import judge_urls
 
 
+def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), max_tokens=1024, max_segments=64)
+
+
+def op2_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op3_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -42,6 +54,8 @@ def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_vector_packing": op1_vector_packing,
+    "op2_host_consensus": op2_host_consensus,
     "op3_quality_zstd": op3_quality_zstd,
     "op5_string_kernel": op5_string_kernel,
     "op7_systematic_mix": op7_systematic_mix,
