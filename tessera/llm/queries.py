@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table
+from tessera.llm.cover_tree import NEAR_SQL, near_duplicate_vectors
 from tessera.llm.decision_list import quality_rules
 from tessera.llm.html_main import extract_main_text
 from tessera.llm.mixing import MIX_SQL, systematic_mix
@@ -53,6 +54,11 @@ def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and classes of all embeddings."""
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 QUERIES = {
     "op1_vector_packing": op1_vector_packing,
     "op2_host_consensus": op2_host_consensus,
@@ -61,9 +67,11 @@ QUERIES = {
     "op7_systematic_mix": op7_systematic_mix,
     "op8_url_templates": op8_url_templates,
     "op9_decision_list": op9_decision_list,
+    "op10_cover_tree": op10_cover_tree,
 }
 
 ORACLE = {
+    "op10_cover_tree": NEAR_SQL,
     "op7_systematic_mix": "WITH " + MIX_SQL.format(docs="documents") + """
 SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed""",
 }
