@@ -70,9 +70,11 @@ def offset(source_key: Column, seed: str) -> Column:
 
 
 def systematic_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                   seed: str = "mix", **shares) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) for every document."""
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                   seed: str = "mix", carry: dict[str, Column] | None = None, **shares) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, carry...) for every
+    document; ``carry``: further narrow columns to compute from ``docs``."""
+    extra = {k: v for k, v in (carry or {}).items()}
+    sized = docs.select(*[v.alias(k) for k, v in extra.items()], F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                         _key(F.col(source_col)).alias("source_key"), n_words(F.col(text_col)).alias("size"))
     ranked = rank_within(sized, "source_key", ["size", "doc_id"], "rank")
     targets = source_targets(ranked, **shares)
@@ -80,7 +82,20 @@ def systematic_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     f = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     u = offset(F.col("source_key"), seed)
     crossed = F.floor(F.col("rank") * f + u) - F.floor((F.col("rank") - 1) * f + u)
-    return mixed.select("doc_id", "source", "size", "source_size", "target", crossed.cast("long").alias("copies"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", crossed.cast("long").alias("copies"), *extra)
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **mix) -> DataFrame:
+    """The mix itself: each row of ``docs``, with all its columns, as often as
+    it is taken.  Rows equal in id and text are taken alike, as often as the
+    most taken of them."""
+    h = F.xxhash64(F.col(id_col), F.col(text_col))
+    taken = (systematic_mix(docs, id_col, text_col, carry={"_h": h}, **mix).groupBy("_h")
+             .agg(F.max("copies").alias("_copies")).where("_copies > 0").select(F.col("_h").alias("_mix_h"), "_copies"))
+    # Only rows with a count come through; each is repeated in place, so no text is shuffled twice.
+    joined = docs.withColumn("_mix_key", h).join(taken, F.col("_mix_key") == F.col("_mix_h"))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
+        *[joined[c] for c in docs.columns])
 
 
 #: The same mix in DuckDB SQL over a relation ``{docs}`` with doc_id, text, source.

@@ -100,12 +100,13 @@ def fit(sample: list[tuple[int, str, int]], dict_bytes: int = 64_000, level: int
     return model
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes: int = 12_000_000,
-                  dict_bytes: int = 64_000, label: str = "quality", id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every document."""
-    plain_docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    model = fit(labelled_sample(plain_docs, labels, label, per_class, max_bytes), dict_bytes)
+def scored_rows(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes: int = 12_000_000,
+                dict_bytes: int = 64_000, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
+                carry: list[str] | None = None) -> DataFrame:
+    """(row, score): the columns ``carry`` (the id alone by default) as one
+    struct, with the score of the row's text."""
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    model = fit(labelled_sample(plain, labels, label, per_class, max_bytes), dict_bytes)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of at most dict_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,9 +117,21 @@ def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max
             x = np.array([features((t.as_py() or "").encode("utf-8", "surrogatepass"), *tools) if tools
                           else (0.0,) * 4 for t in batch.column(1)], dtype=float).reshape(-1, 4)
             score = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -35, 35)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["row", "score"])
+
+    rows = docs.select(F.struct(*[F.col(c) for c in carry or [id_col]]).alias("row"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
+
 
-    id_type = plain_docs.schema["doc_id"].dataType.simpleString()
-    return plain_docs.mapInArrow(run, f"doc_id {id_type}, score double").select(
-        "doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "score",
+def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **fitting) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every document."""
+    doc_id = F.col("row").getField(id_col)
+    return scored_rows(docs, labels, id_col=id_col, **fitting).select(
+        doc_id.alias("doc_id"), (fold(doc_id) == 1).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **fitting) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``threshold`` or more."""
+    return (scored_rows(docs, labels, carry=docs.columns, **fitting)
+            .where(F.col("score") >= threshold).select("row.*"))

@@ -10,8 +10,10 @@ from tessera.llm.cover_tree import NEAR_SQL, near_duplicate_vectors
 from tessera.llm.decision_list import quality_rules
 from tessera.llm.html_main import extract_main_text
 from tessera.llm.mixing import MIX_SQL, systematic_mix
+from tessera.llm.ngram_join import JACCARD_SQL, jaccard_classes
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality_zstd import score_quality
+from tessera.llm.recompression import REPEATS_SQL, remove_repeats
 from tessera.llm.toxicity_kernel import score_toxicity
 from tessera.llm.url_templates import judge_urls
 
@@ -31,11 +33,22 @@ def op3_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated 13-word windows remove from every document."""
+    return remove_repeats(table(spark, sf_dir, "documents"), window=13).drop("kept", "row")
+
+
 def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_adaptive_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document."""
+    classes, _ = jaccard_classes(table(spark, sf_dir, "documents"))
+    return classes
+
+
 def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     mixed = systematic_mix(table(spark, sf_dir, "documents"))
@@ -63,7 +76,9 @@ QUERIES = {
     "op1_vector_packing": op1_vector_packing,
     "op2_host_consensus": op2_host_consensus,
     "op3_quality_zstd": op3_quality_zstd,
+    "op4_recompression": op4_recompression,
     "op5_string_kernel": op5_string_kernel,
+    "op6_adaptive_prefix": op6_adaptive_prefix,
     "op7_systematic_mix": op7_systematic_mix,
     "op8_url_templates": op8_url_templates,
     "op9_decision_list": op9_decision_list,
@@ -71,6 +86,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_recompression": "WITH " + REPEATS_SQL.format(docs="documents") + """
+SELECT doc_id, n_words, n_removed, sha256(kept) AS kept_sha256 FROM deduped""",
+    "op6_adaptive_prefix": JACCARD_SQL,
     "op10_cover_tree": NEAR_SQL,
     "op7_systematic_mix": "WITH " + MIX_SQL.format(docs="documents") + """
 SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed""",
