@@ -7,9 +7,10 @@ the round's classes are bits of the names, so names agree over all documents
 and equal passages get equal symbols wherever their surroundings cannot
 matter; the rounds run in Spark tasks without any exchange of names.
 
-For each window of ``window`` words, its anchor is the highest-level symbol
-whose name depends on words of the window alone (the least name, if there are
-several), so equal windows have equal anchors.  Spark groups the anchors of all documents: only
+For each window of ``window`` words, its anchor is the widest symbol (then the
+least name) among those whose name depends on words of the window alone, from
+the top level down until one of five words is found, so equal windows have
+equal anchors.  Spark groups the anchors of all documents: only
 those that occur in two documents can belong to a repeat.  The windows under
 shared anchors, and only these, are then compared by a 96-bit hash of their
 words, which verifies the repeats; words under a window that also starts in a
@@ -108,25 +109,21 @@ def levels(words: np.ndarray, doc: np.ndarray, rounds: int) -> list[Level]:
     return out
 
 
-def anchors(words: np.ndarray, doc: np.ndarray, window: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+def anchors(words: np.ndarray, doc: np.ndarray, window: int, rounds: int, enough: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(window starts, anchor name of each window)."""
     n = len(words) - window + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U)
     start = np.flatnonzero(doc[:n] == doc[window - 1:])
-    name = np.zeros(len(start), dtype=U)
-    open_ = np.ones(len(start), dtype=bool)
+    best = np.full(len(start), np.iinfo(np.uint64).max, dtype=U)
+    open_ = np.arange(len(start))
     for high, s in reversed(list(enumerate(levels(words, doc, rounds)))):
-        todo = np.flatnonzero(open_)
-        if not len(todo):
-            break
-        first = start[todo]
-        # dep_a grows with the symbols: from the first symbol that may fit, look at those that follow.
-        lo = np.maximum.accumulate(s.dep_a)
-        j = np.searchsorted(lo, first)
-        best = np.full(len(todo), np.iinfo(np.uint64).max, dtype=U)
-        hit = np.zeros(len(todo), dtype=bool)
-        step = np.arange(len(todo))
+        # Wide symbols first, then the least name; the top six bits hold 63 - width.
+        rank = ((U(63) - np.minimum(s.b - s.a, 62).astype(U)) << U(58)) | (mix64(s.name + U(high)) >> U(6))
+        first = start[open_]
+        # From the first symbol that may fit, look at those that follow.
+        j = np.searchsorted(np.maximum.accumulate(s.dep_a), first)
+        step = np.arange(len(open_))
         while len(step):
             k = j[step]
             step = step[k < len(s.name)]
@@ -134,13 +131,14 @@ def anchors(words: np.ndarray, doc: np.ndarray, window: int, rounds: int) -> tup
             step = step[s.a[k] < first[step] + window]
             k = j[step]
             fits = (s.dep_a[k] >= first[step]) & (s.dep_b[k] <= first[step] + window)
-            got = step[fits]
-            best[got] = np.minimum(best[got], mix64(s.name[k[fits]] + U(high)))
-            hit[got] = True
+            got = open_[step[fits]]
+            best[got] = np.minimum(best[got], rank[k[fits]])
             j[step] += 1
-        name[todo[hit]] = best[hit]
-        open_[todo[hit]] = False
-    return start, name
+        # A symbol of the level below is at most as wide as what it became part of.
+        open_ = open_[(best[open_] >> U(58)) > U(63 - enough)]
+        if not len(open_):
+            break
+    return start, best
 
 
 def chunk_words(texts: list[str | None], cache: HashCache) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
