@@ -17,9 +17,9 @@ thousands of near copies never becomes all its pairs: first each posting list
 member; then, with the components of the links found, only members of
 different components.  Pairs inside one component cannot change it.
 
-Document counts cover the quarter of the hash space from which prefixes
-mostly come; the ``order_size`` most frequent shingles of it are shared with
-the tasks, all others rank as rare by hash.
+Document counts cover all shingles of all documents, in a sketch of fixed size
+(2 ** 21 hash buckets): a shingle counts as frequent if its bucket holds well
+more than buckets do on average.
 
 Defined cases: null texts and texts without words have no shingles, link with
 nothing and are their own component; fewer words than n make one shingle of
@@ -31,10 +31,13 @@ read whole; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +45,8 @@ from tessera.llm.common import HashCache, mix64, ngram_hashes, signed, text_chun
 from tessera.llm.components import connected_components
 from tessera.session import materialize
 
-QUARTER = np.uint64(1 << 62)
+SKETCH_BITS = 21  # hash buckets whose documents are counted: 2 ** 21, whatever the corpus
+SKETCH_SLICES = 64
 
 
 def shingles(text: str | None, n: int, cache: HashCache) -> np.ndarray:
@@ -61,26 +65,27 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def choose_prefix(s: np.ndarray, hot: np.ndarray, counts: np.ndarray, percent: int,
+def bucket(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def choose_prefix(s: np.ndarray, counts: np.ndarray, usual: float, percent: int,
                   max_match: int) -> tuple[int, np.ndarray]:
-    """(l, prefix) of a sorted set of shingles; ``hot`` is sorted, with its document counts."""
+    """(l, prefix) of a sorted set of shingles; ``counts`` are the document
+    counts of the hash buckets and ``usual`` what an ordinary bucket holds."""
     n = len(s)
-    df = np.ones(n)
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-        df = np.where(hot[at] == s, counts[at], 1.0)
-    # The order: known quarter before the rest, then by power of two of the count, then by hash.
-    rank = np.where(s < QUARTER, np.floor(np.log2(df)), 64.0)
-    order = np.lexsort((s, rank))
+    c = counts[bucket(s)]
+    # The order: by power of two of the count over the usual one, then by hash.
+    order = np.lexsort((s, np.floor(np.log2(np.maximum(c / usual, 1.0)))))
     p = n - needed(n, percent) + 1
-    total = np.cumsum(df[order])
+    total = np.cumsum(np.maximum(c[order] - usual, 1.0))
     best, cost = 1, math.inf
     for m in range(1, max_match + 1):
         if p + m - 1 > n or (m > 1 and m > needed(n, percent)):
             break
-        c = total[p + m - 2] / (m * m) + (p + m - 1)  # candidates, and the longer index
-        if c < cost:
-            best, cost = m, c
+        k = total[p + m - 2] / (m * m) + (p + m - 1)  # candidates, and the longer index
+        if k < cost:
+            best, cost = m, k
     return best, s[order[:p + best - 1]]
 
 
@@ -88,41 +93,48 @@ def _binary(s: np.ndarray) -> bytes:
     return s.astype("<u8").tobytes()
 
 
-def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: int = 3, order_size: int = 300_000,
+def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: int = 3,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """((doc_id, n_shingles, component_id) for every row, (a, b, common, united)
     links found between class representatives; they span the components)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
-    def count_quarter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
+    def count_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, counts = HashCache(), np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in text_chunks(texts):
-                part = [(x := shingles(t, n, cache))[:int(np.searchsorted(x, QUARTER))] for t in texts[a:b]]
-                token, times = np.unique(np.concatenate(part), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(token)), pa.array(times.astype(np.int64))],
-                                                 names=["token", "times"])
-
-    frequent = (rows.select("text").mapInArrow(count_quarter, "token long, times long")
-                .groupBy("token").agg(F.sum("times").alias("df")).where("df > 3")
-                .orderBy(F.desc("df"), "token").limit(order_size).toPandas())
-    tokens = frequent["token"].to_numpy(dtype=np.int64).view(np.uint64)
-    by_hash = np.argsort(tokens)
-    shared = spark.sparkContext.broadcast(  # at most order_size entries
-        (tokens[by_hash], frequent["df"].to_numpy(dtype=float)[by_hash]))
+                every = np.concatenate([shingles(t, n, cache) for t in texts[a:b]])
+                counts += np.bincount(bucket(every), minlength=len(counts))
+        salt = TaskContext.get().partitionId() % 64
+        parts = [zlib.compress(c.astype("<i8").tobytes(), 1) for c in np.split(counts, SKETCH_SLICES)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(SKETCH_SLICES), pa.int32()), pa.array([salt] * SKETCH_SLICES, pa.int32()),
+             pa.array(parts, pa.binary())], names=["slice", "salt", "counts"])
+
+    def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(c), dtype="<i8") for c in pdf["counts"])
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "salt": [0],
+                             "counts": [zlib.compress(total.astype("<i8").tobytes(), 1)]})
+
+    shape = "slice int, salt int, counts binary"
+    sketch = (rows.select("text").mapInArrow(count_part, shape).groupBy("slice", "salt").applyInPandas(add_up, shape)
+              .groupBy("slice").applyInPandas(add_up, shape).orderBy("slice").collect())  # of fixed size
+    counts = (np.concatenate([np.frombuffer(zlib.decompress(r.counts), dtype="<i8") for r in sketch])
+              if sketch else np.zeros(1 << SKETCH_BITS)).astype(np.float32)
+    shared = spark.sparkContext.broadcast((counts, float(4 * counts.mean() + 8)))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = HashCache()
-        hot, counts = shared.value
+        counts, usual = shared.value
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in text_chunks(texts):
                 size, k1, k2, match, prefix = [], [], [], [], []
                 for t in texts[a:b]:
                     s = shingles(t, n, cache)
-                    m, p = choose_prefix(s, hot, counts, percent, max_match) if len(s) else (0, s)
+                    m, p = choose_prefix(s, counts, usual, percent, max_match) if len(s) else (0, s)
                     size.append(len(s))
                     k1.append(int(signed(np.add.reduce(mix64(s), keepdims=True, dtype=np.uint64))[0]))
                     k2.append(int(signed(np.add.reduce(mix64(s ^ np.uint64(0xA5A5F00D5EED1234)), keepdims=True,
