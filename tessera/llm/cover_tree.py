@@ -12,8 +12,8 @@ covering radii, and checks what is left in double precision.  A block has at
 most ``block_rows`` vectors, whatever the label's size.
 
 The sample only shapes the tree; every vector is indexed and compared, and
-the result is exact.  A task returns link counts and a spanning forest of its
-links, never all pairs of a group.
+the result is exact.  A task returns link counts and pairs that join the same
+vectors into components as its links do, never all pairs of a group.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, or that have a null label or id, link with nothing (a null id has

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import text_chunks
 from tessera.session import materialize
 
-_LOOSE = re.compile(r" \s|\s ")
+_RARE_SPACE = re.compile(r"[^\S \n]")
 _PLAIN = re.compile(r" ?\S+")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -109,7 +109,8 @@ class CachedEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = []
         for t in texts:
-            loose = t[:1].isspace() or t[-1:].isspace() or _LOOSE.search(t)
+            loose = ("  " in t or "\n " in t or " \n" in t or t[:1].isspace() or t[-1:].isspace()
+                     or _RARE_SPACE.search(t))
             first, *rest = _CUT.split(t) if loose else t.split(" ")
             cut.append([first, *[" " + w for w in rest]])
         new = set().union(*cut).difference(self.index)
@@ -161,6 +162,8 @@ def fill_bins(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.nd
     Items of equal demand are handled as one kind with a count.  Every item
     must fit an empty bin.
     """
+    if not len(demand):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     kinds, kind_of = np.unique(demand, axis=0, return_inverse=True)
     kind_of = kind_of.reshape(-1)
     members = np.split(np.argsort(kind_of, kind="stable"), np.cumsum(np.bincount(kind_of))[:-1])
@@ -208,7 +211,10 @@ def pack(pieces: DataFrame, max_tokens: int = 1024, max_segments: int = 64, max_
         pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=False, kind="stable")
         loss = pdf[loss_col] if loss_col else pdf["length"]
         demand = np.column_stack([pdf["length"], np.ones(len(pdf), dtype=np.int64), loss])
-        bins, place = fill_bins(demand, limits)
+        full = int((pdf["length"] == max_tokens).sum())  # sorted first; each is a sequence of its own
+        bins, place = np.arange(len(pdf)), np.zeros(len(pdf), dtype=np.int64)
+        rest, place[full:] = fill_bins(demand[full:], limits)
+        bins[full:] = rest + full
         pdf["sequence_id"] = (pdf["_shard"].to_numpy() << 32) | bins
         pdf["_place"] = place
         pdf = pdf.sort_values(["sequence_id", "_place"], kind="stable")

@@ -185,20 +185,22 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 4, id_col: s
     by_anchor = Window.partitionBy("anchor")
     shared = (ids.mapInArrow(emit_anchors, "anchor long, doc_id long")
               .withColumn("lo", F.min("doc_id").over(by_anchor)).withColumn("hi", F.max("doc_id").over(by_anchor))
-              .where("lo < hi").groupBy("doc_id").agg(F.collect_list("anchor").alias("marks")))
+              .where("lo < hi").groupBy("doc_id").agg(F.collect_list(F.col("anchor").bitwiseAND(0xFFFFFFFF).cast("int")).alias("marks")))
     by_id = rows.repartition("doc_id")
 
     def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = HashCache()
         for batch in batches:
             doc_ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            marks = batch.column(2)
+            marks, none = batch.column(2), np.zeros(0, dtype=np.int32)
             for a, b in text_chunks(texts):
-                _, h, doc = chunk_words(texts[a:b], cache)
+                _, h, doc = chunk_words([texts[i] if marks[i].is_valid else None for i in range(a, b)], cache)
                 start, name = anchors(h, doc, window, rounds)
-                known = [marks[i].values.to_numpy(zero_copy_only=False).view(U) for i in range(a, b)]
+                known = [marks[i].values.to_numpy(zero_copy_only=False) if marks[i].is_valid else none
+                         for i in range(a, b)]
+                low = name.astype(np.uint32).view(np.int32)
                 ends = np.searchsorted(doc[start], np.arange(b - a + 1))
-                hit = np.concatenate([np.isin(name[ends[i]:ends[i + 1]], known[i]) for i in range(b - a)])
+                hit = np.concatenate([np.isin(low[ends[i]:ends[i + 1]], known[i]) for i in range(b - a)])
                 start = start[hit]
                 w1, w2 = (ngram_hashes(h, window, seed)[start] if len(start) else np.zeros(0, dtype=U)
                           for seed in (0, 0x5BD1E995))
@@ -209,7 +211,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 4, id_col: s
                      pa.array(doc_ids[a:b][doc[start][first]], pa.int64())], names=["w1", "w2", "doc_id"])
 
     same_words = Window.partitionBy("w1", "w2")
-    repeated = (by_id.where("text is not null").join(shared, "doc_id").select("doc_id", "text", "marks")
+    # Both joins keep every row, so that they read the texts from one and the same exchange.
+    repeated = (by_id.join(shared, "doc_id", "left").select("doc_id", "text", "marks", "row")
                 .mapInArrow(emit_windows, "w1 long, w2 int, doc_id long")
                 .withColumn("lo", F.min("doc_id").over(same_words)).where("doc_id > lo")
                 .groupBy("doc_id").agg(F.collect_list("w1").alias("cut")))
