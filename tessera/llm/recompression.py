@@ -185,7 +185,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 4, id_col: s
     by_anchor = Window.partitionBy("anchor")
     shared = (ids.mapInArrow(emit_anchors, "anchor long, doc_id long")
               .withColumn("lo", F.min("doc_id").over(by_anchor)).withColumn("hi", F.max("doc_id").over(by_anchor))
-              .where("lo < hi").groupBy("doc_id").agg(F.collect_list(F.col("anchor").bitwiseAND(0xFFFFFFFF).cast("int")).alias("marks")))
+              .where("lo < hi").groupBy("doc_id").agg(F.collect_list(F.shiftright(F.shiftleft("anchor", 32), 32).cast("int")).alias("marks")))
     by_id = rows.repartition("doc_id")
 
     def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
