@@ -18,7 +18,7 @@ LinearSVC the squared hinge.
 
 from __future__ import annotations
 
-import math
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -31,10 +31,6 @@ from tessera.operators import features as fe
 from tessera.session import materialize
 
 
-# Training rows per partition for the MLlib optimizers (sparse TF-IDF rows).
-ROWS_PER_PARTITION = 50_000
-
-
 @dataclass(frozen=True)
 class ModelSpec:
     kind: str = "lr"              # "lr" or "svc"
@@ -42,7 +38,7 @@ class ModelSpec:
     penalty: str = "l2"           # "l2" or "l1" (lr only)
     intercept: str = "penalised"  # "penalised" (liblinear) or "free" (lbfgs)
     balanced: bool = False
-    max_iter: int = 50
+    max_iter: int = 1000          # the solver's limit; ``fit`` warns if it is reached
     tol: float = 1e-6
 
 
@@ -119,18 +115,21 @@ def _with_weights(train: DataFrame, balanced: bool) -> DataFrame:
     return train.join(F.broadcast(cw.select("label", F.col("weight").alias("w"))), "label")
 
 
-def fit(train: DataFrame, spec: ModelSpec):
-    """Fit on a design frame (``features``, ``label_fit``) -> MLlib model."""
+def fit(train: DataFrame, spec: ModelSpec, partitions: int | None = None):
+    """Fit on a design frame (``features``, ``label_fit``) -> MLlib model.
+
+    Warns, and leaves ``model.converged`` false, if the solver stops at
+    ``spec.max_iter`` before it has converged.  ``partitions`` (off by
+    default) coalesces the training rows first, for callers with many tiny
+    partitions.
+    """
     from pyspark.ml.classification import LinearSVC, LogisticRegression
 
     train = _with_weights(train, spec.balanced)
     stats = train.agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")).first()
     reg = 1.0 / (spec.C * stats["w"])
-    # Each optimizer iteration is one treeAggregate job over the training
-    # rows; tasks far smaller than ROWS_PER_PARTITION only add scheduling
-    # cost (measured 3-4x per fit).  coalesce never shuffles and never adds
-    # partitions, so a large training set keeps its parallelism.
-    train = train.coalesce(max(1, math.ceil(stats["n"] / ROWS_PER_PARTITION)))
+    if partitions:
+        train = train.coalesce(partitions)
     fit_intercept = spec.intercept == "free"
     if spec.kind == "lr":
         est = LogisticRegression(featuresCol="features", labelCol="label_fit", weightCol="w",
@@ -143,7 +142,12 @@ def fit(train: DataFrame, spec: ModelSpec):
                         maxIter=spec.max_iter, tol=spec.tol)
     else:
         raise ValueError(spec.kind)
-    return est.fit(train)
+    model = est.fit(train)
+    model.converged = model.summary.totalIterations < spec.max_iter if spec.kind == "lr" else (
+        model.summary().totalIterations < spec.max_iter)
+    if not model.converged:
+        warnings.warn(f"{spec} stopped at its limit of {spec.max_iter} iterations", RuntimeWarning, stacklevel=2)
+    return model
 
 
 def score(model, rows: DataFrame, keep: Sequence[str] = ("doc_id", "split", "label")) -> DataFrame:
@@ -177,19 +181,27 @@ def linear_scores(model, fs: FeatureSet, penalised: bool, rows: DataFrame | None
                     (F.col("score") > 0).cast("int").alias("prediction")))
 
 
+def fit_model(fs: FeatureSet, spec: ModelSpec, fit_split: str = "train", partitions: int | None = None):
+    """Fit on the ``fit_split`` rows; only their terms are grouped into vectors."""
+    penalised = spec.intercept == "penalised"
+    rows = fs.corpus.where(F.col("split") == fit_split)
+    part = FeatureSet(fs.long.join(rows.select("doc_id"), "doc_id", "left_semi"), rows, fs.size, fs.vocabs)
+    train_rows = design(part, bias=penalised, flip=penalised).cache()
+    try:
+        return fit(train_rows, spec, partitions)
+    finally:
+        train_rows.unpersist()
+
+
 def train_and_score(fs: FeatureSet, spec: ModelSpec, fit_split: str = "train"):
     """Fit on the ``fit_split`` rows and score every row of the feature set.
 
-    Only the training rows are turned into vectors (cached for the fit's
-    iterations, then released); scoring is relational (``linear_scores``)
+    Scoring is relational (``linear_scores``)
     and checkpointed, one row per document.
     """
     penalised = spec.intercept == "penalised"
-    train_rows = design(fs, bias=penalised, flip=penalised).where(F.col("split") == fit_split).cache()
-    model = fit(train_rows, spec)
-    scored = materialize(linear_scores(model, fs, penalised))
-    train_rows.unpersist()
-    return model, scored
+    model = fit_model(fs, spec, fit_split)
+    return model, materialize(linear_scores(model, fs, penalised))
 
 
 def coefficient_table(spark: SparkSession, model, fs: FeatureSet) -> DataFrame:

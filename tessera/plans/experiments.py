@@ -23,6 +23,7 @@ from tessera.operators import features as fe
 from tessera.operators import models as mo
 from tessera.operators import report as rp
 from tessera.operators import validate as va
+from tessera.session import materialize
 
 
 @dataclass(frozen=True)
@@ -38,12 +39,12 @@ class Experiment:
 LR = "lr"
 SVC = "svc"
 BASE = (
-    Experiment("word_lr", (fe.WORD_1_2,), mo.ModelSpec(LR, 4.0)),
+    Experiment("word_lr", (fe.WORD_1_2,), mo.ModelSpec(LR, 4.0, max_iter=800)),
     Experiment("word_svc", (fe.WORD_1_2,), mo.ModelSpec(SVC, 1.0)),
     Experiment("char_svc", (fe.CHAR_3_5,), mo.ModelSpec(SVC, 0.5)),
 )
 ORIGINAL = (
-    Experiment("word_lr_original", (fe.WORD_1_2_MIN3,), mo.ModelSpec(LR, 4.0)),
+    Experiment("word_lr_original", (fe.WORD_1_2_MIN3,), mo.ModelSpec(LR, 4.0, max_iter=800)),
     Experiment("word_svc_original", (fe.WORD_1_2_MIN3,), mo.ModelSpec(SVC, 1.0)),
     Experiment("char_svc_original", (fe.CHAR_3_5_MIN3,), mo.ModelSpec(SVC, 0.5)),
 )
@@ -67,7 +68,7 @@ V2 = (
                mo.ModelSpec(LR, 1.0), cv=True),
     Experiment("word_lr_l2_strong", (fe.WORD_1_3,), mo.ModelSpec(LR, 0.1, intercept="free"), cv=True),
 )
-SELECTOR = mo.ModelSpec(LR, 0.5)
+SELECTOR = mo.ModelSpec(LR, 0.5, max_iter=500)
 # ----------------------------------------------------------------------------
 
 
@@ -88,23 +89,28 @@ def run_grid(corpus: DataFrame, experiments: Sequence[Experiment], text_col: str
     doc_id, text (already preprocessed), label, split."""
     spark = corpus.sparkSession
     cache: dict = {}
+    cached: list = []
     preds, cv_rows, models, feats = [], [], {}, {}
     for exp in experiments:
         if exp.vectorizers not in cache:
             fs = mo.build_features(corpus, exp.vectorizers, text_col)
             fs.long = fs.long.cache()
+            cached.append(fs.long)
             cache[exp.vectorizers] = fs
         fs = cache[exp.vectorizers]
         if exp.select:
-            selector, _ = mo.train_and_score(fs, SELECTOR)
+            selector = mo.fit_model(fs, SELECTOR)
             fs = mo.select_features(fs, mo.coefficient_table(spark, selector, fs))
             fs.long = fs.long.cache()
+            cached.append(fs.long)
         if exp.cv:
             folds = mo.cross_validate(fs, exp.model)
-            cv_rows.append(folds.withColumn("experiment", F.lit(exp.name)))
+            cv_rows.append(materialize(folds).withColumn("experiment", F.lit(exp.name)))
         model, scored = mo.train_and_score(fs, exp.model)
         preds.append(scored.withColumn("experiment", F.lit(exp.name)))  # already checkpointed
         models[exp.name], feats[exp.name] = model, fs
+    for held in cached:  # everything below reads the checkpointed predictions
+        held.unpersist()
     allp = preds[0]
     for p in preds[1:]:
         allp = allp.unionByName(p)

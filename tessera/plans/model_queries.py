@@ -34,12 +34,12 @@ def _fit_query(spark, sf_dir, vec, spec):
 def flagship(spark, sf_dir) -> DataFrame:
     """Word TF-IDF (fit on train) -> L2 LR with penalised intercept ->
     metric bundle per split."""
-    scored = _fit_query(spark, sf_dir, fe.WORD_1_2, mo.ModelSpec("lr", 4.0))
+    scored = _fit_query(spark, sf_dir, fe.WORD_1_2, mo.ModelSpec("lr", 4.0, max_iter=800))
     return ev.metric_bundle(scored.withColumn("experiment", F.lit("word_lr")), KEYS)
 
 
 def q_train_lr(spark, sf_dir):
-    return _fit_query(spark, sf_dir, fe.WORD_1_2, mo.ModelSpec("lr", 4.0))
+    return _fit_query(spark, sf_dir, fe.WORD_1_2, mo.ModelSpec("lr", 4.0, max_iter=800))
 
 
 def q_train_lr_free_intercept(spark, sf_dir):
@@ -61,7 +61,7 @@ def q_train_svc(spark, sf_dir):
 def q_predictions(spark, sf_dir):
     """Prediction table of the word LR: text, label, prob_hate, prediction."""
     corpus = labelled_docs(spark, sf_dir)
-    scored = _fit_query(spark, sf_dir, fe.WORD_1_2, mo.ModelSpec("lr", 4.0))
+    scored = _fit_query(spark, sf_dir, fe.WORD_1_2, mo.ModelSpec("lr", 4.0, max_iter=800))
     return (scored.join(corpus.select("doc_id", "text"), "doc_id")
             .select("doc_id", "split", "text", "label", F.col("prob").alias("prob_hate"), "prediction"))
 
@@ -97,7 +97,7 @@ def q_balanced_lr_cv(spark, sf_dir):
 def q_preprocessing_ablation(spark, sf_dir):
     """Word LR (C=4) on raw vs normalized text."""
     corpus = labelled_docs(spark, sf_dir)
-    exp = ex.Experiment("word_lr", (fe.WORD_1_2,), mo.ModelSpec("lr", 4.0))
+    exp = ex.Experiment("word_lr", (fe.WORD_1_2,), mo.ModelSpec("lr", 4.0, max_iter=800))
     rows = []
     for variant, c in (("raw", corpus), ("normalized", ex.normalized_corpus(corpus))):
         t = ex.run_grid(c, [exp]).table

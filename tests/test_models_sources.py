@@ -43,15 +43,43 @@ def test_lr_penalised_intercept_matches_newton(spark):
         assert s[r.doc_id] == pytest.approx(float(x @ b[:-1] + b[-1]), abs=1e-3)
 
 
-def test_all_model_kinds_run(spark):
+def test_default_specs_reach_the_optimum(spark):
+    """At the default limits logistic regression converges, and its point is
+    optimal: the gradient (or subgradient) is near zero."""
     corpus = ex.normalized_corpus(co.labelled_docs(spark, SF_SMALL))
-    fs = mo.build_features(corpus, (fe.VectorizerSpec("word", 1, 2, 2, 200),))
-    for spec in (mo.ModelSpec("svc", 1.0), mo.ModelSpec("lr", 0.5, penalty="l1"),
-                 mo.ModelSpec("lr", 1.0, balanced=True), mo.ModelSpec("lr", 0.1, intercept="free")):
-        _, scored = mo.train_and_score(fs, spec)
-        rows = scored.collect()
-        assert len(rows) == corpus.count()
-        assert all(r.prediction == int(r.score > 0) for r in rows)
+    fs = mo.build_features(corpus, (fe.VectorizerSpec("word", 1, 1, 2, 40),))
+    rows = mo.design(fs, bias=False, flip=False).where("split = 'train'").collect()
+    X = np.array([r.features.toArray() for r in rows])
+    y = np.array([r.label for r in rows], dtype=float)
+    for spec in (mo.ModelSpec("lr", 4.0), mo.ModelSpec("lr", 0.1, intercept="free")):
+        model = mo.fit_model(fs, spec, partitions=1)
+        assert model.converged
+        free = spec.intercept == "free"
+        w = model.coefficients.toArray()
+        b = float(model.intercept) if free else w[-1]
+        w = w[:fs.size]
+        c = np.ones(len(y))
+        if spec.balanced:
+            c = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+
+        def grad(w, b):
+            r = c * (1 / (1 + np.exp(-(X @ w + b))) - y)
+            return spec.C * X.T @ r, spec.C * r.sum()
+
+        g, gb = grad(w, b)
+        start = np.abs(grad(np.zeros_like(w), 0.0)[0]).max()
+        if spec.penalty == "l1":
+            off = np.where(w == 0, np.maximum(np.abs(g) - 1, 0), np.abs(g + np.sign(w)))
+        else:
+            off = np.abs(g + w)
+        assert off.max() <= 1e-2 * max(1.0, start), spec
+
+
+def test_fit_warns_at_its_limit(spark):
+    corpus = ex.normalized_corpus(co.labelled_docs(spark, SF_SMALL))
+    fs = mo.build_features(corpus, (fe.VectorizerSpec("word", 1, 1, 2, 40),))
+    with pytest.warns(RuntimeWarning, match="limit of 2"):
+        assert not mo.fit_model(fs, mo.ModelSpec("lr", 4.0, max_iter=2)).converged
 
 
 def test_grid_with_selection_and_cv(spark):
