@@ -107,6 +107,8 @@ def subsequences(words: list[str], decay: float) -> tuple[np.ndarray, np.ndarray
 
 def kernel(a: list[str], b: list[str], decay: float) -> np.ndarray:
     """Matrix of normalised subsequence kernels."""
+    if len(a) > 256:  # in parts, so that the products stay small
+        return np.vstack([kernel(a[i:i + 256], b, decay) for i in range(0, len(a), 256)])
     wb, cb, vb = subsequences(b, decay)
     wa, ca, va = subsequences(a, decay)
     used, slot = np.unique(cb, return_inverse=True)
@@ -144,6 +146,8 @@ class KernelModel:
     landmarks: list[str]
 
     def values(self, words: list[str]) -> np.ndarray:
+        if len(words) > 8192:
+            return np.concatenate([self.values(words[i:i + 8192]) for i in range(0, len(words), 8192)])
         word, code, w = subsequences(words, self.decay)
         return np.bincount(word, weights=w * self.table[code], minlength=len(words)) + self.bias
 
