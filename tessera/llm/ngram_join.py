@@ -9,13 +9,21 @@ whose prefix has the least estimated candidate cost (the sum of its shingles'
 document counts, over l squared), and a pair is verified only if it shares the
 smaller of the two l.  Any order is exact; it only steers the cost.
 
+A shared token at positions i and j of two prefixes, the k-th they share, leaves
+them at most k + min(n - i - 1, n' - j - 1) shingles in common.  Posting lists
+propose a pair only where that bound, with the smaller l for k, still reaches
+the similarity.  Shingles of one document alone come first in the order, so a
+near copy with too many of its own drops out here.
+
 Sets are compared whole: documents with equal sets are one class from the
 start, and candidate pairs are verified by the exact intersection of the
 64-bit shingle hashes.  Candidates come in two steps so that a group of
 thousands of near copies never becomes all its pairs: first each posting list
-(by shingle and size class) proposes only its members with its smallest
-member; then, with the components of the links found, only members of
-different components.  Pairs inside one component cannot change it.
+(by shingle and size class) proposes only its members with its most central
+member, whose shingles are the most frequent on average; then, with the
+components of the links found, only members of different components.  Pairs
+inside one component cannot change it.  Lists of two are one pair and done in
+the first step.
 
 Document counts cover all shingles of all documents, in a sketch of fixed size
 (2 ** 21 hash buckets): a shingle counts as frequent if its bucket holds well
@@ -70,13 +78,15 @@ def bucket(s: np.ndarray) -> np.ndarray:
 
 
 def choose_prefix(s: np.ndarray, counts: np.ndarray, usual: float, percent: int,
-                  max_match: int) -> tuple[int, np.ndarray]:
-    """(l, prefix) of a sorted set of shingles; ``counts`` are the document
-    counts of the hash buckets and ``usual`` what an ordinary bucket holds."""
+                  max_match: int) -> tuple[int, np.ndarray, float]:
+    """(l, prefix, centrality) of a sorted set of shingles; ``counts`` are the
+    document counts of the hash buckets and ``usual`` what an ordinary bucket
+    holds.  Centrality is the mean logarithm of the counts."""
     n = len(s)
     c = counts[bucket(s)]
     # The order: by power of two of the count over the usual one, then by hash.
-    order = np.lexsort((s, np.floor(np.log2(np.maximum(c / usual, 1.0)))))
+    level = np.log2(np.maximum(c / usual, 1.0))
+    order = np.lexsort((s, np.floor(level)))
     p = n - needed(n, percent) + 1
     total = np.cumsum(np.maximum(c[order] - usual, 1.0))
     best, cost = 1, math.inf
@@ -86,7 +96,7 @@ def choose_prefix(s: np.ndarray, counts: np.ndarray, usual: float, percent: int,
         k = total[p + m - 2] / (m * m) + (p + m - 1)  # candidates, and the longer index
         if k < cost:
             best, cost = m, k
-    return best, s[order[:p + best - 1]]
+    return best, s[order[:p + best - 1]], float(level.mean())
 
 
 def _binary(s: np.ndarray) -> bytes:
@@ -131,67 +141,69 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in text_chunks(texts):
-                size, k1, k2, match, prefix = [], [], [], [], []
+                size, k1, k2, match, prefix, centre = [], [], [], [], [], []
                 for t in texts[a:b]:
                     s = shingles(t, n, cache)
-                    m, p = choose_prefix(s, counts, usual, percent, max_match) if len(s) else (0, s)
+                    m, p, mid = choose_prefix(s, counts, usual, percent, max_match) if len(s) else (0, s, 0.0)
                     size.append(len(s))
                     k1.append(int(signed(np.add.reduce(mix64(s), keepdims=True, dtype=np.uint64))[0]))
                     k2.append(int(signed(np.add.reduce(mix64(s ^ np.uint64(0xA5A5F00D5EED1234)), keepdims=True,
                                                        dtype=np.uint64))[0]))
                     match.append(m)
                     prefix.append(signed(p))
+                    centre.append(mid)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(size, pa.int64()), pa.array(k1, pa.int64()),
                      pa.array(k2, pa.int64()), pa.array(match, pa.int32()),
-                     pa.array(prefix, type=pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "k1", "k2", "l", "prefix"])
+                     pa.array(prefix, type=pa.list_(pa.int64())), pa.array(centre, pa.float32())],
+                    names=["doc_id", "n", "k1", "k2", "l", "prefix", "centre"])
 
-    indexed = written(rows.mapInArrow(index, "doc_id long, n long, k1 long, k2 long, l int, prefix array<long>"),
-                      "ngram-index")
+    indexed = written(rows.mapInArrow(
+        index, "doc_id long, n long, k1 long, k2 long, l int, prefix array<long>, centre float"), "ngram-index")
     # Equal sets: the smallest id stands for them.
     sets = written(indexed.where("n > 0 and doc_id is not null").groupBy("n", "k1", "k2")
                    .agg(F.min("doc_id").alias("rep")), "ngram-sets")
     # One row of a representative suffices; equal ids with different texts stay apart by their keys.
     reps = (indexed.where("n > 0").join(sets.withColumnRenamed("rep", "doc_id"), ["n", "k1", "k2", "doc_id"])
-            .select("n", "k1", "k2", "doc_id", "l", "prefix").dropDuplicates(["n", "k1", "k2"]))
+            .select("n", "k1", "k2", "doc_id", "l", "prefix", "centre").dropDuplicates(["n", "k1", "k2"]))
     node = F.xxhash64("k1", "k2", "n").alias("node")
-    posts = reps.select(F.explode("prefix").alias("token"), node, F.col("doc_id").alias("rep"), "n", "l")
-    common = posts.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    posts = materialize(posts.join(common, "token"))
-
-    def fits(a: str, b: str):
-        return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
-
-    band = F.floor(F.log("n") / F.lit(math.log(100 / percent)))
-    banded = posts.withColumn("band", band)
+    posts = reps.select(F.posexplode("prefix").alias("pos", "token"), node, "n", "l", "centre")
+    # How many shingles a pair may have in common from this token on, and as many as the l before it.
+    posts = posts.select("token", "node", "n", "l", "centre", (F.col("n") - F.col("pos") + F.col("l") - 1).alias("room"))
+    common = posts.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    posts = written(posts.join(common, "token"), "ngram-posts")
+
+    def reaches(room: str, n_a: str, n_b: str):
+        """Whether ``room`` shingles in common suffice for the similarity."""
+        return F.expr(f"{100 + percent} * ({room}) >= {percent} * ({n_a} + {n_b})")
+
+    # n - pos + min(l) - 1 on both sides, from room = n - pos + l - 1.
+    may_link = reaches("least(room - l, room_2 - l_2) + least(l, l_2)", "n", "n_2")
+    band = F.when(F.col("c") > 2, F.floor(F.log("n") / F.lit(math.log(100 / percent))))
+    banded = posts.withColumn("band", F.coalesce(band, F.lit(-1)))  # lists of two: in one band
     hubs = banded.groupBy("token", "band").agg(
-        F.min(F.struct("rep", "node", "n", "l")).alias("h"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    star = (banded.join(hubs, ["token", "band"]).where("node <> h.node")
-            .select("node", "rep", "n", "l", F.col("h.node").alias("node_2"), F.col("h.rep").alias("rep_2"),
-                    F.col("h.n").alias("n_2"), F.col("h.l").alias("l_2")))
+        F.max(F.struct("centre", "node", "n", "l", "room")).alias("h"), F.count(F.lit(1)).alias("members"))
+    hubs = hubs.where("members > 1").select("token", "band", *[F.col(f"h.{x}").alias(f"{x}_2")
+                                                               for x in ("node", "n", "l", "room")])
+    star = (banded.join(hubs, ["token", "band"]).where((F.col("node") != F.col("node_2")) & may_link)
+            .select("node", "n", "l", "node_2", "n_2", "l_2", (F.col("c") == 2).alias("two")))
 
     def candidates(pairs: DataFrame) -> DataFrame:
         """Distinct pairs, smaller node first, that share enough of their prefixes."""
-        swap = F.col("node") > F.col("node_2")
-        cols = [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in
-                (("node", "node_2"), ("rep", "rep_2"), ("n", "n_2"), ("l", "l_2"))]
-        cols += [F.when(swap, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in
-                 (("node", "node_2"), ("rep", "rep_2"), ("n", "n_2"), ("l", "l_2"))]
-        return (pairs.where(fits("n", "n_2")).select(*cols)
-                .groupBy("node", "node_2", "rep", "rep_2", "n", "n_2")
-                .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("l", "l_2")).alias("least_l"))
-                .where("shared >= least_l").select("node", "node_2", "rep", "rep_2", "n", "n_2"))
+        pair = F.struct(F.least("node", "node_2").alias("node"), F.greatest("node", "node_2").alias("node_2"))
+        return (pairs.select(pair.alias("pair"), F.least("l", "l_2").alias("least_l")).groupBy("pair")
+                .agg(F.count(F.lit(1)).alias("shared"), F.min("least_l").alias("least_l"))
+                .where("shared >= least_l").select("pair.*"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = HashCache()
         for batch in batches:
-            texts = batch.column(2).to_pylist()
+            texts = batch.column(3).to_pylist()
             for a, b in text_chunks(texts):
                 packed = [_binary(shingles(t, n, cache)) for t in texts[a:b]]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(packed, pa.binary())],
-                    names=["node", "n", "s"])
+                    [batch.column(i).slice(a, b - a) for i in range(3)] + [pa.array(packed, pa.binary())],
+                    names=["node", "rep", "n", "s"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,32 +231,35 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
         want = pairs.select("node").union(pairs.select("node_2")).distinct()
         want = written(keys.join(want, "node").select("doc_id", "node", "n", "k1", "k2"), "ngram-wanted")
         # A row of that id with that very set (ids may repeat with other texts).
-        chosen = rows.join(want, "doc_id").select("node", "n", "text")
-        packed = (chosen.mapInArrow(sets_of, "node long, n long, s binary")
+        chosen = rows.join(want, "doc_id").select("node", F.col("doc_id").alias("rep"), "n", "text")
+        packed = (chosen.mapInArrow(sets_of, "node long, rep long, n long, s binary")
                   .where(F.length("s") == 8 * F.col("n")).dropDuplicates(["node"]).drop("n"))
         packed = written(packed, "ngram-wanted-sets")
         both = (pairs.join(packed, "node")
-                .join(packed.withColumnsRenamed({"node": "node_2", "s": "s_2"}), "node_2")
+                .join(packed.withColumnsRenamed({"node": "node_2", "rep": "rep_2", "s": "s_2"}), "node_2")
                 .select("node", "node_2", "rep", "rep_2", "s", "s_2"))
         return materialize(both.mapInArrow(
             verify, "node long, node_2 long, rep long, rep_2 long, common long, united long"))
 
-    tried = written(candidates(star), "ngram-star")
+    star = written(star, "ngram-star")
+    tried = written(candidates(star), "ngram-tried")
     first = links(tried)
     parts = connected_components(first.select(F.col("node").alias("a"), F.col("node_2").alias("b")))
-    tagged = (posts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    tagged = materialize(tagged)
-    lists = tagged.groupBy("token", "component").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    mixed = lists.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    lists = lists.join(mixed, "token")
+    tagged = (posts.where("c > 2").join(parts, "node", "left")
+              .withColumn("component", F.coalesce("component", "node")).drop("centre", "c"))
+    tagged = written(tagged, "ngram-tagged")
+    lists = tagged.groupBy("token", "component").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("room").alias("room"))
     cross = (lists.alias("x").join(lists.alias("y"), F.col("x.token") == F.col("y.token"))
              .where("x.component < y.component")
              .where(f"100 * y.hi >= {percent} * x.lo and 100 * x.hi >= {percent} * y.lo")
+             .where(reaches("least(x.room, y.room)", "x.lo", "y.lo"))
              .select("x.token", F.col("x.component").alias("component"), F.col("y.component").alias("component_2")))
-    right = tagged.select("token", F.col("component").alias("component_2"), F.col("node").alias("node_2"),
-                          F.col("rep").alias("rep_2"), F.col("n").alias("n_2"), F.col("l").alias("l_2"))
-    rest = candidates(cross.join(tagged, ["token", "component"]).join(right, ["token", "component_2"]))
-    rest = rest.join(tried.select("node", "node_2"), ["node", "node_2"], "left_anti")
+    right = tagged.withColumnsRenamed({x: f"{x}_2" for x in ("component", "node", "n", "l", "room")})
+    across = cross.join(tagged, ["token", "component"]).join(right, ["token", "component_2"]).where(may_link)
+    rest = candidates(across.select("node", "node_2", "l", "l_2").union(
+        star.where("two").select("node", "node_2", "l", "l_2")))
+    rest = rest.join(tried, ["node", "node_2"], "left_anti")
     found = first.union(links(rest))
     parts = connected_components(found.select(F.col("node").alias("a"), F.col("node_2").alias("b")))
     # The component's smallest id, over all sets in it.
