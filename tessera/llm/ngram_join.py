@@ -55,6 +55,7 @@ from tessera.session import materialize
 
 SKETCH_BITS = 21  # hash buckets whose documents are counted: 2 ** 21, whatever the corpus
 SKETCH_SLICES = 64
+FILTER_BITS = 26  # 2 ** 26 bits, 8 MB, say which ids may be wanted, whatever the corpus
 
 
 def shingles(text: str | None, n: int, cache: HashCache) -> np.ndarray:
@@ -103,6 +104,35 @@ def _binary(s: np.ndarray) -> bytes:
     return s.astype("<u8").tobytes()
 
 
+def only_wanted(rows: DataFrame, want: DataFrame) -> DataFrame:
+    """The ``rows`` (doc_id, text) whose id may be among ``want``: a bitmap of
+    fixed size, by the ids' hashes, spares the others the shuffle of a join.
+    It never drops a wanted row; ids that share a bit pass to the join."""
+    spark = rows.sparkSession
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("place")
+    width = 1 << (FILTER_BITS - 6)  # bits of a slice
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(width, dtype=np.uint8)
+        bits[pdf["place"].to_numpy() % width] = 1
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
+
+    slices = (want.select(place).distinct().withColumn("slice", (F.col("place") / width).cast("int"))
+              .groupBy("slice").applyInPandas(pack, "slice int, bits binary").collect())  # of fixed size
+    bitmap = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
+    for r in slices:
+        bitmap[r["slice"] * (width // 8):(r["slice"] + 1) * (width // 8)] = np.frombuffer(r.bits, dtype=np.uint8)
+    shared = spark.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            hit = (shared.value[at // 8] >> (7 - at % 8).astype(np.uint8)) & 1
+            yield batch.select([0, 1]).filter(pa.array(hit.astype(bool)))
+
+    return rows.select("doc_id", "text", place).mapInArrow(run, "doc_id long, text string")
+
+
 def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: int = 3,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """((doc_id, n_shingles, component_id) for every row, (a, b, common, united)
@@ -160,12 +190,11 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
 
     indexed = written(rows.mapInArrow(
         index, "doc_id long, n long, k1 long, k2 long, l int, prefix array<long>, centre float"), "ngram-index")
-    # Equal sets: the smallest id stands for them.
-    sets = written(indexed.where("n > 0 and doc_id is not null").groupBy("n", "k1", "k2")
-                   .agg(F.min("doc_id").alias("rep")), "ngram-sets")
-    # One row of a representative suffices; equal ids with different texts stay apart by their keys.
-    reps = (indexed.where("n > 0").join(sets.withColumnRenamed("rep", "doc_id"), ["n", "k1", "k2", "doc_id"])
-            .select("n", "k1", "k2", "doc_id", "l", "prefix", "centre").dropDuplicates(["n", "k1", "k2"]))
+    # Equal sets: the smallest id stands for them, found before and after one shuffle.
+    reps = written(indexed.where("n > 0 and doc_id is not null").groupBy("n", "k1", "k2")
+                   .agg(F.min(F.struct("doc_id", "l", "centre", "prefix")).alias("r"))
+                   .select("n", "k1", "k2", "r.*"), "ngram-sets")
+    sets = reps.select("n", "k1", "k2", F.col("doc_id").alias("rep"))
     node = F.xxhash64("k1", "k2", "n").alias("node")
     posts = reps.select(F.posexplode("prefix").alias("pos", "token"), node, "n", "l", "centre")
     # How many shingles a pair may have in common from this token on, and as many as the l before it.
@@ -231,7 +260,7 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
         want = pairs.select("node").union(pairs.select("node_2")).distinct()
         want = written(keys.join(want, "node").select("doc_id", "node", "n", "k1", "k2"), "ngram-wanted")
         # A row of that id with that very set (ids may repeat with other texts).
-        chosen = rows.join(want, "doc_id").select("node", F.col("doc_id").alias("rep"), "n", "text")
+        chosen = only_wanted(rows, want).join(want, "doc_id").select("node", F.col("doc_id").alias("rep"), "n", "text")
         packed = (chosen.mapInArrow(sets_of, "node long, rep long, n long, s binary")
                   .where(F.length("s") == 8 * F.col("n")).dropDuplicates(["node"]).drop("n"))
         packed = written(packed, "ngram-wanted-sets")
