@@ -53,7 +53,7 @@ STAGES = [
 ]
 
 #: Two of the stages are trained or packed by heuristics, which SQL cannot
-#: state; tests/llm/test_pipeline.py compares each stage with brute force.
+#: state; tests/llm/test_pipeline.py checks each stage on what the last one kept.
 ORACLE_SQL = None
 
 
