@@ -2,9 +2,9 @@
 
 Plan shape (one shuffle of raw text, everything per document stays local):
 
-  docs --repartition(doc_id)--> explode terms --> groupBy(doc_id, term)
-        (no shuffle: hash(doc_id) already clusters (doc_id, term))
+  docs --repartition(doc_id)--> explode terms
      --> broadcast join vocab (size bounded by max_features)
+     --> groupBy(doc_id, idx)  (no shuffle: hash(doc_id) already clusters it)
      --> L2 norm by window over doc_id (no shuffle, same partitioning)
 
 The vocabulary fit shuffles only on ``term`` with map-side partial
@@ -27,15 +27,13 @@ from tessera.functions.text import split_words
 from tessera.functions.tokens import (
     char_wb_gram_at,
     char_wb_gram_count,
-    char_wb_ngrams,
     word_gram_at,
     word_gram_count,
-    word_ngrams,
     word_tokens,
 )
 
-# Above this many vocabulary rows the transform join is left to Catalyst/AQE
-# instead of an explicit broadcast.
+# Tables of a known row count up to this get an explicit broadcast hint; the
+# join of larger ones is left to Catalyst/AQE.
 BROADCAST_VOCAB_MAX = 2_000_000
 
 
@@ -63,48 +61,48 @@ CHAR_3_6 = VectorizerSpec("char", 3, 6, 2, 10000)
 # ----------------------------------------------------------------------------
 
 
-def terms_of(spec: VectorizerSpec, text_col: str = "text"):
-    if spec.kind == "word":
-        return word_ngrams(word_tokens(text_col), spec.ngram_lo, spec.ngram_hi)
-    return char_wb_ngrams(text_col, spec.ngram_lo, spec.ngram_hi)
+def gram_rows(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
+              key: str = "doc_id", num_partitions: int | None = None) -> DataFrame:
+    """(doc_id, term, n): the n-grams of every document, not yet summed.
 
-
-def term_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
-                key: str = "doc_id", num_partitions: int | None = None) -> DataFrame:
-    """(doc_id, term, tf) for every distinct term of every document.
-
-    The documents are hash-partitioned by ``doc_id`` once; the explode and the
-    per-(doc_id, term) count then run without a further shuffle.
+    The documents are hash-partitioned by ``doc_id`` once; whatever is
+    counted per document afterwards needs no further shuffle.
     """
     n = num_partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parted = docs.select(key, text_col).repartition(n, key)
     if spec.kind == "char":
-        return _char_counts(parted, spec, text_col, key)
+        return _char_rows(parted, spec, text_col, key)
     # Tokens are projected first (the gram expressions read a column, not
     # the tokenizer); then one row per gram index and a plain slice+join, as
     # for char n-grams.  The count can be 0, so the index range is guarded.
     toks = parted.select(key, word_tokens(text_col).alias("_tok"))
     total = word_gram_count("_tok", spec.ngram_lo, spec.ngram_hi)
     k = F.explode(F.when(total > 0, F.sequence(F.lit(0), total - 1)).otherwise(F.array().cast("array<int>")))
-    grams = (toks.select(key, "_tok", k.alias("k"))
-             .select(key, word_gram_at("_tok", "k", spec.ngram_lo, spec.ngram_hi).alias("term")))
-    return grams.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return (toks.select(key, "_tok", k.alias("k"))
+            .select(key, word_gram_at("_tok", "k", spec.ngram_lo, spec.ngram_hi).alias("term"),
+                    F.lit(1).cast("long").alias("n")))
 
 
-def _char_counts(parted: DataFrame, spec: VectorizerSpec, text_col: str, key: str) -> DataFrame:
-    """char_wb counts: a word's n-grams depend only on the word, so words are
-    counted per document first and each distinct (doc, word) is expanded
-    once, weighted by its count.  Both aggregates run on the ``doc_id``
-    partitioning (no shuffle)."""
+def _char_rows(parted: DataFrame, spec: VectorizerSpec, text_col: str, key: str) -> DataFrame:
+    """char_wb n-grams: a word's n-grams depend only on the word, so words
+    are counted per document first and each distinct (doc, word) is expanded
+    once, weighted by its count, on the ``doc_id`` partitioning."""
     words = (parted.select(key, F.explode_outer(split_words(text_col)).alias("w"))
              .where(F.col("w").isNotNull())
              .groupBy(key, "w").agg(F.count(F.lit(1)).alias("wc")))
     # One row per gram index, then plain substring arithmetic: stays in
     # whole-stage codegen (a lambda per gram is interpreted).
     k = F.explode(F.sequence(F.lit(0), char_wb_gram_count("w", spec.ngram_lo, spec.ngram_hi) - 1))
-    grams = (words.select(key, "w", "wc", k.alias("k"))
-             .select(key, "wc", char_wb_gram_at("w", "k", spec.ngram_lo, spec.ngram_hi).alias("term")))
-    return grams.groupBy(key, "term").agg(F.sum("wc").alias("tf"))
+    return (words.select(key, "w", "wc", k.alias("k"))
+            .select(key, char_wb_gram_at("w", "k", spec.ngram_lo, spec.ngram_hi).alias("term"),
+                    F.col("wc").alias("n")))
+
+
+def term_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
+                key: str = "doc_id", num_partitions: int | None = None) -> DataFrame:
+    """(doc_id, term, tf) for every distinct term of every document."""
+    rows = gram_rows(docs, spec, text_col, key, num_partitions)
+    return rows.groupBy(key, "term").agg(F.sum("n").alias("tf"))
 
 
 def fit_vocab(counts: DataFrame, n_docs: int, spec: VectorizerSpec) -> DataFrame:
@@ -134,76 +132,61 @@ def _index_by_term(stats: DataFrame) -> DataFrame:
     return spark.createDataFrame(rdd, schema)
 
 
-def materialized_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
-                        key: str = "doc_id") -> DataFrame:
-    """Term counts computed once and kept (memory, spilling to disk).
-
-    The vocabulary fit and the transform both read the counts; without this
-    the explode and per-document count would run twice.  The cached plan
-    keeps the ``doc_id`` hash partitioning, so the transform's per-document
-    window needs no shuffle; a lost block is recomputed from lineage.
-    (A reliable checkpoint was measured slower here: the write costs more
-    than the second explode it saves.)
-    """
-    from pyspark import StorageLevel
-    return term_counts(docs, spec, text_col, key).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def fit_transform(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text", key: str = "doc_id",
                   fit_on: DataFrame | None = None, idx_offset: int = 0):
     """(vocab, long TF-IDF of every doc).  ``fit_on`` (keys only) restricts
-    the vocabulary fit to a subset, e.g. the train split."""
-    counts = materialized_counts(docs, spec, text_col, key)
-    if fit_on is None:
-        fit_counts, n_fit = counts, docs.count()
-    else:
-        fit_counts = counts.join(fit_on.select(key), key, "left_semi")
-        n_fit = fit_on.count()
-    vocab = fit_vocab(fit_counts, n_fit, spec)
-    return vocab, tfidf_long(counts, vocab, spec, key, idx_offset)
-
-
-def vectorizer_fit(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text") -> DataFrame:
-    """Fit a vocabulary on ``docs`` (the reference fits on the train split)."""
-    counts = term_counts(docs, spec, text_col)
-    n_docs = docs.count()
-    return fit_vocab(counts, n_docs, spec)
+    the vocabulary fit to a subset, e.g. the train split.
 
+    Two passes over the texts and nothing corpus-sized is kept: the first
+    reduces to one row per term, the second joins the vocabulary right after
+    the explode, so only known terms are counted per document.
+    """
+    fit_docs = docs if fit_on is None else docs.join(fit_on.select(key), key, "left_semi")
+    vocab = fit_vocab(term_counts(fit_docs, spec, text_col, key), fit_docs.count(), spec)
+    return vocab, transform(docs, vocab, spec, text_col, key, idx_offset)
 
-def _vocab_join(counts: DataFrame, vocab: DataFrame, spec: VectorizerSpec) -> DataFrame:
-    v = vocab.select("term", "idx", "idf")
-    if spec.max_features is not None and spec.max_features <= BROADCAST_VOCAB_MAX:
-        v = F.broadcast(v)
-    return counts.join(v, "term")
 
+def bounded_broadcast(small: DataFrame, rows: int | None) -> DataFrame:
+    """``small`` with a broadcast hint if its known row count allows it,
+    else as it is (Catalyst then chooses by size)."""
+    return F.broadcast(small) if rows is not None and rows <= BROADCAST_VOCAB_MAX else small
 
-def tfidf_long(counts: DataFrame, vocab: DataFrame, spec: VectorizerSpec,
-               key: str = "doc_id", idx_offset: int = 0) -> DataFrame:
-    """Long-form TF-IDF: (doc_id, idx, value), each document L2-normalised.
 
-    Documents without a known term have no rows (an all-zero row).
-    """
+def _weigh(known: DataFrame, spec: VectorizerSpec, key: str, idx_offset: int) -> DataFrame:
+    """(doc_id, idx, value) from (doc_id, idx, idf, tf), L2-normalised per document."""
     tf = F.col("tf").cast("double")
     w = (F.lit(1.0) + F.log(tf)) if spec.sublinear_tf else tf
-    raw = _vocab_join(counts, vocab, spec).select(key, "idx", (w * F.col("idf")).alias("raw"))
+    raw = known.select(key, "idx", (w * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, (F.col("idx") + F.lit(idx_offset)).alias("idx"),
                       (F.col("raw") / norm).alias("value"))
 
 
-def tfidf(docs: DataFrame, vocab: DataFrame, spec: VectorizerSpec, text_col: str = "text",
-          key: str = "doc_id", idx_offset: int = 0) -> DataFrame:
-    return tfidf_long(term_counts(docs, spec, text_col, key), vocab, spec, key, idx_offset)
+def tfidf_long(counts: DataFrame, vocab: DataFrame, spec: VectorizerSpec,
+               key: str = "doc_id", idx_offset: int = 0) -> DataFrame:
+    """Long-form TF-IDF of a term-count table: (doc_id, idx, value), each
+    document L2-normalised.
+
+    Documents without a known term have no rows (an all-zero row).
+    """
+    v = bounded_broadcast(vocab.select("term", "idx", "idf"), spec.max_features)
+    return _weigh(counts.join(v, "term"), spec, key, idx_offset)
+
 
+def transform(docs: DataFrame, vocab: DataFrame, spec: VectorizerSpec, text_col: str = "text",
+              key: str = "doc_id", idx_offset: int = 0) -> DataFrame:
+    """``tfidf_long`` straight from the documents.
 
-def combined_tfidf(docs: DataFrame, word_vocab: DataFrame, word_spec: VectorizerSpec,
-                   char_vocab: DataFrame, char_spec: VectorizerSpec, word_size: int,
-                   text_col: str = "text", key: str = "doc_id") -> DataFrame:
-    """Word block then char block side by side (each normalised on its own);
-    char indices are offset by the word vocabulary size."""
-    w = tfidf(docs, word_vocab, word_spec, text_col, key)
-    c = tfidf(docs, char_vocab, char_spec, text_col, key, idx_offset=word_size)
-    return w.unionByName(c)
+    With a capped vocabulary the n-grams meet it before they are counted; an
+    uncapped one may be too large to broadcast, so there the counts (fewer
+    rows than the n-grams) go into the join.
+    """
+    if spec.max_features is None:
+        return tfidf_long(term_counts(docs, spec, text_col, key), vocab, spec, key, idx_offset)
+    v = bounded_broadcast(vocab.select("term", "idx", "idf"), spec.max_features)
+    known = (gram_rows(docs, spec, text_col, key).join(v, "term")
+             .groupBy(key, "idx", "idf").agg(F.sum("n").alias("tf")))
+    return _weigh(known, spec, key, idx_offset)
 
 
 def to_vectors(long_df: DataFrame, size: int, key: str = "doc_id", docs: DataFrame | None = None) -> DataFrame:

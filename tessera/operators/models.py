@@ -160,18 +160,15 @@ def score(model, rows: DataFrame, keep: Sequence[str] = ("doc_id", "split", "lab
         *keep, "score", sigmoid("score").alias("prob"), (F.col("score") > 0).cast("int").alias("prediction"))
 
 
-def linear_scores(model, fs: FeatureSet, penalised: bool, rows: DataFrame | None = None,
-                  keep: Sequence[str] = ("doc_id", "split", "label")) -> DataFrame:
-    """Decision values without vectors: ``intercept + sum(weight[idx] * value)``
-    as a broadcast join of the long TF-IDF table with the weights (one row
-    per vocabulary column, bounded by ``max_features``) and a per-document
-    sum on the ``doc_id`` partitioning.  Documents without a known term get
-    the intercept.  Same margin as ``model.transform``, all in the JVM."""
-    spark = fs.long.sparkSession
-    w = model.coefficients.toArray()
-    intercept = float(w[fs.size]) if penalised else float(model.intercept)
-    weights = spark.createDataFrame(list(enumerate(w[: fs.size].tolist())), "idx int, weight double")
-    dots = (fs.long.join(F.broadcast(weights), "idx")
+def weighted_scores(fs: FeatureSet, weights: DataFrame, intercept: float = 0.0,
+                    rows: DataFrame | None = None,
+                    keep: Sequence[str] = ("doc_id", "split", "label")) -> DataFrame:
+    """Decision values of a weight table (idx, weight) without vectors:
+    ``intercept + sum(weight * value)`` as a join of the long TF-IDF table
+    with the weights (one row per feature column) and a per-document sum on
+    the ``doc_id`` partitioning.  Documents without a known term get the
+    intercept."""
+    dots = (fs.long.join(fe.bounded_broadcast(weights.select("idx", "weight"), fs.size), "idx")
             .groupBy("doc_id").agg(F.sum(F.col("value") * F.col("weight")).alias("dot")))
     base = fs.corpus if rows is None else rows
     margin = F.coalesce(F.col("dot"), F.lit(0.0)) + F.lit(intercept)
@@ -181,6 +178,28 @@ def linear_scores(model, fs: FeatureSet, penalised: bool, rows: DataFrame | None
                     (F.col("score") > 0).cast("int").alias("prediction")))
 
 
+def linear_scores(model, fs: FeatureSet, penalised: bool, rows: DataFrame | None = None,
+                  keep: Sequence[str] = ("doc_id", "split", "label")) -> DataFrame:
+    """``weighted_scores`` with a fitted model's weights: the same margin as
+    ``model.transform``, all in the JVM."""
+    spark = fs.long.sparkSession
+    w = model.coefficients.toArray()
+    intercept = float(w[fs.size]) if penalised else float(model.intercept)
+    weights = spark.createDataFrame(list(enumerate(w[: fs.size].tolist())), "idx int, weight double")
+    return weighted_scores(fs, weights, intercept, rows, keep)
+
+
+def log_odds_weights(fs: FeatureSet, fit_split: str = "train") -> DataFrame:
+    """(idx, weight): smoothed log-odds of a term's presence in positive
+    against negative documents of ``fit_split``, the log of one integer ratio."""
+    docs = fs.corpus.where(F.col("split") == fit_split)
+    n_docs, n_pos = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    per = (fs.long.join(docs.select("doc_id", "label"), "doc_id").groupBy("idx")
+           .agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n")))
+    ratio = ((F.col("p") + 1.0) * float(n_docs - n_pos + 2)) / ((F.col("n") + 1.0) * float(n_pos + 2))
+    return per.select("idx", F.log(ratio).alias("weight"))
+
+
 def fit_model(fs: FeatureSet, spec: ModelSpec, fit_split: str = "train", partitions: int | None = None):
     """Fit on the ``fit_split`` rows; only their terms are grouped into vectors."""
     penalised = spec.intercept == "penalised"
@@ -226,7 +245,7 @@ def select_features(fs: FeatureSet, coef: DataFrame) -> FeatureSet:
 
     kept = feature_select(coef).select("idx", "new_idx")
     size = kept.count()
-    long = (fs.long.join(F.broadcast(kept), "idx")  # bounded by the vocabulary size
+    long = (fs.long.join(fe.bounded_broadcast(kept, size), "idx")
             .select("doc_id", F.col("new_idx").alias("idx"), "value"))
     return FeatureSet(long, fs.corpus, size, fs.vocabs)
 
@@ -280,27 +299,3 @@ def batch_score(df: DataFrame, make_predict_fn: Callable, text_col: str = "text"
     out = df.withColumn("logits", udf(F.col(text_col)))
     return out.withColumn("prob", softmax_prob("logits")).withColumn("prediction", argmax_class("logits"))
 
-
-def hashed_trigram_model(n_classes: int = 2, dim: int = 4096, seed: int = 13):
-    """A small NumPy stand-in for a sequence classifier (tests, smoke runs):
-    character trigrams hashed into ``dim`` buckets (polynomial hash of the
-    code points, vectorised per text), mean of a fixed random matrix's rows.
-    Returns a predict-factory for ``batch_score``."""
-    def make():
-        import numpy as np
-
-        rng = np.random.default_rng(seed)
-        w = rng.normal(0.0, 1.0, size=(dim, n_classes))
-
-        def predict(texts):
-            out = np.zeros((len(texts), n_classes))
-            for r, t in enumerate(texts):
-                cp = np.frombuffer(str(t).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-                if cp.size < 3:
-                    continue
-                h = (cp[:-2] * 1000003 + cp[1:-1] * 1009 + cp[2:]) % dim
-                counts = np.bincount(h, minlength=dim)
-                out[r] = counts @ w / h.size
-            return out
-        return predict
-    return make

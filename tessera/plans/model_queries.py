@@ -1,5 +1,6 @@
 """Registered queries around real model fits (rows-only checks: MLlib fits
-are not SQL-expressible), the batch-scoring operator and the JSON sink."""
+are not SQL-expressible), train-only features and linear scoring, the
+batch-scoring operator and the JSON sink."""
 
 from __future__ import annotations
 
@@ -11,10 +12,12 @@ from tessera.operators import evaluate as ev
 from tessera.operators import features as fe
 from tessera.operators import models as mo
 from tessera.operators import report as rp
+from tessera.plans import eval_queries as eq
 from tessera.plans import experiments as ex
-from tessera.plans.scorers import scorer_predictions
-from tessera.plans.text_queries import HUB_MODEL
-from tessera.sources.corpus import labelled_docs
+from tessera.plans import sqlbits as S
+from tessera.plans import text_queries as tq
+from tessera.plans.scorers import full_stop_model, scorer_predictions
+from tessera.sources.corpus import all_docs, labelled_docs
 from tessera.sources.sinks import metrics_json as metrics_json_frame
 
 R = 6
@@ -105,11 +108,56 @@ def q_preprocessing_ablation(spark, sf_dir):
     return rows[0].unionByName(rows[1])
 
 
+def _train_features(spark, sf_dir, *specs):
+    return mo.build_features(_norm(spark, sf_dir), specs)
+
+
+def _train_tfidf(spark, sf_dir, *specs):
+    long = _train_features(spark, sf_dir, *specs).long
+    return long.select("doc_id", "idx", F.round("value", R).alias("value"))
+
+
+def q_tfidf_word_train(spark, sf_dir):
+    """TF-IDF of the labelled corpus, vocabulary and idf from train rows only."""
+    return _train_tfidf(spark, sf_dir, fe.WORD_1_2)
+
+
+def q_tfidf_char_train(spark, sf_dir):
+    return _train_tfidf(spark, sf_dir, fe.CHAR_3_5)
+
+
+def q_combined_train(spark, sf_dir):
+    return _train_tfidf(spark, sf_dir, tq.COMBINED_WORD, tq.COMBINED_CHAR)
+
+
+INTERCEPT = -0.25
+
+
+def q_linear_scores(spark, sf_dir):
+    """Scores of every labelled document under log-odds weights of the train rows."""
+    fs = _train_features(spark, sf_dir, fe.WORD_1_2)
+    out = mo.weighted_scores(fs, mo.log_odds_weights(fs), INTERCEPT)
+    return out.select("doc_id", "split", "label", F.round("score", R).alias("score"),
+                      F.round("prob", R).alias("prob"), "prediction")
+
+
+def _batch(docs):
+    pre = docs.withColumn("text", preprocess_auto("text", tq.HUB_MODEL))
+    return mo.batch_score(pre, full_stop_model, batch_size=64)
+
+
 def q_batch_score(spark, sf_dir):
-    corpus = labelled_docs(spark, sf_dir)
-    pre = corpus.select("doc_id", "split", "label", preprocess_auto("text", HUB_MODEL).alias("text"))
-    out = mo.batch_score(pre, mo.hashed_trigram_model(), batch_size=64)
-    return out.select("doc_id", "split", "label", F.round("prob", R).alias("prob"), "prediction")
+    """The batch model over all documents, labelled or not."""
+    out = _batch(all_docs(spark, sf_dir))
+    return out.select("doc_id", F.round("prob", R).alias("prob"), "prediction")
+
+
+def q_batch_score_tuned(spark, sf_dir):
+    """Batch model end to end: score, choose the threshold on validation,
+    report both splits."""
+    pred = _batch(labelled_docs(spark, sf_dir)).withColumn("experiment", F.lit("batch"))
+    t = ev.thresholded_metrics(pred.select("experiment", "split", "label", "prob"))
+    return t.select("experiment", *[F.round(c, R).alias(c) for c in ("threshold", *rp.SUMMARY_COLS)])
 
 
 def q_metrics_json(spark, sf_dir):
@@ -129,7 +177,50 @@ QUERIES = {
     "selected_svc_cv": q_selected_svc_cv,
     "balanced_lr_cv": q_balanced_lr_cv,
     "preprocessing_ablation": q_preprocessing_ablation,
+    "tfidf_word_train": q_tfidf_word_train,
+    "tfidf_char_train": q_tfidf_char_train,
+    "combined_train": q_combined_train,
+    "linear_scores": q_linear_scores,
     "batch_score": q_batch_score,
+    "batch_score_tuned": q_batch_score_tuned,
     "metrics_json": q_metrics_json,
 }
-ORACLE: dict = {}
+# ------------------------------------------------------------ oracle SQL ---
+LD = f"ld AS ({tq.LABELLED_SQL})"
+TRAIN = f"""{LD}, nd AS (SELECT doc_id, label, split, {S.normalize('text')} AS text FROM ld),
+    trn AS (SELECT doc_id FROM nd WHERE split = 'train')"""
+
+
+def _train_sql(spec, p: str = "") -> str:
+    return tq.tfidf_sql_ctes(spec, p, fit_on="trn")
+
+
+def _batch_sql(src: str, extra: str = "") -> str:
+    """(doc_id, prob, prediction, extra) of the batch model over ``src``."""
+    return f"""SELECT doc_id{extra}, {S.sigmoid('z')} AS prob, CAST(z > 0 AS INTEGER) AS prediction FROM (
+        SELECT doc_id{extra}, (length(t) - length(replace(t, '.', ''))) * 100.0::DOUBLE / greatest(length(t), 1)
+               - 1.5::DOUBLE AS z FROM (SELECT doc_id{extra}, {S.mentions_links('text')} AS t FROM {src}))"""
+
+
+ORACLE = {
+    "tfidf_word_train": f"WITH {TRAIN}, {_train_sql(fe.WORD_1_2)} SELECT doc_id, idx, round(value, {R}) AS value FROM tfidf",
+    "tfidf_char_train": f"WITH {TRAIN}, {_train_sql(fe.CHAR_3_5)} SELECT doc_id, idx, round(value, {R}) AS value FROM tfidf",
+    "combined_train": f"""WITH {TRAIN}, {_train_sql(tq.COMBINED_WORD, 'w_')}, {_train_sql(tq.COMBINED_CHAR, 'c_')}
+        SELECT doc_id, idx, round(value, {R}) AS value FROM w_tfidf UNION ALL
+        SELECT doc_id, CAST(idx + (SELECT count(*) FROM w_vocab) AS INTEGER) AS idx, round(value, {R}) AS value FROM c_tfidf""",
+    "linear_scores": f"""WITH {TRAIN}, {_train_sql(fe.WORD_1_2)},
+        tot AS (SELECT count(*) AS n_docs, sum(label) AS n_pos FROM nd WHERE split = 'train'),
+        per AS (SELECT idx, sum(label) AS p, sum(1 - label) AS n FROM tfidf JOIN nd USING (doc_id)
+                WHERE split = 'train' GROUP BY idx),
+        wt AS (SELECT idx, ln(((p + 1.0::DOUBLE) * CAST(n_docs - n_pos + 2 AS DOUBLE))
+                              / ((n + 1.0::DOUBLE) * CAST(n_pos + 2 AS DOUBLE))) AS weight FROM per, tot),
+        dots AS (SELECT doc_id, sum(value * weight) AS dot FROM tfidf JOIN wt USING (idx) GROUP BY doc_id),
+        sc AS (SELECT nd.doc_id, split, label, coalesce(dot, 0.0::DOUBLE) + ({INTERCEPT}::DOUBLE) AS score
+               FROM nd LEFT JOIN dots USING (doc_id))
+        SELECT doc_id, split, label, round(score, {R}) AS score, round({S.sigmoid('score')}, {R}) AS prob,
+               CAST(score > 0 AS INTEGER) AS prediction FROM sc""",
+    "batch_score": f"""SELECT doc_id, round(prob, {R}) AS prob, prediction
+        FROM ({_batch_sql("(SELECT doc_id, coalesce(text, '') AS text FROM documents)")})""",
+    "batch_score_tuned": f"""WITH {LD}, pred AS (SELECT 'batch' AS experiment, * FROM ({_batch_sql('ld', ', split, label')})),
+        {eq.TUNED} SELECT experiment, round(threshold, {R}) AS threshold, {eq.SUMMARY_R} FROM tuned""",
+}

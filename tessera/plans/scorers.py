@@ -63,3 +63,15 @@ def predictions_sql(ld: str = "ld") -> str:
              (len - length(replace(text, '.', ''))) * 100.0::DOUBLE / greatest(len, 1) - 1.5::DOUBLE FROM sc),
     pred AS (SELECT experiment, doc_id, split, label, score, {S.sigmoid('score')} AS prob,
                     CAST({S.sigmoid('score')} >= 0.5::DOUBLE AS INTEGER) AS prediction FROM pr0)"""
+
+
+def full_stop_model():
+    """The ``punct`` scorer as a batch model: a predict factory whose logits
+    are ``[0, 100 * full stops / max(length, 1) - 1.5]``."""
+    import numpy as np
+
+    def predict(texts):
+        dots = np.array([t.count(".") for t in texts], dtype=float)
+        chars = np.array([len(t) for t in texts], dtype=float)
+        return np.stack([np.zeros_like(dots), dots * 100.0 / np.maximum(chars, 1.0) - 1.5], axis=1)
+    return predict

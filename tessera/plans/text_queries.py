@@ -147,9 +147,9 @@ def _counts_sql(rows_sql: str) -> str:
     return f"SELECT doc_id, term, count(*) AS tf FROM ({rows_sql}) GROUP BY doc_id, term"
 
 
-def _vocab_sql(p: str, n_sql: str, min_df: int, max_features: int) -> str:
+def _vocab_sql(p: str, n_sql: str, min_df: int, max_features: int, fit: str = "true") -> str:
     return f"""
-    {p}stats AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM {p}counts
+    {p}stats AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM {p}counts WHERE {fit}
               GROUP BY term HAVING count(*) >= {min_df}),
     {p}top AS (SELECT * FROM {p}stats ORDER BY cf DESC, term ASC LIMIT {max_features}),
     {p}vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, df, cf,
@@ -162,11 +162,13 @@ def _rows_sql(spec) -> str:
     return S.char_ngram_rows("nd", "text", spec.ngram_lo, spec.ngram_hi)
 
 
-def _tfidf_sql_ctes(spec, p: str = "") -> str:
-    """CTEs {p}counts, {p}vocab, {p}tfidf over the CTE ``nd`` (doc_id, text)."""
+def tfidf_sql_ctes(spec, p: str = "", fit_on: str = "nd") -> str:
+    """CTEs {p}counts, {p}vocab, {p}tfidf over the CTE ``nd`` (doc_id, text);
+    the vocabulary is fitted on the documents of the relation ``fit_on``."""
+    fit = "true" if fit_on == "nd" else f"doc_id IN (SELECT doc_id FROM {fit_on})"
     return f"""
     {p}counts AS ({_counts_sql(_rows_sql(spec))}),
-    {_vocab_sql(p, 'SELECT count(*) FROM nd', spec.min_df, spec.max_features)},
+    {_vocab_sql(p, f'SELECT count(*) FROM {fit_on}', spec.min_df, spec.max_features, fit)},
     {p}raw AS (SELECT c.doc_id, v.idx, (1 + ln(c.tf)) * v.idf AS raw FROM {p}counts c JOIN {p}vocab v ON c.term = v.term),
     {p}tfidf AS (SELECT doc_id, idx, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS value FROM {p}raw)"""
 
@@ -190,11 +192,11 @@ ORACLE = {
                    "SELECT doc_id, term AS ngram, tf FROM g",
     "char_ngrams": f"WITH {ND}, g AS ({_counts_sql(S.char_ngram_rows('nd', 'text', 3, 5))}) "
                    "SELECT doc_id, term AS ngram, tf FROM g",
-    "vocab_word": f"WITH {ND}, {_tfidf_sql_ctes(fe.WORD_1_2)} SELECT term, idx, df, cf, round(idf, {R}) AS idf FROM vocab",
-    "vocab_char": f"WITH {ND}, {_tfidf_sql_ctes(fe.CHAR_3_5)} SELECT term, idx, df, cf, round(idf, {R}) AS idf FROM vocab",
-    "tfidf_word": f"WITH {ND}, {_tfidf_sql_ctes(fe.WORD_1_2)} SELECT doc_id, idx, round(value, {R}) AS value FROM tfidf",
-    "tfidf_char": f"WITH {ND}, {_tfidf_sql_ctes(fe.CHAR_3_5)} SELECT doc_id, idx, round(value, {R}) AS value FROM tfidf",
-    "combined_features": (f"WITH {ND}, {_tfidf_sql_ctes(COMBINED_WORD, 'w_')}, {_tfidf_sql_ctes(COMBINED_CHAR, 'c_')} "
+    "vocab_word": f"WITH {ND}, {tfidf_sql_ctes(fe.WORD_1_2)} SELECT term, idx, df, cf, round(idf, {R}) AS idf FROM vocab",
+    "vocab_char": f"WITH {ND}, {tfidf_sql_ctes(fe.CHAR_3_5)} SELECT term, idx, df, cf, round(idf, {R}) AS idf FROM vocab",
+    "tfidf_word": f"WITH {ND}, {tfidf_sql_ctes(fe.WORD_1_2)} SELECT doc_id, idx, round(value, {R}) AS value FROM tfidf",
+    "tfidf_char": f"WITH {ND}, {tfidf_sql_ctes(fe.CHAR_3_5)} SELECT doc_id, idx, round(value, {R}) AS value FROM tfidf",
+    "combined_features": (f"WITH {ND}, {tfidf_sql_ctes(COMBINED_WORD, 'w_')}, {tfidf_sql_ctes(COMBINED_CHAR, 'c_')} "
                           f"SELECT doc_id, idx, round(value, {R}) AS value FROM w_tfidf UNION ALL "
                           f"SELECT doc_id, CAST(idx + (SELECT count(*) FROM w_vocab) AS INTEGER) AS idx, round(value, {R}) AS value FROM c_tfidf"),
 }

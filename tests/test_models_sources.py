@@ -1,5 +1,6 @@
 """Models against a NumPy Newton solve; sources and sinks; driver contract."""
 
+import math
 import os
 import tempfile
 
@@ -11,6 +12,7 @@ from conftest import SF_SMALL
 from tessera.operators import features as fe
 from tessera.operators import models as mo
 from tessera.plans import experiments as ex
+from tessera.plans.scorers import full_stop_model
 from tessera.sources import corpus as co
 
 
@@ -92,10 +94,11 @@ def test_grid_with_selection_and_cv(spark):
     assert res.features["sel"].size <= 100
 
 
-def test_batch_score_standin(spark):
-    df = spark.createDataFrame([(1, "hello world"), (2, "")], "doc_id long, text string")
-    out = mo.batch_score(df, mo.hashed_trigram_model(), batch_size=1).collect()
-    assert len(out) == 2 and all(0 <= r.prob <= 1 and r.prediction in (0, 1) for r in out)
+def test_batch_score_probabilities(spark):
+    df = spark.createDataFrame([(1, "hello world"), (2, ""), (3, "a. b.")], "doc_id long, text string")
+    out = {r.doc_id: r for r in mo.batch_score(df, full_stop_model, batch_size=1).collect()}
+    assert len(out) == 3 and out[1].prediction == out[2].prediction == 0 and out[3].prediction == 1
+    assert abs(out[1].prob - 1 / (1 + math.exp(1.5))) < 1e-12 and abs(out[3].prob - 1 / (1 + math.exp(-38.5))) < 1e-12
 
 
 def test_split_csv_round_trip_and_fallback(spark):
