@@ -2,10 +2,11 @@
 
 First pass: each page is cut into text blocks with their container path (tags
 with classes, digits generalised); menus, footers, adverts, forms, scripts,
-comments and the like are left out by tag, role or class.  Blocks give their
-score (text outside links, more under article-like containers) to all
-containers above them, and the deepest container that holds most of the
-page's score is the page's vote.  Spark counts the votes for each host.
+comments and the like are left out by tag, role or class.  A block's score is
+its text outside links.  The page's vote is the deepest container that holds
+all blocks inside its article or main elements, or, where these have less than
+half of the score, all blocks that are text rather than links.  Spark counts
+the votes for each host.
 Second pass: a page's text is what stands under the host's winning paths, the
 most voted first; a page that has none of them falls back on its own vote.
 
@@ -22,7 +23,6 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -92,7 +92,7 @@ def blocks(html: str | None) -> list[tuple[tuple[str, ...], str, float]]:
             text = _SPACE.sub(" ", unescape("".join(buf))).strip()
             if text:
                 path = tuple(step for _, step, _ in stack if step)
-                out.append((path, text, max(1, len(text) - link_chars) * (3.0 if article else 1.0)))
+                out.append((path, text, float(max(1, len(text) - link_chars))))
             buf.clear()
         link_chars = 0
 
@@ -181,15 +181,21 @@ def blocks(html: str | None) -> list[tuple[tuple[str, ...], str, float]]:
     return out
 
 
-def best_path(page: list[tuple[tuple[str, ...], str, float]], most: float = 0.8) -> str:
-    """The deepest container path holding at least ``most`` of the score."""
-    score: dict[tuple[str, ...], float] = defaultdict(float)
-    for path, _, s in page:
-        for i in range(len(path) + 1):
-            score[path[:i]] += s
-    total = score[()] if page else 0.0
-    good = [p for p, s in score.items() if s >= most * total]
-    return "/".join(max(good, key=lambda p: (len(p), score[p]), default=()))
+def wanted(page: list[tuple[tuple[str, ...], str, float]]) -> tuple[list[tuple[tuple[str, ...], str, float]], bool]:
+    """The blocks that the page's container must hold, and whether they are
+    those of its article or main elements: these if they hold at least half of
+    the score, else all blocks that are text rather than links."""
+    inside = [b for b in page if any(step.split(".")[0] in ("article", "main") for step in b[0])]
+    if inside and 2 * sum(s for _, _, s in inside) >= sum(s for _, _, s in page):
+        return inside, True
+    return [b for b in page if 2 * b[2] >= len(b[1])] or page, False
+
+
+def best_path(page: list[tuple[tuple[str, ...], str, float]]) -> str:
+    """The deepest container path that holds all the wanted blocks."""
+    paths = [path for path, _, _ in wanted(page)[0]]
+    low, high = min(paths, default=()), max(paths, default=())
+    return "/".join(low[:next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))])
 
 
 def extract(html: str | None, winners: list[str] | None) -> str:
