@@ -2,7 +2,9 @@
 
 First pass: each page is cut into text blocks with their container path (tags
 with classes, digits generalised); menus, footers, adverts, forms, scripts,
-comments and the like are left out by tag, role or class.  A block's score is
+comments and the like are left out by tag, role or a word of class or id;
+inside article and main elements by tag, role or a whole class name only, and
+headings and paragraphs not by class at all.  A block's score is
 its text outside links.  The page's vote is the deepest container that holds
 all blocks inside its article or main elements, or, where these have less than
 half of the score, all blocks that are text rather than links.  Spark counts
@@ -35,17 +37,21 @@ from tessera.llm.url_templates import host_path
 
 # Element kinds and the class words of what is not the article.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe xmp noembed noframes svg math object canvas audio "
-          "video select".split())
-SKIP = set("nav footer aside form head dialog menu button fieldset figcaption".split())
+RAW = set("script style textarea title noscript template iframe xmp noembed noframes svg object canvas audio "
+          "video select annotation annotation-xml".split())
+SKIP = set("nav footer aside form head dialog menu button fieldset".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s "
-             "samp small span strike strong sub sup time tt u var".split())
+             "samp small span strike strong sub sup time tt u var math semantics maction menclose merror mfenced mfrac mi "
+             "mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup "
+             "mtable mtd mtext mtr munder munderover".split())
+HEADINGS = set("p h1 h2 h3 h4 h5 h6".split())
 LEAF = set("p h1 h2 h3 h4 h5 h6 li dd dt pre blockquote tr td th thead tbody tfoot br hr ul ol dl table".split())
 ARTICLE = set("article main post content entry story body text".split())
 NOISE = set("ad ads advert adverts advertisement sponsor sponsored promo banner cookie cookies consent gdpr notice "
             "popup modal overlay newsletter subscribe signup login sidebar widget related recommended menu nav navbar "
             "navigation breadcrumb breadcrumbs footer header masthead comment comments disqus reply replies share "
             "sharing social toolbar pagination pager copyright legal skip hidden".split())
+INNER_NOISE = NOISE - {"header", "masthead"}  # the header of an article holds its title
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _P_CLOSERS = LEAF | set("div article section main header footer nav aside form address figure".split())
 _SAME = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -68,7 +74,12 @@ def _noise(tag: str, attrs: dict[str, str], inside_article: bool) -> bool:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    words = {w.lower() for k in ("class", "id") for w in _WORDS.findall(attrs.get(k, ""))}
+    if inside_article:  # whole class tokens only; a heading's or a section's words are not the page's furniture
+        names = set(attrs.get("class", "").lower().split())
+        return tag not in HEADINGS and bool(names & INNER_NOISE) and not names & {"article", "main", "content"}
+    # The id of a heading or paragraph is an anchor made of its words.
+    words = {w.lower() for k in ("class", "id") if k == "class" or tag not in HEADINGS
+             for w in _WORDS.findall(attrs.get(k, ""))}
     return bool(words & NOISE) and not words & {"article", "main", "content"}
 
 

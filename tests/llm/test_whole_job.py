@@ -15,3 +15,13 @@ def test_html_vote_holds_title_lead_and_all_sections(spark):
         assert r.text == f"Title Lead {BODY.strip()} Second End"
     plain = f"<body><div class=c><div class=t><h1>Title</h1></div><div class=b><p>{BODY}</p></div></div><div><a href='/'>Home of the site</a></div>"
     assert html_main.extract(plain, None) == f"Title {BODY.strip()}"
+
+
+def test_html_noise_words_inside_an_article():
+    html = ("<article><header class=header><h1 id=share-prices>Share prices</h1></header><h2 class=section-header>Head</h2>"
+            "<p class=legal>Legal</p><section id=related-work><p>Related</p></section><div id=social-history>History "
+            "<span class=share-price>12</span></div><figure><img src='x'><figcaption>Caption</figcaption></figure>"
+            "<p>so <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>tex</annotation></math> holds</p>"
+            "<div class='x comments'>no</div><div class=share>no</div><p hidden>no</p></article>")
+    assert html_main.extract(html, None) == "Share prices Head Legal Related History 12 Caption so E=m holds"
+    assert html_main.extract("<div class=share-bar>no</div><h2 id=legal-notice>Yes</h2><p class=copyright>no</p>", None) == "Yes"
