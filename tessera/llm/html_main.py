@@ -9,8 +9,10 @@ its text outside links.  The page's vote is the deepest container that holds
 all blocks inside its article or main elements, or, where these have less than
 half of the score, all blocks that are text rather than links.  Spark counts
 the votes for each host.
-Second pass: a page's text is what stands under the host's winning paths, the
-most voted first; a page that has none of them falls back on its own vote.
+Second pass: a page's text is what stands under that of the host's winning
+paths which holds most of the page's score, the most voted first of equals; a
+page of which none holds more than half, or the whole article if it has one,
+falls back on its own vote.
 
 The vote table has at most ``1 / min_share`` paths for each host and is
 written, so the planner broadcasts it only where it is small; otherwise the
@@ -209,16 +211,31 @@ def best_path(page: list[tuple[tuple[str, ...], str, float]]) -> str:
     return "/".join(low[:next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))])
 
 
+def _under(page: list[tuple[tuple[str, ...], str, float]], want: str) -> list[tuple[tuple[str, ...], str, float]]:
+    steps = tuple(want.split("/")) if want else ()
+    return [b for b in page if b[0][:len(steps)] == steps]
+
+
+def choose(page: list[tuple[tuple[str, ...], str, float]], winners: list[str] | None) -> str:
+    """The winning path that holds most of the score of the page's wanted
+    blocks, the most voted one of equals; the page's own vote if none holds
+    more than half.  Of an article every block must be held, and the path must
+    lie in it unless the page's own vote lies above it too."""
+    own = best_path(page)
+    need, article = wanted(page)
+    inside = lambda p: any(step.split(".")[0] in ("article", "main") for step in p.split("/"))
+    total = sum(s for _, _, s in need)
+    best, most = own, 0.5 * total
+    for want in winners or []:
+        held = sum(s for _, _, s in _under(need, want))
+        if held > most and not (article and (held < total or inside(want) != inside(own))):
+            best, most = want, held
+    return best
+
+
 def extract(html: str | None, winners: list[str] | None) -> str:
     page = blocks(html)
-    if not page:
-        return ""
-    for want in [*(winners or []), best_path(page)]:
-        steps = tuple(want.split("/")) if want else ()
-        found = [text for path, text, _ in page if path[:len(steps)] == steps]
-        if found:
-            return " ".join(found)
-    return ""
+    return " ".join(text for _, text, _ in _under(page, choose(page, winners))) if page else ""
 
 
 def extract_main_text(pages: DataFrame, min_share: float = 0.05, id_col: str = "page_id", url_col: str = "url",

@@ -25,3 +25,17 @@ def test_html_noise_words_inside_an_article():
             "<div class='x comments'>no</div><div class=share>no</div><p hidden>no</p></article>")
     assert html_main.extract(html, None) == "Share prices Head Legal Related History 12 Caption so E=m holds"
     assert html_main.extract("<div class=share-bar>no</div><h2 id=legal-notice>Yes</h2><p class=copyright>no</p>", None) == "Yes"
+
+
+def test_html_rarer_template_keeps_its_article(spark):
+    common = f"<body><div class=content><p>{BODY}</p></div><p><a href='/'>Home of the site</a></p></body>"
+    rare = f"<body><div class=content><p>Teaser</p></div><main><h1>Title</h1><p>{BODY}</p></main></body>"
+    alone = f"<body><div class=content><p>Teaser</p></div><div class=story><p>{BODY}</p></div></body>"
+    rows = [(i, "http://h.com/", common) for i in range(50)] + [(50 + i, "http://h.com/", rare) for i in range(5)]
+    pages = spark.createDataFrame([*rows, (55, "http://h.com/", alone)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_main.extract_main_text(pages).collect()}
+    assert [got[0], got[50], got[55]] == [BODY.strip(), f"Title {BODY.strip()}", f"Teaser {BODY.strip()}"]
+    lead = f"<body><main><p>Lead</p><article><p>{BODY}</p></article></main></body>"
+    assert html_main.extract(lead, ["body/main/article"]) == f"Lead {BODY.strip()}"
+    page = f"<body><p>Top</p><div class=a>{BODY}</div></body>"
+    assert html_main.extract(page, ["body/div.a", "body"]) == f"Top {BODY.strip()}"
