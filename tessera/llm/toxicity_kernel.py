@@ -20,14 +20,18 @@ look-up for each of its subsequences, and a word's value is kept for its next
 occurrence.
 
 Defined cases: null and empty texts have no words and get the calibrated score
-of a harmless text; letters spelt one by one are joined to a word; words of
-over ``LONG`` characters are scored in overlapping parts of that length;
-repeated rows score alike; without labelled rows of both classes all scores
+of a harmless text; letters spelt one by one are joined to a word; a word with
+inner signs counts both without them and as the words between them; words of
+over ``LONG`` characters count in overlapping parts of that length, and such
+words and those of scripts without spaces also in all parts as long as the
+insults that the fit marked; the fit sees the same parts as the scoring, and
+marks parts of ``SHORT`` lengths in such words; repeated rows score alike; without labelled rows of both classes all scores
 are 0; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -39,25 +43,27 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold
+from tessera.llm.common import fold, mix64
 from tessera.llm.sampling import fit_logistic, labelled_sample
 
 CODES = 64
 SPACE = CODES ** 3
 STEPS = ((1, 1), (1, 2), (2, 1), (1, 3), (3, 1), (2, 2))  # gaps between the three characters
 LONG = 24
+SHORT = range(2, 9)
 EDGE = "^"  # marks both ends of a word
 _SPELT = regex.compile(r"(?<![\p{L}\p{N}])(?:\p{L}[ .\-_*]{1,2}){3,}\p{L}(?![\p{L}\p{N}])")
 _DROP = regex.compile(r"[^\p{L}\p{N}]+")
+_SIGNS = regex.compile(r"[^\p{L}\p{N}\p{M}]+")
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 
 
 class Codes(dict):
-    """character -> code below CODES: a to z apart, all others spread over the rest."""
+    """character -> number: 0 for EDGE, 1 to 26 for a to z, from 27 on for all others."""
 
     def __missing__(self, ch: str) -> int:
         o = ord(ch)
-        c = o - 96 if "a" <= ch <= "z" else 0 if ch == EDGE else 27 + o % (CODES - 27)
-        self[ch] = c
+        c = self[ch] = o - 96 if "a" <= ch <= "z" else 0 if ch == EDGE else 27 + o
         return c
 
 
@@ -80,6 +86,32 @@ def clean(token: str) -> str:
     return token if token.isalpha() else _DROP.sub("", token)
 
 
+def parts(token: str) -> tuple[list[str], list[str]]:
+    """What a token counts as: its words in parts of at most LONG characters,
+    and those of its words that also count in all their shorter parts."""
+    if token.isascii() and token.isalpha() and len(token) <= LONG:
+        return [token], []
+    words = [w for w in (clean(x) for x in _SIGNS.split(token)) if w]
+    whole = words if len(words) < 2 else [*words, "".join(words)]
+    out = [w[at:at + LONG] for w in whole for at in range(0, max(1, len(w) - LONG // 2), LONG // 2)]
+    return out, [w for w in words if len(w) > LONG or _UNSPACED.search(w)]
+
+
+def slices(words: list[str], spans) -> Iterator[str]:
+    """All parts of the words that have one of the lengths."""
+    return (w[i:i + k] for w in words for k in spans for i in range(len(w) - k + 1))
+
+
+def codes(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Code below SPACE of three characters: a to z apart, others by a hash of all three."""
+    out = (a * CODES + b) * CODES + c
+    other = np.flatnonzero((a > 26) | (b > 26) | (c > 26))
+    if len(other):
+        three = (a[other] << 42) | (b[other] << 21) | c[other]
+        out[other] = (mix64(three.astype(np.uint64)) % np.uint64(SPACE)).astype(np.int64)
+    return out
+
+
 def subsequences(words: list[str], decay: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, subsequence code, weight), one row for each code of a word;
     the weights of a word have norm 1."""
@@ -93,7 +125,7 @@ def subsequences(words: list[str], decay: float) -> tuple[np.ndarray, np.ndarray
         if n <= 0:
             continue
         same = owner[:n] == owner[a + b:]
-        idx = (code[:n] * CODES + code[a:a + n]) * CODES + code[a + b:]
+        idx = codes(code[:n], code[a:a + n], code[a + b:])
         keys.append((owner[:n] * SPACE + idx)[same])
         weights.append(np.full(len(keys[-1]), decay ** (a + b - 2)))
     if not keys:
@@ -144,6 +176,7 @@ class KernelModel:
     floor: float  # decision value of a text without words
     decay: float
     landmarks: list[str]
+    spans: tuple[int, ...] = ()  # lengths of the parts of words without spaces
 
     def values(self, words: list[str]) -> np.ndarray:
         if len(words) > 8192:
@@ -151,13 +184,33 @@ class KernelModel:
         word, code, w = subsequences(words, self.decay)
         return np.bincount(word, weights=w * self.table[code], minlength=len(words)) + self.bias
 
+    def worst(self, words: list[str]) -> tuple[float, str]:
+        """The highest value among the words' short parts, and its part."""
+        best, some = (self.floor, ""), slices(words, self.spans)
+        while chunk := list(set(itertools.islice(some, 20_000))):
+            value = self.values(chunk)
+            at = max(range(len(chunk)), key=lambda i: (value[i], chunk[i]))
+            best = max(best, (float(value[at]), chunk[at]))
+        return best
+
 
 def fit(sample: list[tuple[int, str, int]], landmarks: int = 256, rounds: int = 3, decay: float = 0.5,
         negatives: int = 4000) -> KernelModel | None:
-    bags = [({clean(t)[:LONG] for t in tokens(text)} - {""}, y) for _, text, y in sample]
+    bags, runs = [], []  # runs: each text's words that count in all their short parts
+    for _, text, y in sample:
+        both = [parts(t) for t in tokens(text)]
+        bags.append(({w for p, _ in both for w in p}, y))
+        runs.append(sorted({w for _, r in both for w in r}))
     n_pos = sum(y for _, y in bags)
     if not 0 < n_pos < len(bags):
         return None
+    short = set()  # parts that several toxic texts share, one length after the other to bound memory
+    for k in SHORT if any(runs) else ():
+        df = Counter(w for r, (_, y) in zip(runs, bags) if y and r for w in set(slices(r, (k,))))
+        short.update(w for w, n in df.items() if n > 1)
+    for r, (words, _) in zip(runs, bags):
+        if r:
+            words.update(w for w in slices(r, SHORT) if w in short)
     pos_df, neg_df = Counter(), Counter()
     for words, y in bags:
         (pos_df if y else neg_df).update(words)
@@ -191,6 +244,10 @@ def fit(sample: list[tuple[int, str, int]], landmarks: int = 256, rounds: int =
         marked = {max(words, key=lambda w: (lift(w), w)) for words, y in bags if y and words}
     if not marked:
         return None
+    spans = tuple(sorted({len(w) for w in marked if len(w) <= LONG})) if any(runs) else ()
+    for r, (words, _) in zip(runs, bags):  # from here on the parts that the scoring looks at
+        if r:
+            words -= {w for w in short.intersection(words) if len(w) not in spans} - {p for w in r for p in parts(w)[0]}
     clean_words = sorted(neg_df, key=lambda w: (-neg_df[w], w))
     spread = clean_words[::max(1, len(clean_words) // negatives)][:negatives]
     hard: list[str] = []
@@ -212,16 +269,19 @@ def fit(sample: list[tuple[int, str, int]], landmarks: int = 256, rounds: int =
         alpha = root @ svm[:-1]
         lw, lc, lv = subsequences(marks, decay)
         flat = np.bincount(lc, weights=lv * alpha[lw], minlength=SPACE)
-        model = KernelModel(flat, float(svm[-1]), 1.0, 0.0, -2.0, decay, marks)
+        model = KernelModel(flat, float(svm[-1]), 1.0, 0.0, -2.0, decay, marks, spans)
         every = sorted(set(pos_df) | set(neg_df))
         value = dict(zip(every, model.values(every)))
         hard = sorted((w for w in neg_df if value[w] > -0.9), key=lambda w: -value[w])[:negatives // 2]
+        far = {model.worst(r) for r, (_, y_) in zip(runs, bags) if r and not y_}
+        hard = list(dict.fromkeys([*(w for v, w in sorted(far, reverse=True) if v > -0.9), *hard]))[:negatives // 2]
         for words, y_ in bags:  # toxic texts not yet explained: their worst word, if it resembles an insult
             if y_ and words and not words & marked:
                 w = max(words, key=lambda w: (value[w], w))
                 if value[w] > 0 and lift(w) > 0 and pure(w):
                     marked.add(w)
     bag_value = np.array([max((value[w] for w in words), default=-2.0) for words, _ in bags])
+    bag_value = np.maximum(bag_value, [model.worst(r)[0] if r else -2.0 for r in runs])
     labels = np.array([y for _, y in bags], dtype=float)
     w = fit_logistic(np.clip(bag_value, -2, 2)[:, None], labels, ridge=1e-4)
     model.slope, model.intercept = float(max(w[0], 1e-3)), float(w[1])
@@ -229,7 +289,7 @@ def fit(sample: list[tuple[int, str, int]], landmarks: int = 256, rounds: int =
 
 
 class ValueCache:
-    """Worst value of each token, over its parts if it is long."""
+    """Worst value of each token, over all its parts."""
 
     LIMIT = 1_000_000
 
@@ -239,19 +299,17 @@ class ValueCache:
     def learn(self, new: list[str]) -> None:
         if len(self.known) + len(new) > self.LIMIT:
             self.known.clear()
-        parts, owner = [], []
-        for i, tok in enumerate(new):
-            word = clean(tok)
-            for at in range(0, max(1, len(word) - LONG // 2), LONG // 2):
-                parts.append(word[at:at + LONG])
-                owner.append(i)
+        some, owner = [], []
         worst = np.full(len(new), self.model.floor)
-        step = 20_000
-        for at in range(0, len(parts), step):
-            some = parts[at:at + step]
-            value = self.model.values(some)
-            value[[not w for w in some]] = self.model.floor
-            np.maximum.at(worst, owner[at:at + step], value)
+        for i, tok in enumerate(new):
+            whole, run = parts(tok)
+            some += whole
+            owner += [i] * len(whole)
+            if run:
+                worst[i] = self.model.worst(run)[0]
+            if len(some) >= 20_000 or i == len(new) - 1:
+                np.maximum.at(worst, np.array(owner, dtype=np.int64), self.model.values(some) if some else [])
+                some, owner = [], []
         self.known.update(zip(new, worst.tolist()))
 
     def score(self, texts: list[str | None]) -> list[float]:

@@ -1,6 +1,9 @@
 """Operators keep what they once cut: one test for each place."""
 
-from tessera.llm import html_main
+import math
+import random
+
+from tessera.llm import html_main, toxicity_kernel
 
 BODY = "text of the article " * 50
 
@@ -39,3 +42,21 @@ def test_html_rarer_template_keeps_its_article(spark):
     assert html_main.extract(lead, ["body/main/article"]) == f"Lead {BODY.strip()}"
     page = f"<body><p>Top</p><div class=a>{BODY}</div></body>"
     assert html_main.extract(page, ["body/div.a", "body"]) == f"Top {BODY.strip()}"
+
+
+def test_toxicity_fit_sees_what_stands_late_in_a_long_word():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(6))
+    han = lambda n: "".join(chr(0x4E00 + rng.randrange(400)) for _ in range(n))
+    glued = [(i, "/".join([*(word() for _ in range(6)), "blockhead" if i % 3 == 0 else word(), word()]), int(i % 3 == 0))
+             for i in range(240)]
+    unspaced = [(i, han(40) + ("\u767d\u75f4" if i % 3 == 0 else han(2)) + han(rng.randrange(30)), int(i % 3 == 0))
+                for i in range(240)]
+    for rows, plain in ((glued, "blockhead"), (unspaced, "\u767d\u75f4")):
+        model = toxicity_kernel.fit(rows[:180])
+        value = toxicity_kernel.ValueCache(model).score([t for _, t, _ in rows[180:]] + [plain])
+        score = [1 / (1 + math.exp(-(model.slope * v + model.intercept))) for v in value]
+        assert [s >= 0.7 for s in score] == [y == 1 for _, _, y in rows[180:]] + [True]
+    model = toxicity_kernel.fit([(i, " ".join([*(word() for _ in range(6)), "blockhead" if i % 3 == 0 else word()]), int(i % 3 == 0))
+                                 for i in range(180)])
+    assert model.spans == ()
