@@ -102,11 +102,12 @@ def fit(sample: list[tuple[int, str, int]], dict_bytes: int = 64_000, level: int
 
 def scored_rows(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes: int = 12_000_000,
                 dict_bytes: int = 64_000, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-                carry: list[str] | None = None) -> DataFrame:
+                carry: list[str] | None = None, max_text_bytes: int | None = None) -> DataFrame:
     """(row, score): the columns ``carry`` (the id alone by default) as one
-    struct, with the score of the row's text."""
+    struct, with the score of the row's text.  ``max_text_bytes`` is the longest
+    text the fit may learn from (see ``labelled_sample``)."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    model = fit(labelled_sample(plain, labels, label, per_class, max_bytes), dict_bytes)
+    model = fit(labelled_sample(plain, labels, label, per_class, max_bytes, max_text_bytes=max_text_bytes), dict_bytes)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of at most dict_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

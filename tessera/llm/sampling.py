@@ -9,13 +9,16 @@ from tessera.llm.common import fold, written
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int,
-                    held_out_fold: int = 1) -> list[tuple[int, str, int]]:
+                    held_out_fold: int = 1, max_text_bytes: int | None = None) -> list[tuple[int, str, int]]:
     """(doc_id, text, label) rows for fitting, whole texts, in a fixed order.
 
     Takes, for each class, the ``per_class`` labelled ids outside the held-out
     fold that have the smallest hash, and of their texts, in that order, as
     many as fit into ``max_bytes`` bytes of UTF-8 for each class.  Both bounds
-    hold whatever the size of the corpus.
+    hold whatever the size of the corpus.  A text of over ``max_text_bytes``
+    (an eighth of ``max_bytes`` if not given) is left out, so that a few long
+    texts do not take the place of all others: raise it, up to ``max_bytes``,
+    where long texts are to be learnt from.
     """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
              .where(fold(F.col("doc_id")) != held_out_fold)
@@ -27,7 +30,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     picked = written(picked, "label-sample")  # at most 2 * per_class rows
     texts = (docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
              .join(F.broadcast(picked), "doc_id").withColumn("b", F.octet_length("text")))
-    first = (texts.where(F.col("b") <= max_bytes // 8)
+    longest = max_bytes // 8 if max_text_bytes is None else max_text_bytes
+    first = (texts.where(F.col("b") <= longest)
              .withColumn("rn", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("rn = 1"))
     room = Window.partitionBy("y").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     rows = first.withColumn("used", F.sum("b").over(room)).where(F.col("used") <= max_bytes)

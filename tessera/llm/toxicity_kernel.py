@@ -325,10 +325,11 @@ class ValueCache:
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_bytes: int = 10_000_000,
                    threshold: float = 0.7, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-                   **fitting) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every document."""
+                   max_text_bytes: int | None = None, **fitting) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every document; ``max_text_bytes``
+    is the longest text the fit may learn from (see ``labelled_sample``)."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    model = fit(labelled_sample(plain, labels, label, per_class, max_bytes), **fitting)
+    model = fit(labelled_sample(plain, labels, label, per_class, max_bytes, max_text_bytes=max_text_bytes), **fitting)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # SPACE weights, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

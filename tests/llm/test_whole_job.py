@@ -4,6 +4,8 @@ import math
 import random
 
 from tessera.llm import html_main, toxicity_kernel
+from tessera.llm.quality_zstd import score_quality
+from tessera.llm.sampling import labelled_sample
 
 BODY = "text of the article " * 50
 
@@ -60,3 +62,12 @@ def test_toxicity_fit_sees_what_stands_late_in_a_long_word():
     model = toxicity_kernel.fit([(i, " ".join([*(word() for _ in range(6)), "blockhead" if i % 3 == 0 else word()]), int(i % 3 == 0))
                                  for i in range(180)])
     assert model.spans == ()
+
+
+def test_longest_text_of_the_sample_is_a_parameter(spark):
+    docs = spark.createDataFrame([(1, "a" * 900), (2, "b" * 100), (4, "c" * 100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in (1, 2, 4)], "doc_id long, quality int, toxic int")
+    take = lambda **how: {i for i, _, _ in labelled_sample(docs, labels, "toxic", 10, 1000, held_out_fold=3, **how)}
+    assert take() == {2, 4} and take(max_text_bytes=1000) == {1, 2, 4}
+    for score in (score_quality, toxicity_kernel.score_toxicity):
+        assert score(docs, labels, max_text_bytes=1000).count() == 3
