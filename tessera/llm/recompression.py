@@ -191,7 +191,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 4, id_col: s
     def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = HashCache()
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            # A null id has no marks; filled, since nulls would turn the ids into floats.
+            doc_ids, texts = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             marks, none = batch.column(2), np.zeros(0, dtype=np.int32)
             for a, b in text_chunks(texts):
                 _, h, doc = chunk_words([texts[i] if marks[i].is_valid else None for i in range(a, b)], cache)

@@ -3,7 +3,7 @@
 import math
 import random
 
-from tessera.llm import html_main, toxicity_kernel
+from tessera.llm import html_main, recompression, toxicity_kernel
 from tessera.llm.quality_zstd import score_quality
 from tessera.llm.sampling import labelled_sample
 
@@ -71,3 +71,14 @@ def test_longest_text_of_the_sample_is_a_parameter(spark):
     assert take() == {2, 4} and take(max_text_bytes=1000) == {1, 2, 4}
     for score in (score_quality, toxicity_kernel.score_toxicity):
         assert score(docs, labels, max_text_bytes=1000).count() == 3
+
+
+def test_repeats_of_large_ids_beside_a_null_id(spark):
+    copy, big = " ".join(f"k{i}" for i in range(40)), 2 ** 53
+    docs = spark.createDataFrame([(None, copy), (big, copy), (big + 1, copy)], "doc_id long, text string").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = {r.doc_id: r.n_removed for r in recompression.remove_repeats(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert got == {None: 0, big: 0, big + 1: 40}
