@@ -9,6 +9,9 @@ from tessera.llm.common import table
 from tessera.llm.cover_tree import NEAR_SQL, near_duplicate_vectors
 from tessera.llm.decision_list import quality_rules
 from tessera.llm.html_main import extract_main_text
+from tessera.llm.language_bits import identify
+from tessera.llm.lexical_search import SEARCH_SQL, search
+from tessera.llm.merkle_manifest import MANIFEST_SQL, lowered_fifth, proof_digest, verified_manifest
 from tessera.llm.mixing import MIX_SQL, systematic_mix
 from tessera.llm.ngram_join import JACCARD_SQL, jaccard_classes
 from tessera.llm.packing import pack_documents
@@ -72,6 +75,24 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op11_language_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof, folded from a tampered leaf
+    where 5 divides the id's crc32."""
+    out = verified_manifest(table(spark, sf_dir, "documents"), tampered=lowered_fifth())
+    return out.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+                      "folded_root", "verified")
+
+
+def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
 QUERIES = {
     "op1_vector_packing": op1_vector_packing,
     "op2_host_consensus": op2_host_consensus,
@@ -83,6 +104,9 @@ QUERIES = {
     "op8_url_templates": op8_url_templates,
     "op9_decision_list": op9_decision_list,
     "op10_cover_tree": op10_cover_tree,
+    "op11_language_bits": op11_language_bits,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_reversed_search": op13_reversed_search,
 }
 
 ORACLE = {
@@ -92,4 +116,6 @@ SELECT doc_id, n_words, n_removed, sha256(kept) AS kept_sha256 FROM deduped""",
     "op10_cover_tree": NEAR_SQL,
     "op7_systematic_mix": "WITH " + MIX_SQL.format(docs="documents") + """
 SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed""",
+    "op12_merkle_manifest": MANIFEST_SQL,
+    "op13_reversed_search": SEARCH_SQL,
 }
