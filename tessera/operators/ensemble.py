@@ -66,3 +66,29 @@ def weighted_vote(pred: DataFrame, weights: DataFrame | None = None,
     return (j.groupBy(*group)
             .agg(F.sum(F.col("weight") * F.col("prediction")).alias("vote"))
             .withColumn("prediction", (F.col("vote") >= F.lit(0.5)).cast("int")))
+
+
+def ranked_members(leaderboard: DataFrame, k: int = 3, key: str = "experiment", score: str = "val_macro_f1",
+                   weighted: bool = True) -> DataFrame:
+    """(experiment, rank, weight) of the k best models (ties by name); weights are
+    the scores divided by their sum, or 1 each."""
+    from pyspark.sql import Window
+    top = top_members(leaderboard, k, key, score)  # k rows: the windows run over those
+    rank = F.row_number().over(Window.orderBy(F.desc(score), F.asc(key)))
+    weight = F.col(score) / F.sum(score).over(Window.partitionBy()) if weighted else F.lit(1.0)
+    return top.select(key, rank.alias("rank"), weight.alias("weight"))
+
+
+def vote_with_members(pred: DataFrame, members: DataFrame, output: str, group: Sequence[str] = ("doc_id", "split", "label"),
+                      key: str = "experiment") -> DataFrame:
+    """(group..., prob, prediction, members): the weighted mean of the members'
+    ``output`` (probabilities for a soft vote, 0/1 predictions for a majority)
+    >= 0.5, beside who voted what: ``members`` is an array of (experiment, weight,
+    output) in rank order."""
+    entry = F.struct("rank", F.col(key).alias("experiment"), "weight", F.col(output).cast("double").alias("output"))
+    votes = _members(pred, members, key).groupBy(*group).agg(F.array_sort(F.collect_list(entry)).alias("m"))
+    total = lambda f: F.aggregate("m", F.lit(0.0), lambda a, x: a + f(x))
+    prob = total(lambda x: x["weight"] * x["output"]) / total(lambda x: x["weight"])
+    return (votes.select(*group, prob.alias("prob"),
+                         F.transform("m", lambda x: F.struct(x["experiment"], x["weight"], x["output"])).alias("members"))
+            .select(*group, "prob", (F.col("prob") >= 0.5).cast("int").alias("prediction"), "members"))

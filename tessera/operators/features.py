@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,8 @@ from tessera.functions.tokens import (
     word_gram_count,
     word_tokens,
 )
+from tessera.operators.ranks import dense_index
+from tessera.session import stored
 
 # Tables of a known row count up to this get an explicit broadcast hint; the
 # join of larger ones is left to Catalyst/AQE.
@@ -116,22 +118,16 @@ def fit_vocab(counts: DataFrame, n_docs: int, spec: VectorizerSpec) -> DataFrame
         idx = F.row_number().over(Window.orderBy("term")) - 1
         vocab = stats.withColumn("idx", idx.cast("int"))
     else:
-        vocab = _index_by_term(stats)
+        vocab = dense_index(stats, ["term"])
+        size = vocab.agg(F.max("idx")).first()[0] or 0
+        if size >= (1 << 31) - 1:  # vectors are indexed by int
+            raise ValueError(f"{size + 1} terms: cap the vocabulary")
+        vocab = vocab.withColumn("idx", F.col("idx").cast("int"))
     idf = F.log(F.lit(float(1 + n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return vocab.select("term", "idx", F.col("df").cast("long").alias("df"),
                         F.col("cf").cast("long").alias("cf"), idf.alias("idf"))
 
 
-def _index_by_term(stats: DataFrame) -> DataFrame:
-    """Dense term index for an uncapped vocabulary without a single-task
-    window: range-sort by term, then consecutive ids per sorted partition."""
-    spark = stats.sparkSession
-    ordered = stats.orderBy("term")
-    schema = T.StructType(ordered.schema.fields + [T.StructField("idx", T.IntegerType(), False)])
-    rdd = ordered.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (int(r[1]),))
-    return spark.createDataFrame(rdd, schema)
-
-
 def fit_transform(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text", key: str = "doc_id",
                   fit_on: DataFrame | None = None, idx_offset: int = 0):
     """(vocab, long TF-IDF of every doc).  ``fit_on`` (keys only) restricts
@@ -189,22 +185,34 @@ def transform(docs: DataFrame, vocab: DataFrame, spec: VectorizerSpec, text_col:
     return _weigh(known, spec, key, idx_offset)
 
 
+def sparse_vector(size: int, indices: Column, values: Column) -> Column:
+    """The struct that MLlib's sparse vectors are stored as."""
+    return F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"),
+                    indices.cast("array<int>").alias("indices"), values.cast("array<double>").alias("values"))
+
+
+def as_vectors(df: DataFrame, name: str = "vectors", column: str = "features") -> DataFrame:
+    """``df`` stored with its ``sparse_vector`` column read back as vectors.
+
+    Rows never leave the JVM: Parquet keeps a vector as exactly that struct, so
+    the reader only has to be told the type.
+    """
+    from pyspark.ml.linalg import VectorUDT
+
+    fields = [T.StructField(f.name, VectorUDT() if f.name == column else f.dataType, True) for f in df.schema]
+    return stored(df, name, T.StructType(fields))
+
+
 def to_vectors(long_df: DataFrame, size: int, key: str = "doc_id", docs: DataFrame | None = None) -> DataFrame:
-    """Sparse ``VectorUDT`` per document from the long form.
+    """Sparse vector per document from the long form.
 
     With ``docs`` given, documents without any known term get an empty
     vector (left join), as the reference's transform keeps an all-zero row.
     """
-    from pyspark.ml.linalg import Vectors, VectorUDT
-
-    @F.udf(returnType=VectorUDT())
-    def make_vec(entries):
-        if not entries:
-            return Vectors.sparse(size, [], [])
-        return Vectors.sparse(size, [e[0] for e in entries], [e[1] for e in entries])
-
     grouped = (long_df.groupBy(key)
                .agg(F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("entries")))
     if docs is not None:
         grouped = docs.join(grouped, key, "left")
-    return grouped.withColumn("features", make_vec("entries")).drop("entries")
+    e = F.coalesce("entries", F.array().cast("array<struct<idx:int,value:double>>"))
+    vec = sparse_vector(size, F.transform(e, lambda x: x["idx"]), F.transform(e, lambda x: x["value"]))
+    return as_vectors(grouped.withColumn("features", vec).drop("entries"))

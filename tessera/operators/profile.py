@@ -1,14 +1,14 @@
 """Corpus profiling: split sizes, label counts, text-length statistics and
 the five-number summary behind a box plot.
 
-Lengths are code points.  Exact quartiles use ``percentile`` (linear
-interpolation, like NumPy); its buffer is a value->count map, and text
-lengths have few distinct values, so one hot split does not blow memory.
+Lengths are code points.  Every length statistic comes from one histogram of
+(split, length) with cumulative counts: the corpus is scanned once, and a split
+that holds most rows is reduced in every task before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import text_length
@@ -23,51 +23,76 @@ def label_counts(corpus: DataFrame) -> DataFrame:
     return corpus.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def length_histogram(corpus: DataFrame, text_col: str = "text", also: tuple = ()) -> DataFrame:
+    """(split, also..., len, n, cum, total): how many texts of a split have each
+    length, how many are no longer than that, and how many there are.
+
+    The texts are read once and reduced to one row for each length before the
+    shuffle; the window runs over those rows, of which a split has at most as
+    many as its longest text has characters.
+    """
+    hist = (corpus.select("split", *also, text_length(text_col).alias("len"))
+            .groupBy("split", *also, "len").agg(F.count(F.lit(1)).alias("n")))
+    w = Window.partitionBy("split")
+    return hist.withColumns({"cum": F.sum("n").over(w.orderBy("len")),  # range frame: equal lengths count together
+                             "total": F.sum("n").over(w)})
+
+
+def _at_rank(rank: Column) -> Column:
+    """The length at a 0-based rank, as an aggregate over histogram rows."""
+    return F.min(F.when(F.col("cum") > rank, F.col("len")))
+
+
+def _quantile(q: float, over=lambda c: c) -> Column:
+    """Exact quantile, linear between neighbours (like NumPy), from histogram rows."""
+    h = F.lit(q) * (F.col("total") - 1)
+    low, high = over(_at_rank(F.floor(h))), over(_at_rank(F.ceil(h)))
+    frac = over(F.max(h - F.floor(h)))
+    return low + frac * (high - low)
+
+
 def text_length_stats(corpus: DataFrame, text_col: str = "text") -> DataFrame:
-    ln = text_length(text_col)
-    return corpus.groupBy("split").agg(
-        F.avg(ln).alias("avg_len"),
-        F.percentile(ln, F.lit(0.5)).alias("median_len"),
-        F.max(ln).alias("max_len"),
+    return length_histogram(corpus, text_col).groupBy("split").agg(
+        (F.sum(F.col("len") * F.col("n")) / F.sum("n")).alias("avg_len"),
+        _quantile(0.5).alias("median_len"),
+        F.max("len").alias("max_len"),
     )
 
 
 def length_boxplot(corpus: DataFrame, text_col: str = "text") -> DataFrame:
-    """Per split: q1, median, q3, whiskers (furthest lengths within 1.5 IQR).
-
-    The quartile table has one row per split; it is joined back with a
-    broadcast (its size is the number of splits).
-    """
-    lens = corpus.select("split", text_length(text_col).alias("len"))
-    q = (lens.groupBy("split")
-         .agg(F.percentile("len", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("qs"))
-         .select("split", F.col("qs")[0].alias("q1"), F.col("qs")[1].alias("median"),
-                 F.col("qs")[2].alias("q3")))
-    iqr = F.col("q3") - F.col("q1")
-    lo_fence = F.col("q1") - F.lit(1.5) * iqr
-    hi_fence = F.col("q3") + F.lit(1.5) * iqr
-    return (lens.join(F.broadcast(q), "split")
-            .groupBy("split", "q1", "median", "q3")
-            .agg(F.min(F.when(F.col("len") >= lo_fence, F.col("len"))).alias("whisker_lo"),
-                 F.max(F.when(F.col("len") <= hi_fence, F.col("len"))).alias("whisker_hi"),
-                 F.min("len").alias("min_len"), F.max("len").alias("max_len"),
-                 F.count(F.lit(1)).alias("n")))
+    """Per split: q1, median, q3, whiskers (furthest lengths within 1.5 IQR)."""
+    whole = Window.partitionBy("split")
+    rows = length_histogram(corpus, text_col).withColumns(
+        {name: _quantile(q, lambda c: c.over(whole)) for name, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))})
+    reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
+    return (rows.groupBy("split", "q1", "median", "q3")
+            .agg(F.min(F.when(F.col("len") >= F.col("q1") - reach, F.col("len"))).alias("whisker_lo"),
+                 F.max(F.when(F.col("len") <= F.col("q3") + reach, F.col("len"))).alias("whisker_hi"),
+                 F.min("len").alias("min_len"), F.max("len").alias("max_len"), F.sum("n").alias("n")))
 
 
 def corpus_profile(corpus: DataFrame, source: str, text_col: str = "text",
                    label_values=(0, 1)) -> DataFrame:
     """One row: source tag, rows per split, train label counts, train length
-    mean / median / max -- in one pass with conditional aggregates."""
+    mean / median / max -- conditional aggregates over one length histogram."""
     is_train = F.col("split") == "train"
-    ln = text_length(text_col)
-    aggs = [F.count(F.when(F.col("split") == s, 1)).alias(f"n_{s}") for s in ("train", "validation", "test")]
-    aggs += [F.count(F.when(is_train & (F.col("label") == v), 1)).alias(f"train_label_{v}") for v in label_values]
+
+    def rows(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+
+    def train(c: Column) -> Column:
+        return F.when(is_train, c)
+
+    h = F.lit(0.5) * (F.col("total") - 1)
+    low, high = (F.min(train(F.when(F.col("cum") > r, F.col("len")))) for r in (F.floor(h), F.ceil(h)))
+    aggs = [rows(F.col("split") == s).alias(f"n_{s}") for s in ("train", "validation", "test")]
+    aggs += [rows(is_train & (F.col("label") == v)).alias(f"train_label_{v}") for v in label_values]
     aggs += [
-        F.avg(F.when(is_train, ln)).alias("avg_text_len_chars_train"),
-        F.percentile(F.when(is_train, ln), F.lit(0.5)).alias("median_text_len_chars_train"),
-        F.max(F.when(is_train, ln)).alias("max_text_len_chars_train"),
+        (F.sum(train(F.col("len") * F.col("n"))) / F.sum(train(F.col("n")))).alias("avg_text_len_chars_train"),
+        (low + F.max(train(h - F.floor(h))) * (high - low)).alias("median_text_len_chars_train"),
+        F.max(train(F.col("len"))).alias("max_text_len_chars_train"),
     ]
-    return corpus.agg(*aggs).select(F.lit(source).alias("source"), "*")
+    return length_histogram(corpus, text_col, ("label",)).agg(*aggs).select(F.lit(source).alias("source"), "*")
 
 
 def profile_struct(profile: DataFrame) -> DataFrame:

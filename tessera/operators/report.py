@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import REFERENCE_MASK_TERMS, sanitize_text
+from tessera.operators.ranks import dense_index, exact_percentile
 
 SUMMARY_COLS = ("val_accuracy", "val_macro_f1", "test_accuracy", "test_macro_f1")
 
@@ -133,12 +134,10 @@ def top_abs_features(coef: DataFrame, k: int = 12) -> DataFrame:
 
 def feature_select(coef: DataFrame) -> DataFrame:
     """Keep features with |weight| >= median |weight|; re-index densely in
-    the old index order.  The coefficient table has one row per vocabulary
-    term, so it is bounded by ``max_features``."""
-    # One number comes back to the driver; the filter then runs distributed.
-    med = coef.agg(F.percentile(F.abs("weight"), F.lit(0.5))).first()[0]
-    kept = coef.where(F.abs("weight") >= F.lit(med))
-    return kept.withColumn("new_idx", (F.row_number().over(Window.orderBy("idx")) - 1).cast("int"))
+    the old index order.  Median and index are exact at any number of features."""
+    med = exact_percentile(coef, F.abs("weight"), 0.5)
+    kept = coef.where(F.abs("weight") >= F.lit(med))  # none without features
+    return dense_index(kept, ["idx"], name="new_idx").withColumn("new_idx", F.col("new_idx").cast("int"))
 
 
 def v2_summary(board: DataFrame, original: DataFrame, key: str = "experiment") -> DataFrame:

@@ -2,10 +2,9 @@
 cross-validation) per named experiment, evaluated on validation and test.
 
 The loop over experiments runs on the driver (it is configuration, not
-data); each step is a Spark job.  Features are built once per vectorizer
-set and cached; each experiment's predictions (one row per document) are
-checkpointed so the final union has a short lineage; the metrics of all
-experiments come from ONE grouped aggregate over the long prediction table.
+data).  Vocabularies, training vectors and scores of all experiments and
+folds come from one pass over the texts each; the metrics of all experiments
+come from ONE grouped aggregate over the long prediction table.
 """
 
 from __future__ import annotations
@@ -23,7 +22,9 @@ from tessera.operators import features as fe
 from tessera.operators import models as mo
 from tessera.operators import report as rp
 from tessera.operators import validate as va
-from tessera.session import materialize
+from tessera.operators import vocab as vo
+from tessera.operators.cube import cube_scores, weight_cube
+from tessera.session import stored
 
 
 @dataclass(frozen=True)
@@ -76,71 +77,188 @@ def normalized_corpus(corpus: DataFrame) -> DataFrame:
     return corpus.select("doc_id", normalize_text("text").alias("text"), "label", "split")
 
 
+@dataclass
+class Fitted:
+    """What a grid knows of one experiment: its columns and its model's weights."""
+    size: int                     # columns the model was fitted on
+    weights: object               # numpy, one entry per vocabulary column, 0 where dropped
+    intercept: float
+    converged: bool
+
+
 @dataclass
 class GridResult:
     predictions: DataFrame        # experiment, doc_id, split, label, score, prob, prediction
     table: DataFrame              # one row per experiment (+ cv columns when run)
-    models: dict = field(default_factory=dict)
-    features: dict = field(default_factory=dict)
+    features: dict[str, Fitted] = field(default_factory=dict)
+    coefficients: DataFrame | None = None   # experiment, feature, idx, weight
+    folds: DataFrame | None = None          # experiment, fold, macro_f1
+
+
+def _selected(rows: DataFrame, size: int):
+    """Columns whose weight in a selector fitted on ``rows`` is at least the median."""
+    import numpy as np
+
+    # an MLlib model's weights are on the driver, one per vocabulary column
+    w = np.abs(mo.fit(rows, SELECTOR).coefficients.toArray()[:size])
+    return np.flatnonzero(w >= np.median(w)) if size else np.arange(0)
+
+
+def _fit_one(rows: DataFrame, size: int, spec: mo.ModelSpec, kept) -> Fitted:
+    """Fit ``spec`` on the ``kept`` columns of the vectors (None: on all)."""
+    import numpy as np
+    from pyspark.ml.feature import VectorSlicer
 
+    penalised = spec.intercept == "penalised"
+    if kept is None:
+        kept = np.arange(size)
+    else:
+        cols = [*kept.tolist(), size] if penalised else kept.tolist()
+        rows = (VectorSlicer(inputCol="features", outputCol="sliced", indices=cols).transform(rows)
+                .drop("features").withColumnRenamed("sliced", "features"))
+    model = mo.fit(rows, spec)
+    w = model.coefficients.toArray()
+    weights = np.zeros(size)
+    weights[kept] = w[:len(kept)]
+    return Fitted(len(kept), weights, float(w[-1] if penalised else model.intercept), model.converged)
+
+
+def run_grid(corpus: DataFrame, experiments: Sequence[Experiment], k: int = 5, refit_per_fold: bool = False,
+             parallelism: int = 8) -> GridResult:
+    """Fit, cross-validate, score and evaluate every experiment; ``corpus``
+    carries doc_id, text (already preprocessed), label, split.
+
+    All vocabularies come from one pass over the training texts, all training
+    vectors from a second, all scores (every model, every fold) from a third.
+    Only the fits are one Spark job chain each; they are submitted concurrently,
+    ``parallelism`` at a time.  Folds share the vocabularies and selectors of the
+    whole train split, as in the reference; with ``refit_per_fold`` each fold has
+    its own, fitted without it.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    import pyarrow as pa
 
-def run_grid(corpus: DataFrame, experiments: Sequence[Experiment], text_col: str = "text") -> GridResult:
-    """Fit, score and evaluate every experiment; ``corpus`` carries
-    doc_id, text (already preprocessed), label, split."""
     spark = corpus.sparkSession
-    cache: dict = {}
-    cached: list = []
-    preds, cv_rows, models, feats = [], [], {}, {}
+    specs = list(dict.fromkeys(v for e in experiments for v in e.vectorizers))
+    slots = [-1, *range(k)] if any(e.cv for e in experiments) else [-1]
+    fitted_slots = slots if refit_per_fold else [-1]
+    train = corpus.where(F.col("split") == "train")
+    folds = va.stratified_folds(train, k=k).select("doc_id", "fold")
+    train = train.join(folds, "doc_id")
+    vocabs = stored(vo.fit_vocabs(train, specs, k, refit_per_fold), "grid-vocabs")
+    sizes = {(r.variant, r.slot): r.n for r in vocabs.groupBy("variant", "slot").agg(F.count(F.lit(1)).alias("n")).collect()}
+    long = stored(vo.tfidf_many(train, vocabs, specs, refit_per_fold), "grid-tfidf")
+
+    def columns(exp: Experiment, slot: int) -> list[tuple[int, int, int]]:
+        """(variant, offset, size) of the blocks of an experiment in a fitted slot."""
+        out, at = [], 0
+        for v in map(specs.index, exp.vectorizers):
+            out.append((v, at, sizes.get((v, slot), 0)))
+            at += out[-1][2]
+        return out
+
+    vectors: dict = {}
     for exp in experiments:
-        if exp.vectorizers not in cache:
-            fs = mo.build_features(corpus, exp.vectorizers, text_col)
-            fs.long = fs.long.cache()
-            cached.append(fs.long)
-            cache[exp.vectorizers] = fs
-        fs = cache[exp.vectorizers]
-        if exp.select:
-            selector = mo.fit_model(fs, SELECTOR)
-            fs = mo.select_features(fs, mo.coefficient_table(spark, selector, fs))
-            fs.long = fs.long.cache()
-            cached.append(fs.long)
-        if exp.cv:
-            folds = mo.cross_validate(fs, exp.model)
-            cv_rows.append(materialize(folds).withColumn("experiment", F.lit(exp.name)))
-        model, scored = mo.train_and_score(fs, exp.model)
-        preds.append(scored.withColumn("experiment", F.lit(exp.name)))  # already checkpointed
-        models[exp.name], feats[exp.name] = model, fs
-    for held in cached:  # everything below reads the checkpointed predictions
-        held.unpersist()
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    table = rp.experiment_table(ev.metric_bundle(allp, ["experiment", "split"]))
-    if cv_rows:
-        cvs = cv_rows[0]
-        for c in cv_rows[1:]:
-            cvs = cvs.unionByName(c)
-        cv = va.cv_summary(cvs).select("experiment", "cv_mean", "cv_std")
-        table = table.join(cv, "experiment", "left")
-    return GridResult(allp, table, models, feats)
+        for slot in fitted_slots if exp.cv else [-1]:
+            for penalised in {exp.model.intercept == "penalised", *([True] if exp.select else [])}:
+                key = (exp.vectorizers, slot, penalised)
+                if key not in vectors:
+                    at = columns(exp, slot)
+                    offset = F.create_map(*[x for v, o, _ in at for x in (F.lit(v), F.lit(o))])
+                    part = (long.where(F.col("variant").isin([v for v, _, _ in at]) & (F.col("slot") == slot))
+                            .select("doc_id", (F.col("idx") + offset[F.col("variant")]).alias("idx"), "value"))
+                    docs = train.where(F.col("fold") != slot) if slot >= 0 else train
+                    fs = mo.FeatureSet(part, docs.select("doc_id", "label", "split", "fold"), sum(n for _, _, n in at), [])
+                    vectors[key] = mo.design(fs, penalised, penalised)
 
+    def home(slot: int) -> int:
+        return slot if refit_per_fold else -1
 
-def with_ensemble(res: GridResult, kind: str = "soft", k: int = 3, name: str | None = None) -> DataFrame:
-    """Append a top-k voting ensemble to a grid's result table.
+    def width(exp: Experiment, slot: int) -> int:
+        return sum(n for _, _, n in columns(exp, home(slot)))
+
+    def select(task: tuple[Experiment, int]):
+        exp, slot = task
+        return _selected(vectors[(exp.vectorizers, slot, True)], width(exp, slot))
+
+    def fit(task: tuple[Experiment, int]) -> Fitted:
+        exp, slot = task
+        rows = vectors[(exp.vectorizers, home(slot), exp.model.intercept == "penalised")]
+        kept = selected[(exp.vectorizers, home(slot))] if exp.select else None
+        return _fit_one(rows.where(F.col("fold") != slot), width(exp, slot), exp.model, kept)
+
+    tasks = [(e, s) for e in experiments for s in (slots if e.cv else [-1])]
+    selectors = {(e.vectorizers, home(s)): (e, home(s)) for e, s in tasks if e.select}
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        selected = dict(zip(selectors, pool.map(select, selectors.values())))
+        done = dict(zip(((e.name, s) for e, s in tasks), pool.map(fit, tasks)))
+
+    blocks = [(e.name, specs.index(v)) for e in experiments for v in e.vectorizers]
+    parts = []
+    for exp, slot in tasks:
+        model = done[(exp.name, slot)]
+        for v, offset, n in columns(exp, home(slot)):
+            w = model.weights[offset:offset + n]
+            at = w.nonzero()[0]
+            parts.append(pa.table({"block": pa.array([blocks.index((exp.name, v))] * len(at), pa.int32()),
+                                   "slot": pa.array([slot] * len(at), pa.int32()), "idx": pa.array(at, pa.int32()),
+                                   "weight": pa.array(w[at], pa.float64())}))
+    weights = spark.createDataFrame(pa.concat_tables(parts))
+    variant_of = F.create_map(*[x for b, (_, v) in enumerate(blocks) for x in (F.lit(b), F.lit(v))])
+    fitted_in = F.col("slot") if refit_per_fold else F.lit(-1)
+    named = (weights.withColumns({"variant": variant_of[F.col("block")], "home": fitted_in})
+             .join(vocabs.select("variant", F.col("slot").alias("home"), "idx", "term"), ["variant", "home", "idx"])
+             .select("block", "slot", "term", "weight", "idx"))
+    named = stored(named, "grid-weights")
+    cube = weight_cube(vocabs, named, specs, blocks, slots)
+    docs = corpus.join(folds, "doc_id", "left").withColumn(
+        "slots", F.array_compact(F.array(F.lit(-1), F.when(F.lit(len(slots) > 1), F.col("fold")))))
+    scored = stored(cube_scores(docs, cube, specs, blocks, slots, {key: m.intercept for key, m in done.items()}), "grid-scores")
+    preds = scored.where("slot = -1").drop("slot")
+    table = rp.experiment_table(ev.metric_bundle(preds, ["experiment", "split"]))
+    cv_names = [e.name for e in experiments if e.cv]
+    fold_scores = None
+    if cv_names:
+        held = scored.where((F.col("slot") >= 0) & F.col("experiment").isin(cv_names)).withColumnRenamed("slot", "fold")
+        fold_scores = stored(ev.metric_bundle(held, ["experiment", "fold"]).select("experiment", "fold", "macro_f1"), "grid-cv")
+        table = table.join(va.cv_summary(fold_scores).select("experiment", "cv_mean", "cv_std"), "experiment", "left")
+    offsets = {}
+    for exp in experiments:
+        for v, offset, _ in columns(exp, -1):
+            offsets[blocks.index((exp.name, v))] = offset
+    tag = lambda m: F.create_map(*[x for b, y in m.items() for x in (F.lit(b), F.lit(y))])[F.col("block")]
+    coef = named.where("slot = -1").select(tag({b: n for b, (n, _) in enumerate(blocks)}).alias("experiment"),
+                                           F.col("term").alias("feature"), (F.col("idx") + tag(offsets)).alias("idx"), "weight")
+    return GridResult(preds, table, {e.name: done[(e.name, -1)] for e in experiments}, coef, fold_scores)
+
+
+ENSEMBLES = {"soft": "ensemble_top3", "majority": "voting_ensemble"}
 
-    ``soft``: validation-macro-F1-weighted mean of the members' sigmoid
-    decision values >= 0.5; ``majority``: mean member vote >= 0.5.  Members
-    are the k best experiments by validation macro-F1; the ensemble row has
-    no CV columns.
+
+def ensemble_votes(res: GridResult, kind: str = "soft", k: int = 3) -> DataFrame:
+    """Votes of the k best experiments by validation macro-F1, with the members
+    beside each vote: ``members`` is ordered by rank, (experiment, weight, output).
+
+    ``soft``: validation-macro-F1-weighted mean of the members' sigmoid decision
+    values >= 0.5; ``majority``: mean member vote >= 0.5, weights 1.
     """
-    members = en.top_members(res.table, k)
-    if kind == "soft":
-        votes = en.soft_vote(res.predictions, en.normalised_weights(members))
-        name = name or "ensemble_top3"
-    elif kind == "majority":
-        votes = en.majority_vote(res.predictions, members)
-        name = name or "voting_ensemble"
-    else:
+    if kind not in ENSEMBLES:
         raise ValueError(kind)
-    ens = rp.experiment_table(ev.metric_bundle(votes.withColumn("experiment", F.lit(name)),
-                                               ["experiment", "split"]))
-    return rp.append_rows(res.table, ens)
+    members = en.ranked_members(res.table, k, weighted=kind == "soft")
+    return en.vote_with_members(res.predictions, members, "prob" if kind == "soft" else "prediction")
+
+
+def ensemble_row(votes: DataFrame, name: str) -> DataFrame:
+    """Result-table row of an ensemble with its members and weights."""
+    ens = rp.experiment_table(ev.metric_bundle(votes.withColumn("experiment", F.lit(name)), ["experiment", "split"]))
+    # the members' names and weights are the same in every vote
+    who = votes.agg(F.first(F.transform("members", lambda m: F.struct(m["experiment"], m["weight"]))).alias("members"))
+    return ens.join(F.broadcast(who))  # one row
+
+
+def with_ensemble(res: GridResult, kind: str = "soft", k: int = 3, name: str | None = None) -> DataFrame:
+    """Append a top-k voting ensemble to a grid's result table; the ensemble row
+    has no CV columns and lists its members, which are null in all others."""
+    votes = stored(ensemble_votes(res, kind, k), "ensemble-votes")
+    return rp.append_rows(res.table, ensemble_row(votes, name or ENSEMBLES[kind]))

@@ -9,6 +9,7 @@ _MODULES = (
     "tessera.plans.profile_queries",
     "tessera.plans.eval_queries",
     "tessera.plans.model_queries",
+    "tessera.plans.grid_queries",
 )
 
 

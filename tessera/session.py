@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -65,3 +67,13 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stored(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back,
+    under ``schema`` if given: cuts the lineage, survives lost executors, and
+    lets the planner see the true size."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)

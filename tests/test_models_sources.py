@@ -53,8 +53,9 @@ def test_default_specs_reach_the_optimum(spark):
     rows = mo.design(fs, bias=False, flip=False).where("split = 'train'").collect()
     X = np.array([r.features.toArray() for r in rows])
     y = np.array([r.label for r in rows], dtype=float)
-    for spec in (mo.ModelSpec("lr", 4.0), mo.ModelSpec("lr", 0.1, intercept="free")):
-        model = mo.fit_model(fs, spec, partitions=1)
+    for spec in (mo.ModelSpec("lr", 4.0), mo.ModelSpec("lr", 0.1, intercept="free"), mo.ModelSpec("lr", 0.5, penalty="l1"),
+                 mo.ModelSpec("lr", 1.0, balanced=True), mo.ModelSpec("lr", 20.0, penalty="l1", balanced=True)):
+        model = mo.fit_model(fs, spec)
         assert model.converged
         free = spec.intercept == "free"
         w = model.coefficients.toArray()
@@ -77,6 +78,26 @@ def test_default_specs_reach_the_optimum(spark):
         assert off.max() <= 1e-2 * max(1.0, start), spec
 
 
+@pytest.mark.parametrize("C", [0.1, 1.0])
+def test_svc_objective_is_near_that_of_a_longer_run(spark, C):
+    """At the default tolerance the hinge objective is within 1e-3 of a run at a
+    hundredth of it, and no limit is met (whole vocabulary of the small set)."""
+    corpus = ex.normalized_corpus(co.labelled_docs(spark, SF_SMALL))
+    fs = mo.build_features(corpus, (fe.WORD_1_2,))
+    rows = mo.design(mo.FeatureSet(fs.long, fs.corpus.where("split = 'train'"), fs.size, []), True, True)
+    got = rows.select("features", "label_fit").collect()
+    X, y = np.array([r.features.toArray() for r in got]), np.array([2 * r.label_fit - 1 for r in got])
+
+    def objective(model):
+        w = model.coefficients.toArray()
+        return w @ w / 2 + C * np.maximum(0, 1 - y * (X @ w)).sum()
+
+    usual = mo.fit(rows, mo.ModelSpec("svc", C))
+    longer = mo.fit(rows, mo.ModelSpec("svc", C, max_iter=5000, tol=1e-7))
+    assert usual.converged
+    assert objective(usual) <= objective(longer) * (1 + 1e-3)
+
+
 def test_fit_warns_at_its_limit(spark):
     corpus = ex.normalized_corpus(co.labelled_docs(spark, SF_SMALL))
     fs = mo.build_features(corpus, (fe.VectorizerSpec("word", 1, 1, 2, 40),))
