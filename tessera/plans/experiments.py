@@ -9,10 +9,11 @@ come from ONE grouped aggregate over the long prediction table.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import normalize_text
@@ -262,3 +263,10 @@ def with_ensemble(res: GridResult, kind: str = "soft", k: int = 3, name: str | N
     has no CV columns and lists its members, which are null in all others."""
     votes = stored(ensemble_votes(res, kind, k), "ensemble-votes")
     return rp.append_rows(res.table, ensemble_row(votes, name or ENSEMBLES[kind]))
+
+
+def experiment_config(spark: SparkSession, experiments: Sequence[Experiment]) -> DataFrame:
+    """(experiment, config): each experiment's settings as JSON with sorted keys."""
+    rows = [(e.name, json.dumps({"vectorizers": [asdict(v) for v in e.vectorizers], "model": asdict(e.model),
+                                 "select": e.select, "cv": e.cv}, sort_keys=True, separators=(",", ":"))) for e in experiments]
+    return spark.createDataFrame(rows, "experiment string, config string")

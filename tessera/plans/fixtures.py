@@ -25,6 +25,37 @@ EDGE_TEXTS = (
 # ----------------------------------------------------------------------------
 
 
+# Rows that text files lose easily: quotes, commas, newlines of all kinds, outer
+# spaces, nothing at all, a row and its copy.
+SINK_EDGES = (
+    ('say "hi", he said', 1, "train"),
+    ("line one\nline two\r\nline three\rend", 0, "test"),
+    ("  outer spaces\t", 1, "test"),
+    ("", 0, "validation"),
+    ("back\\slash \\\" and # and ; and 'x'", 0, "validation"),
+    ('""', 1, "test"),
+    ("copied row", 0, "test"),
+    ("copied row", 0, "test"),
+    ("copied row", 0, "train"),
+    ("NULL", 1, "train"),
+)
+
+
+def sink_edge_frame(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(SINK_EDGES), "text string, label int, split string")
+
+
+def sink_edge_values_sql() -> str:
+    def lit(t: str) -> str:
+        text = t.replace("'", "''")
+        for c in ("\n", "\r", "\t"):
+            text = text.replace(c, f"' || chr({ord(c)}) || '")
+        return f"'{text}'"
+
+    rows = ", ".join(f"({lit(t)}, {y}::INTEGER, '{s}')" for t, y, s in SINK_EDGES)
+    return f"(VALUES {rows}) AS e(text, label, split)"
+
+
 def edge_frame(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(EDGE_TEXTS), "doc_id long, text string")
 

@@ -1,6 +1,6 @@
 """Registered queries around real model fits (rows-only checks: MLlib fits
 are not SQL-expressible), train-only features and linear scoring, the
-batch-scoring operator and the JSON sink."""
+batch-scoring operator."""
 
 from __future__ import annotations
 
@@ -16,9 +16,8 @@ from tessera.plans import eval_queries as eq
 from tessera.plans import experiments as ex
 from tessera.plans import sqlbits as S
 from tessera.plans import text_queries as tq
-from tessera.plans.scorers import full_stop_model, scorer_predictions
+from tessera.plans.scorers import full_stop_model
 from tessera.sources.corpus import all_docs, labelled_docs
-from tessera.sources.sinks import metrics_json as metrics_json_frame
 
 R = 6
 KEYS = ["experiment", "split"]
@@ -160,11 +159,6 @@ def q_batch_score_tuned(spark, sf_dir):
     return t.select("experiment", *[F.round(c, R).alias(c) for c in ("threshold", *rp.SUMMARY_COLS)])
 
 
-def q_metrics_json(spark, sf_dir):
-    pred = scorer_predictions(labelled_docs(spark, sf_dir))
-    return metrics_json_frame(pred, KEYS)
-
-
 QUERIES = {
     "train_lr": q_train_lr,
     "train_lr_free_intercept": q_train_lr_free_intercept,
@@ -183,7 +177,6 @@ QUERIES = {
     "linear_scores": q_linear_scores,
     "batch_score": q_batch_score,
     "batch_score_tuned": q_batch_score_tuned,
-    "metrics_json": q_metrics_json,
 }
 # ------------------------------------------------------------ oracle SQL ---
 LD = f"ld AS ({tq.LABELLED_SQL})"

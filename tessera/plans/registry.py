@@ -10,6 +10,7 @@ _MODULES = (
     "tessera.plans.eval_queries",
     "tessera.plans.model_queries",
     "tessera.plans.grid_queries",
+    "tessera.plans.sink_queries",
 )
 
 

@@ -69,11 +69,16 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back,
     under ``schema`` if given: cuts the lineage, survives lost executors, and
     lets the planner see the true size."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import hash_bucket
 from tessera.functions.text import clean_text
+from tessera.operators.ranks import dense_index
 
 # --- fixed values ----------------------------------------------------------
 SPLITS = ("train", "validation", "test")
@@ -59,12 +60,37 @@ def all_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("text"))
 
 
-def load_split_csvs(spark: SparkSession, root: str, splits: Sequence[str] = SPLITS) -> DataFrame:
-    """Split CSV scan: ``{root}/{split}.csv`` with a header; keeps text,label.
+def content_ids(corpus: DataFrame) -> DataFrame:
+    """(doc_id, text, label, split): ids that depend on the rows alone.
+
+    ``doc_id`` is the md5 of split, label and text, a dash, and the row's number
+    among equal rows; equal rows are interchangeable, so any layout of the files
+    and any number of tasks gives the same table.  A row with very many copies is
+    spread: copies are dealt out by where they were read and numbered across
+    partitions, never in one task.
+    """
+    rows = corpus.select("text", "label", "split")
+    content = F.concat_ws("\x1f", F.col("split"), F.coalesce(F.col("label").cast("string"), F.lit("")), F.col("text"))
+    rows = rows.withColumns({"_h": F.md5(content), "_at": F.monotonically_increasing_id()})
+    ranked = dense_index(rows, ["_at"], ["_h"], "_n")
+    return ranked.select(F.concat("_h", F.lit("-"), F.col("_n").cast("string")).alias("doc_id"), "text", "label", "split")
+
+
+def land_corpus(corpus: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
+    """Write a corpus with stored ids as Parquet, one folder for each split, and
+    return the landed table: from then on every read sees the same ids, is cut to
+    the splits asked for, and is spread over tasks however the source was laid out."""
+    ready = corpus if "doc_id" in corpus.columns else content_ids(corpus)
+    ready.select("doc_id", "text", "label", "split").write.mode(mode).partitionBy("split").parquet(path)
+    return load_parquet_splits(corpus.sparkSession, path)
+
+
+def scan_split_csvs(spark: SparkSession, root: str, splits: Sequence[str] = SPLITS) -> DataFrame:
+    """(text, label, split) of ``{root}/{split}.csv``, a file or a folder of files.
 
     A missing file raises ``AnalysisException`` (Spark resolves paths eagerly).
-    Texts may hold newlines and quotes, hence multiLine and the quote escape.
-    ``doc_id`` is a generated unique id (Spark keeps no file position).
+    Texts may hold newlines and quotes, hence multiLine and the quote escape; a
+    file is then one task, so large splits should be folders of files.
     """
     frames = []
     for split in splits:
@@ -79,16 +105,21 @@ def load_split_csvs(spark: SparkSession, root: str, splits: Sequence[str] = SPLI
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out.withColumn("doc_id", F.monotonically_increasing_id()).select("doc_id", "text", "label", "split")
+    return out
+
+
+def load_split_csvs(spark: SparkSession, root: str, splits: Sequence[str] = SPLITS) -> DataFrame:
+    """Split CSV scan with ``content_ids``."""
+    return content_ids(scan_split_csvs(spark, root, splits))
 
 
 def load_parquet_splits(spark: SparkSession, root: str) -> DataFrame:
-    """Landed published dataset: parquet with text, label and split columns."""
+    """Landed published dataset: parquet with text, label and split columns, and
+    its stored ``doc_id``, or ``content_ids`` if it has none."""
     df = spark.read.parquet(root)
-    cols = df.columns
-    doc_id = F.col("doc_id") if "doc_id" in cols else F.monotonically_increasing_id()
-    return df.select(doc_id.alias("doc_id"), clean_text("text").alias("text"),
-                     F.col("label").cast("int").alias("label"), F.col("split"))
+    rows = df.select(*[c for c in ("doc_id",) if c in df.columns], clean_text("text").alias("text"),
+                     F.col("label").cast("int").alias("label"), "split")
+    return rows if "doc_id" in df.columns else content_ids(rows)
 
 
 def load_with_fallback(loaders: Sequence[tuple[str, Callable[[], DataFrame]]]) -> tuple[DataFrame, str]:
