@@ -28,8 +28,6 @@ REFERENCE_MASK_TERMS = (
     "bitch", "bitches", "whore", "hoe", "illegals", "illegal", "womensuck",
     "buildthatwall", "buildthewall",
 )
-# Terms seen in the positive documents of the driver's test data.
-DATA_MASK_TERMS = ("idiot", "moron", "worthless", "clown")
 # Model-name markers that switch on the mention/link preprocessing.
 CARDIFF_MARKERS = (
     "cardiffnlp/twitter-roberta-base",

@@ -34,18 +34,22 @@ def confusion_cells(pred: DataFrame, keys: Sequence[str], label: str = "label",
     """(keys..., true_label, pred_label, n) over the group's class grid,
     missing cells 0.  Rows are true labels, columns predicted labels."""
     keys = list(keys)
-    # The count table has at most groups x classes^2 rows and feeds several
-    # sub-plans; caching it keeps the prediction table from being re-read
-    # once per branch.
     counts = pred.groupBy(*keys, F.col(label).alias("true_label"),
-                          F.col(prediction).alias("pred_label")).agg(F.count(F.lit(1)).alias("n")).cache()
-    classes = (counts.groupBy(*keys)
-               .agg(F.array_sort(F.array_union(F.collect_set("true_label"),
-                                               F.collect_set("pred_label"))).alias("classes")))
-    grid = (classes.select(*keys, F.explode("classes").alias("true_label"), "classes")
-            .select(*keys, "true_label", F.explode("classes").alias("pred_label")))
-    return (grid.join(counts, keys + ["true_label", "pred_label"], "left")
-            .select(*keys, "true_label", "pred_label", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+                          F.col(prediction).alias("pred_label")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per group with its at most classes^2 cells: whatever is derived from
+    # it reuses one exchange, so the prediction table is read once and nothing
+    # has to be kept.
+    cells = counts.groupBy(*keys).agg(F.collect_list(F.struct("true_label", "pred_label", "n")).alias("c"))
+
+    def column(name: str) -> Column:
+        return F.array_compact(F.transform("c", lambda x: x[name]))
+
+    classes = F.array_sort(F.array_union(column("true_label"), column("pred_label")))
+    grid = (cells.select(*keys, "c", classes.alias("classes"))
+            .select(*keys, "c", "classes", F.explode("classes").alias("true_label"))
+            .select(*keys, "c", "true_label", F.explode("classes").alias("pred_label")))
+    here = F.filter("c", lambda x: (x["true_label"] == F.col("true_label")) & (x["pred_label"] == F.col("pred_label")))
+    return grid.select(*keys, "true_label", "pred_label", F.coalesce(F.get(here, F.lit(0))["n"], F.lit(0)).cast("long").alias("n"))
 
 
 def per_class(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -150,16 +154,16 @@ def threshold_sweep(pred: DataFrame, keys: Sequence[str], label: str = "label",
     is_pos = (F.col(label) == positive).cast("long")
     b = pred.select(*keys, is_pos.alias("pos"), grid_bucket(prob).alias("k"),
                     (F.col(prob) >= F.lit(DEFAULT_THRESHOLD)).cast("long").alias("half"))
-    # <= 182 x groups rows, read twice below: cached so the input is scanned once
+    names = ("pos_k", "neg_k", "half_pos_k", "half_neg_k")
     per_k = b.groupBy(*keys, "k").agg(F.sum("pos").alias("pos_k"),
                                       F.sum(1 - F.col("pos")).alias("neg_k"),
                                       F.sum(F.col("half") * F.col("pos")).alias("half_pos_k"),
-                                      F.sum(F.col("half") * (1 - F.col("pos"))).alias("half_neg_k")).cache()
-    groups = per_k.select(*keys).distinct()
-    grid = groups.select(*keys, F.explode(F.sequence(F.lit(-1), F.lit(GRID_POINTS - 1))).alias("k"))
-    filled = (grid.join(per_k, keys + ["k"], "left")
-              .select(*keys, "k", *[F.coalesce(c, F.lit(0)).alias(c)
-                                    for c in ("pos_k", "neg_k", "half_pos_k", "half_neg_k")]))
+                                      F.sum(F.col("half") * (1 - F.col("pos"))).alias("half_neg_k"))
+    # <= 182 buckets of a group in one row: the input is scanned once
+    group = per_k.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("k", F.struct(*names)))).alias("m"))
+    filled = (group.select(*keys, "m", F.explode(F.sequence(F.lit(-1), F.lit(GRID_POINTS - 1))).alias("k"))
+              .select(*keys, "k", F.element_at("m", F.col("k")).alias("v"))
+              .select(*keys, "k", *[F.coalesce(f"v.{c}", F.lit(0)).alias(c) for c in names]))
     suffix = Window.partitionBy(*keys).orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
     s = filled.select(*keys, "k",

@@ -15,13 +15,14 @@ from tessera.operators import features as fe
 from tessera.operators import report as rp
 from tessera.operators import validate as va
 from tessera.plans import sqlbits as S
-from tessera.plans.scorers import predictions_sql, scorer_predictions
+from tessera.plans.scorers import DATA_TERMS, predictions_sql, scorer_predictions
 from tessera.plans.text_queries import LABELLED_SQL
-from tessera.sources.corpus import labelled_docs
+from tessera.session import stored
+from tessera.sources.corpus import all_docs, labelled_docs
 
 R = 6
 KEYS = ["experiment", "split"]
-MASKS = tx.REFERENCE_MASK_TERMS + tx.DATA_MASK_TERMS
+MASKS = tx.REFERENCE_MASK_TERMS + DATA_TERMS
 
 
 def _rnd(df: DataFrame, *cols: str) -> DataFrame:
@@ -32,10 +33,9 @@ def _rnd(df: DataFrame, *cols: str) -> DataFrame:
 
 # ------------------------------------------------------------ Spark side ---
 def _scored(corpus):
-    """Scorer predictions, kept for the several sub-plans that read them
+    """Scorer predictions, stored for the several sub-plans that read them
     (one row per document and scorer)."""
-    from pyspark import StorageLevel
-    return scorer_predictions(corpus).persist(StorageLevel.MEMORY_AND_DISK)
+    return stored(scorer_predictions(corpus), "scores")
 
 
 def _pred(spark, sf_dir):
@@ -100,12 +100,12 @@ def _logits(corpus):
 
 
 def q_softmax_prob(spark, sf_dir):
-    lg = _logits(labelled_docs(spark, sf_dir))
+    lg = _logits(all_docs(spark, sf_dir))
     return lg.select("doc_id", F.round(softmax_prob("logits"), R).alias("prob_hate"))
 
 
 def q_argmax_class(spark, sf_dir):
-    lg = _logits(labelled_docs(spark, sf_dir))
+    lg = _logits(all_docs(spark, sf_dir))
     return lg.select("doc_id", argmax_class("logits").alias("prediction"))
 
 
@@ -195,10 +195,10 @@ def q_cv_summary(spark, sf_dir):
 
 def coefficient_table(spark, sf_dir, spec=fe.WORD_1_2) -> DataFrame:
     """Smoothed log-odds weight of every vocabulary term (presence in
-    positive vs negative labelled documents): a data-derived stand-in for a
+    positive vs negative documents of the train split): a data-derived stand-in for a
     fitted model's coefficients, computed as the log of one integer ratio so
     equal ratios tie exactly."""
-    corpus = labelled_docs(spark, sf_dir)
+    corpus = labelled_docs(spark, sf_dir).where(F.col("split") == "train")
     norm = corpus.select("doc_id", "label", tx.normalize_text("text").alias("text"))
     counts = fe.term_counts(norm, spec)
     n_docs, n_pos = norm.agg(F.count(F.lit(1)), F.sum("label")).first()
@@ -371,11 +371,11 @@ SUMMARY_R = ", ".join(f"round({c}, {R}) AS {c}" for c in rp.SUMMARY_COLS)
 V2_ORDER = ("ORDER BY val_macro_f1 DESC NULLS LAST, cv_mean DESC NULLS LAST, "
             "test_macro_f1 DESC NULLS LAST, experiment ASC")
 LOGITS = f"""lg AS (SELECT doc_id, [{S.hash_uniform("'l0:' || CAST(doc_id AS VARCHAR)")} * 4.0::DOUBLE - 2.0::DOUBLE,
-                     {S.hash_uniform("'l1:' || CAST(doc_id AS VARCHAR)")} * 4.0::DOUBLE - 2.0::DOUBLE] AS logits FROM ld)"""
+                     {S.hash_uniform("'l1:' || CAST(doc_id AS VARCHAR)")} * 4.0::DOUBLE - 2.0::DOUBLE] AS logits FROM documents)"""
 
 COEF = f"""
 WITH ld AS ({LABELLED_SQL}),
-nd AS (SELECT doc_id, label, {S.normalize('text')} AS text FROM ld),
+nd AS (SELECT doc_id, label, {S.normalize('text')} AS text FROM ld WHERE split = 'train'),
 counts AS (SELECT doc_id, term, count(*) AS tf FROM ({S.word_ngram_rows('nd', 'text', 1, 2)}) GROUP BY doc_id, term),
 stats AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM counts GROUP BY term HAVING count(*) >= 2),
 top AS (SELECT * FROM stats ORDER BY cf DESC, term ASC LIMIT 8000),
@@ -408,10 +408,10 @@ ORACLE = {
         SELECT experiment, split, round(threshold, {R}) AS threshold, round(macro_f1, {R}) AS macro_f1,
                round(accuracy, {R}) AS accuracy FROM bt""",
     "thresholded_metrics": f"""{BASE}, {TUNED} SELECT experiment, round(threshold, {R}) AS threshold, {SUMMARY_R} FROM tuned""",
-    "softmax_prob": f"""WITH ld AS ({LABELLED_SQL}), {LOGITS},
+    "softmax_prob": f"""WITH {LOGITS},
         sm AS (SELECT doc_id, list_transform(logits, lambda x: exp(x - list_max(logits))) AS ex FROM lg)
         SELECT doc_id, round(ex[2] / (ex[1] + ex[2]), {R}) AS prob_hate FROM sm""",
-    "argmax_class": f"""WITH ld AS ({LABELLED_SQL}), {LOGITS}
+    "argmax_class": f"""WITH {LOGITS}
         SELECT doc_id, CAST(list_position(logits, list_max(logits)) - 1 AS INTEGER) AS prediction FROM lg""",
     "majority_vote": f"{BASE}, {MEMBERS}, {VOTE} SELECT * FROM vote",
     "soft_vote": f"""{BASE}, {MEMBERS}, w AS (SELECT experiment, val_macro_f1 / sum(val_macro_f1) OVER () AS weight FROM mem),

@@ -159,6 +159,13 @@ def q_batch_score_tuned(spark, sf_dir):
     return t.select("experiment", *[F.round(c, R).alias(c) for c in ("threshold", *rp.SUMMARY_COLS)])
 
 
+def q_callback_metrics(spark, sf_dir):
+    """Accuracy and macro-F1 of the batch model's argmax over its logits, by split."""
+    pred = _batch(labelled_docs(spark, sf_dir))
+    return ev.metric_bundle(pred, ["split"]).select("split", F.round("accuracy", R).alias("accuracy"),
+                                                    F.round("macro_f1", R).alias("macro_f1"), "n")
+
+
 QUERIES = {
     "train_lr": q_train_lr,
     "train_lr_free_intercept": q_train_lr_free_intercept,
@@ -177,6 +184,7 @@ QUERIES = {
     "linear_scores": q_linear_scores,
     "batch_score": q_batch_score,
     "batch_score_tuned": q_batch_score_tuned,
+    "callback_metrics": q_callback_metrics,
 }
 # ------------------------------------------------------------ oracle SQL ---
 LD = f"ld AS ({tq.LABELLED_SQL})"
@@ -216,4 +224,6 @@ ORACLE = {
         FROM ({_batch_sql("(SELECT doc_id, coalesce(text, '') AS text FROM documents)")})""",
     "batch_score_tuned": f"""WITH {LD}, pred AS (SELECT 'batch' AS experiment, * FROM ({_batch_sql('ld', ', split, label')})),
         {eq.TUNED} SELECT experiment, round(threshold, {R}) AS threshold, {eq.SUMMARY_R} FROM tuned""",
+    "callback_metrics": f"""WITH {LD}, pred AS ({_batch_sql('ld', ', split, label')}), {eq.metric_ctes('pred', ['split'], 'c_')}
+        SELECT split, round(accuracy, {R}) AS accuracy, round(macro_f1, {R}) AS macro_f1, n FROM c_mb""",
 }

@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import apply_threshold, hash_uniform, sigmoid
-from tessera.functions.text import DATA_MASK_TERMS
 from tessera.plans import sqlbits as S
 
+# Words of the lexicon scorer, and terms that the sanitizer's queries mask besides
+# the reference's: seen in the positive documents of the given tables.
+DATA_TERMS = ("idiot", "moron", "worthless", "clown")
 SCORERS = ("coin", "length", "lexicon", "punct")
 
 
@@ -30,7 +32,7 @@ def scorer_predictions(corpus: DataFrame) -> DataFrame:
     """(experiment, doc_id, split, label, score, prob, prediction)."""
     lt = F.lower("text")
     ln = F.char_length("text")
-    hits = sum((_occurrences(lt, t) for t in DATA_MASK_TERMS[1:]), _occurrences(lt, DATA_MASK_TERMS[0]))
+    hits = sum((_occurrences(lt, t) for t in DATA_TERMS[1:]), _occurrences(lt, DATA_TERMS[0]))
     dots = F.char_length("text") - F.char_length(F.replace(F.col("text"), F.lit("."), F.lit("")))
     scores = {
         "coin": (hash_uniform(F.concat(F.lit("coin:"), F.col("doc_id").cast("string"))) - F.lit(0.5)) * F.lit(6.0),
@@ -51,7 +53,7 @@ def _occ_sql(lt: str, term: str) -> str:
 
 def predictions_sql(ld: str = "ld") -> str:
     """CTE body list ``sc, pr0, pred`` over the labelled-docs CTE ``ld``."""
-    hits = " + ".join(_occ_sql("lt", t) for t in DATA_MASK_TERMS)
+    hits = " + ".join(_occ_sql("lt", t) for t in DATA_TERMS)
     coin = f"(({S.hash_uniform(chr(39) + 'coin:' + chr(39) + ' || CAST(doc_id AS VARCHAR)')} - 0.5::DOUBLE) * 6.0::DOUBLE)"
     return f"""
     sc AS (SELECT doc_id, split, label, text, lower(text) AS lt, length(text) AS len FROM {ld}),

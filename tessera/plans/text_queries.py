@@ -15,6 +15,7 @@ from tessera.functions.tokens import word_tokens
 from tessera.operators import features as fe
 from tessera.plans import sqlbits as S
 from tessera.plans.fixtures import edge_frame, edge_values_sql
+from tessera.plans.scorers import DATA_TERMS
 from tessera.sources.corpus import all_docs, labelled_docs, read_table
 
 R = 6  # rounding places for hashed doubles
@@ -48,7 +49,7 @@ def q_normalize_text(spark, sf_dir):
 
 
 def q_sanitize_text(spark, sf_dir):
-    terms = tx.REFERENCE_MASK_TERMS + tx.DATA_MASK_TERMS
+    terms = tx.REFERENCE_MASK_TERMS + DATA_TERMS
     return _docs_plus_edges(spark, sf_dir).select(
         "doc_id", tx.sanitize_text("text", terms).alias("sanitized_text"))
 
@@ -178,7 +179,7 @@ ND = f"nd AS {NORM_DOCS_SQL}"
 ORACLE = {
     "labelled_docs": LABELLED_SQL,
     "normalize_text": f"SELECT doc_id, {S.normalize('text')} AS text_norm FROM {DOCS_PLUS_EDGES_SQL}",
-    "sanitize_text": "SELECT doc_id, " + S.sanitize("text", tx.REFERENCE_MASK_TERMS + tx.DATA_MASK_TERMS)
+    "sanitize_text": "SELECT doc_id, " + S.sanitize("text", tx.REFERENCE_MASK_TERMS + DATA_TERMS)
                      + f" AS sanitized_text FROM {DOCS_PLUS_EDGES_SQL}",
     "preprocess_mentions_links": f"SELECT doc_id, {S.mentions_links('text')} AS text_pre FROM {DOCS_PLUS_EDGES_SQL}",
     "preprocess_auto": (f"SELECT doc_id, {S.mentions_links('text')} AS auto_hub, text AS auto_local, "
