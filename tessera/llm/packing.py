@@ -24,8 +24,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -207,24 +207,30 @@ def pack(pieces: DataFrame, max_tokens: int = 1024, max_segments: int = 64, max_
     limits = np.array([max_tokens, max_segments, max_loss or max_tokens])
     names = pieces.columns
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=False, kind="stable")
-        loss = pdf[loss_col] if loss_col else pdf["length"]
-        demand = np.column_stack([pdf["length"], np.ones(len(pdf), dtype=np.int64), loss])
-        full = int((pdf["length"] == max_tokens).sum())  # sorted first; each is a sequence of its own
-        bins, place = np.arange(len(pdf)), np.zeros(len(pdf), dtype=np.int64)
+    def run(table: pa.Table) -> pa.Table:
+        # ids stay in Arrow: a null beside them makes no floats of them
+        lengths = table.column("length").to_numpy()
+        order = pc.sort_indices(table, sort_keys=[(c, "descending") for c in ("length", "doc_id", "start", "ids_crc32")]).to_numpy()
+        table, lengths = table.take(pa.array(order)), lengths[order]
+        loss = table.column(loss_col).to_numpy() if loss_col else lengths
+        demand = np.column_stack([lengths, np.ones(len(lengths), dtype=np.int64), loss])
+        full = int((lengths == max_tokens).sum())  # sorted first; each is a sequence of its own
+        bins, place = np.arange(len(lengths)), np.zeros(len(lengths), dtype=np.int64)
         rest, place[full:] = fill_bins(demand[full:], limits)
         bins[full:] = rest + full
-        pdf["sequence_id"] = (pdf["_shard"].to_numpy() << 32) | bins
-        pdf["_place"] = place
-        pdf = pdf.sort_values(["sequence_id", "_place"], kind="stable")
-        upto = pdf.groupby("sequence_id")["length"].cumsum()
-        pdf["offset"] = upto - pdf["length"]
-        return pdf[[*names, "sequence_id", "offset"]]
+        order = np.lexsort([place, bins])
+        upto = np.cumsum(lengths[order])
+        begins = np.concatenate([[True], np.diff(bins[order]) != 0])[:len(order)]
+        before = (upto - lengths[order])
+        offset = np.zeros(len(order), dtype=np.int64)
+        offset[order] = before - np.repeat(before[begins], np.diff(np.append(np.flatnonzero(begins), len(order))))
+        shard = table.column("_shard")[0].as_py()
+        return (table.select(names).append_column("sequence_id", pa.array((shard << 32) | bins))
+                .append_column("offset", pa.array(offset)))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     return (pieces.withColumn("_shard", key).groupBy("_shard")
-            .applyInPandas(run, f"{schema}, sequence_id long, offset long"))
+            .applyInArrow(run, f"{schema}, sequence_id long, offset long"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = 1024, **limits) -> DataFrame:

@@ -67,6 +67,28 @@ def test_packing_round_trip(spark, edge, empty):
     assert all(len(r.input_ids) in (1024, r.n_tokens) for r in full)
 
 
+def test_packing_keeps_large_ids_beside_a_null(spark):
+    rows = [(None, "a b"), ((1 << 53) + 1, "c"), ((1 << 53) + 3, "d e f"), ((1 << 62) + 7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = packing.pack_documents(docs).collect()
+    assert {r.doc_id for r in got} == {i for i, _ in rows} and len(got) == 4
+    assert sorted((r.offset, r.length) for r in got)[0][0] == 0 and len({r.sequence_id for r in got}) == 1
+
+
+def test_cached_encoder_equals_the_tokenizer():
+    enc = packing.CachedEncoder(packing.default_tokenizer())
+    rng = np.random.default_rng(11)
+    parts = ["word", "Word", "it's", "don't", "x1", "12", ".", ",", "ä", "漢字", "\n", " ", " ", " ", "\n", "\t", "\r\n", "\x00", "\x85",
+             "\u00a0", "<|endoftext|>", "!", "e\u0301", "\u200b", "'", "a" * 70]
+    texts = ["", " ", "\n", "a", " a", "a ", "\na", "a\n", "a\nb", "a\n\nb", "a \nb", "a\n b", "a  b", "\x00 a", "a \x00b"]
+    texts += ["".join(rng.choice(parts, rng.integers(1, 30))) for _ in range(3000)]
+    enc.LIMIT = 500  # forget often
+    for at in range(0, len(texts), 100):
+        some = texts[at:at + 100]
+        for t, ids in zip(some, enc.encode(some)):
+            assert ids.tolist() == enc.tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_bins_respect_all_limits():
     rng = np.random.default_rng(3)
     demand = np.column_stack([rng.integers(1, 900, 500), np.ones(500, int), rng.integers(0, 400, 500)])
