@@ -22,6 +22,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,26 +33,53 @@ from pyspark.sql import functions as F
 from tessera.llm.common import text_chunks
 from tessera.session import materialize
 
-_RARE_SPACE = re.compile(r"[^\S \n]")
-_PLAIN = re.compile(r" ?\S+")
+#: White space other than the space and the line end.
+_RARE_ASCII = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_RARE = _RARE_ASCII + "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_PLAIN = re.compile(r"\n?\S+")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _loose(t: str) -> bool:
+    """White space that is not one space or one line end between two words."""
+    return ("  " in t or "\n " in t or " \n" in t or "\n\n" in t or t[:1].isspace() or t[-1:].isspace()
+            or any(c in t for c in (_RARE_ASCII if t.isascii() else _RARE)))
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class WordIndex(dict):
+    """word -> its number; a word not seen before gets the next one and is noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
 class CachedEncoder:
     """Byte-pair ids of texts, by words.
 
-    A byte-level tokenizer never merges across a single space between two
-    other characters, so a text is cut there and the ids of a word (with its
-    space) are looked up.  New words are encoded by the tokenizer itself.
+    A byte-level tokenizer never merges across a single space, or a single line
+    end, between two other characters, so a text is cut there and the ids of a
+    word are looked up, once for each word: under the word itself with the space
+    before it, under line end and word with the line end.  New words are encoded
+    by the tokenizer itself.
+
+    The words kept are bounded by their number and their characters; beyond that
+    all are forgotten before the next chunk of texts.
     """
 
     LIMIT = 1_000_000
+    LIMIT_CHARS = 16_000_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,71 +90,112 @@ class CachedEncoder:
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = WordIndex()
+        self.chars = 0
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.size = np.zeros(1 << 14, dtype=np.int64)
 
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after the other, number of each text's ids)."""
+        ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return (np.array([i for part in ids for i in part], dtype=np.uint32),
+                np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids one after the other, number of each word's ids).
-
-        Plain words go through the tokenizer as lines of a longer text, which
-        is faster and gives the same ids; the line ends tell them apart.
-        """
-        if not _PLAIN.fullmatch(words[0]):
-            ids = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-            return (np.array([i for part in ids for i in part], dtype=np.uint32),
-                    np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
-        lines = ["\n".join([*words[i:i + 256], ""]) for i in range(0, len(words), 256)]
+        """The same for words.  Those without inner white space go through the
+        tokenizer as lines of a longer text, which is faster and gives the same
+        ids; the line ends tell them apart."""
+        if not all(map(_PLAIN.fullmatch, words)):
+            return self._each([w if w[:1] == "\n" else " " + w for w in words])
+        after_line = np.fromiter((w[0] == "\n" for w in words), dtype=bool, count=len(words))
+        bare = [w[1:] if w[0] == "\n" else " " + w for w in words]
+        lines = ["\n".join([*bare[i:i + 256], ""]) for i in range(0, len(bare), 256)]
         flat = np.concatenate([np.array(e.ids, dtype=np.uint32)
                                for e in self.tok.encode_batch_fast(lines, add_special_tokens=False)])
         ends = np.flatnonzero(flat == self.line_id)
-        return flat[flat != self.line_id], np.diff(ends, prepend=-1) - 1
-
-    def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if _PLAIN.fullmatch(w)]
-        other = [w for w in new if not _PLAIN.fullmatch(w)]
-        for words in (plain, other):
-            self._store(words)
-
-    def _store(self, words: list[str]) -> None:
-        for at in range(0, len(words), 20_480):
-            some = words[at:at + 20_480]
-            ids, sizes = self._ids(some)
-            total, first = len(ids), len(self.index)
-            while self.used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while first + len(some) > len(self.start):
-                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-                self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            self.flat[self.used:self.used + total] = ids
-            self.start[first:first + len(some)] = self.used + np.cumsum(sizes) - sizes
-            self.size[first:first + len(some)] = sizes
-            self.index.update(zip(some, range(first, first + len(some))))
-            self.used += total
+        sizes = np.diff(ends, prepend=-1) - 1
+        flat = flat[flat != self.line_id]
+        flat = np.insert(flat, (np.cumsum(sizes) - sizes)[after_line], self.line_id)
+        return flat, sizes + after_line
+
+    def _learn(self) -> None:
+        """Encode the words noted since the last call, in the order of their numbers."""
+        new, self.index.new = self.index.new, []
+        first = len(self.index) - len(new)
+        for at in range(0, len(new), 20_480):
+            some = new[at:at + 20_480]
+            plain = np.fromiter((_PLAIN.fullmatch(w) is not None for w in some), dtype=bool, count=len(some))
+            for part in (plain, ~plain):
+                where = np.flatnonzero(part)
+                if len(where):
+                    self._store(first + at + where, *self._ids([some[i] for i in where]))
+        self.chars += sum(map(len, new))
+
+    def _store(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while numbers[-1] >= len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.start[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.size[numbers] = sizes
+        self.used += len(ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = []
-        for t in texts:
-            loose = ("  " in t or "\n " in t or " \n" in t or t[:1].isspace() or t[-1:].isspace()
-                     or _RARE_SPACE.search(t))
-            first, *rest = _CUT.split(t) if loose else t.split(" ")
-            cut.append([first, *[" " + w for w in rest]])
-        new = set().union(*cut).difference(self.index)
-        if len(self.index) + len(new) > self.LIMIT:
+        if len(self.index) > self.LIMIT or self.chars > self.LIMIT_CHARS:
             self.reset()
-            new = set().union(*cut)
-        if new:
-            self._learn(list(new))
-        out = []
-        for words in cut:
-            at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
-            size = self.size[at]
-            shift = np.repeat(self.start[at] - (np.cumsum(size) - size), size)
-            out.append(self.flat[shift + np.arange(len(shift))])
+        loose = [i for i, t in enumerate(texts) if _loose(t)]
+        heads = []  # loose texts: what stands before the first cut
+        plain = [f"\n{t}" for t in texts]  # nothing stands before that line end
+        cut = pc.split_pattern(pc.replace_substring(pa.array(plain, pa.large_string()), "\n", " \n"), " ")
+        own = dict.fromkeys(loose)
+        for i in loose:
+            head, *own[i] = _CUT.split(texts[i])
+            heads.append(head)
+        counts = cut.value_lengths().to_numpy() - 1  # the empty word before the first line end
+        words = cut.flatten()
+        keep = np.ones(len(words), dtype=bool)
+        keep[np.cumsum(counts + 1) - counts - 1] = False
+        if loose:
+            where = np.repeat(np.arange(len(texts)), counts + 1)
+            keep &= ~np.isin(where, loose)
+            counts[loose] = 0
+        # each word of the chunk is looked up once, whatever its repeats
+        codes = words.filter(pa.array(keep)).dictionary_encode()
+        number = self._numbers(codes.dictionary.to_pylist())[codes.indices.to_numpy()]
+        more = self._numbers([w for i in loose for w in own[i]])
+        if self.index.new:
+            self._learn()
+        out = self._ids_of(number, counts)
+        for i in range(len(texts)):
+            out[i] = out[i][1:]  # the line end put in front
+        if loose:
+            ids, sizes = self._each(heads)
+            rest = self._ids_of(more, np.array([len(own[i]) for i in loose]))
+            for i, head, tail in zip(loose, np.split(ids, np.cumsum(sizes)[:-1]), rest):
+                out[i] = np.concatenate([head, tail])
         return out
 
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def _ids_of(self, words: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+        """Ids of texts that have ``counts`` of the numbered words each."""
+        size = self.size[words]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        flat = self.flat[np.repeat(self.start[words] - upto[:-1], size) + np.arange(upto[-1])]
+        cuts = upto[np.concatenate([[0], np.cumsum(counts)])]
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+@cache
+def shared_encoder(path: str) -> CachedEncoder:
+    """One encoder for each Python worker: later tasks start with the words known."""
+    return CachedEncoder(path)
+
 
 def document_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = 1024, end_id: int = 0,
                     with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -136,7 +205,7 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: i
     schema = ", ".join(f"{n} long" for n in names) + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = CachedEncoder(tokenizer or default_tokenizer())
+        enc = shared_encoder(tokenizer or default_tokenizer())
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in text_chunks(texts):
