@@ -52,6 +52,16 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def default_ranks() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+#: Where a byte-level tokenizer cuts a text before it merges bytes (fixed value).
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class WordIndex(dict):
     """word -> its number; a word not seen before gets the next one and is noted."""
 
@@ -72,7 +82,12 @@ class CachedEncoder:
     end, between two other characters, so a text is cut there and the ids of a
     word are looked up, once for each word: under the word itself with the space
     before it, under line end and word with the line end.  New words are encoded
-    by the tokenizer itself.
+    by the tokenizer itself, or, where ``ranks`` names a file with the same
+    vocabulary as ranks, by the merges of least rank: each entry of a trained
+    vocabulary arises from its own bytes alone by the listed merges (tested for the
+    given one), so both take the same merges in the same order.  Words beyond
+    U+024F, where letter classes may differ between libraries, and words with a
+    special token always take the tokenizer.
 
     The words kept are bounded by their number and their characters; beyond that
     all are forgotten before the next chunk of texts.
@@ -81,11 +96,20 @@ class CachedEncoder:
     LIMIT = 1_000_000
     LIMIT_CHARS = 16_000_000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.merges = None
+        if ranks:
+            import base64
+
+            import tiktoken
+            with open(ranks, "rb") as f:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.merges = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=table, special_tokens={})
         self.line_id = self.tok.encode("\n", add_special_tokens=False).ids[0]
         self.reset()
 
@@ -112,14 +136,19 @@ class CachedEncoder:
         after_line = np.fromiter((w[0] == "\n" for w in words), dtype=bool, count=len(words))
         bare = [w[1:] if w[0] == "\n" else " " + w for w in words]
         lines = ["\n".join([*bare[i:i + 256], ""]) for i in range(0, len(bare), 256)]
-        flat = np.concatenate([np.array(e.ids, dtype=np.uint32)
-                               for e in self.tok.encode_batch_fast(lines, add_special_tokens=False)])
+        flat = np.concatenate(self._lines(lines))
         ends = np.flatnonzero(flat == self.line_id)
         sizes = np.diff(ends, prepend=-1) - 1
         flat = flat[flat != self.line_id]
         flat = np.insert(flat, (np.cumsum(sizes) - sizes)[after_line], self.line_id)
         return flat, sizes + after_line
 
+    def _lines(self, lines: list[str]) -> list[np.ndarray]:
+        """Ids of texts of many words."""
+        if self.merges and all(max(t) < "\u0250" and not any(x in t for x in self.special) for t in lines):
+            return [self.merges.encode_to_numpy(t, disallowed_special=()) for t in lines]
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(lines, add_special_tokens=False)]
+
     def _learn(self) -> None:
         """Encode the words noted since the last call, in the order of their numbers."""
         new, self.index.new = self.index.new, []
@@ -127,7 +156,9 @@ class CachedEncoder:
         for at in range(0, len(new), 20_480):
             some = new[at:at + 20_480]
             plain = np.fromiter((_PLAIN.fullmatch(w) is not None for w in some), dtype=bool, count=len(some))
-            for part in (plain, ~plain):
+            usual = plain & np.fromiter((max(w, default="") < "\u0250" and not any(x in w for x in self.special) for w in some),
+                                        dtype=bool, count=len(some))
+            for part in (usual, plain & ~usual, ~plain):
                 where = np.flatnonzero(part)
                 if len(where):
                     self._store(first + at + where, *self._ids([some[i] for i in where]))
@@ -192,9 +223,9 @@ class CachedEncoder:
 
 
 @cache
-def shared_encoder(path: str) -> CachedEncoder:
+def shared_encoder(path: str | None) -> CachedEncoder:
     """One encoder for each Python worker: later tasks start with the words known."""
-    return CachedEncoder(path)
+    return CachedEncoder(path) if path else CachedEncoder(default_tokenizer(), default_ranks())
 
 
 def document_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = 1024, end_id: int = 0,
@@ -205,7 +236,7 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: i
     schema = ", ".join(f"{n} long" for n in names) + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = shared_encoder(tokenizer or default_tokenizer())
+        enc = shared_encoder(tokenizer)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in text_chunks(texts):

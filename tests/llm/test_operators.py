@@ -75,8 +75,39 @@ def test_packing_keeps_large_ids_beside_a_null(spark):
     assert sorted((r.offset, r.length) for r in got)[0][0] == 0 and len({r.sequence_id for r in got}) == 1
 
 
-def test_cached_encoder_equals_the_tokenizer():
-    enc = packing.CachedEncoder(packing.default_tokenizer())
+def test_every_entry_arises_from_its_own_bytes():
+    """By the listed merges alone, lowest first, each entry's symbols become it."""
+    import base64
+    import json
+
+    with open(packing.default_tokenizer()) as f:
+        model = json.load(f)["model"]
+    pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    rank = {p: i for i, p in enumerate(pairs)}
+    assert [model["vocab"][a + b] for a, b in pairs] == sorted(model["vocab"][a + b] for a, b in pairs)
+    for a, b in pairs:
+        symbols = list(a + b)
+        while len(symbols) > 1:
+            best = min(zip(symbols, symbols[1:]), key=lambda p: rank.get(p, len(rank)))
+            assert best in rank, (a, b)
+            out, i = [], 0
+            while i < len(symbols):
+                if tuple(symbols[i:i + 2]) == best:
+                    out.append(symbols[i] + symbols[i + 1])
+                    i += 2
+                else:
+                    out.append(symbols[i])
+                    i += 1
+            symbols = out
+    with open(packing.default_ranks(), "rb") as f:
+        ranks = {base64.b64decode(x): int(y) for x, y in map(bytes.split, f)}
+    plain = {t.encode(): i for t, i in model["vocab"].items() if t.isascii() and t.isprintable()}
+    assert len(ranks) == len(model["vocab"]) and all(ranks[t] == i for t, i in plain.items())
+
+
+@pytest.mark.parametrize("ranks", [None, packing.default_ranks()])
+def test_cached_encoder_equals_the_tokenizer(ranks):
+    enc = packing.CachedEncoder(packing.default_tokenizer(), ranks)
     rng = np.random.default_rng(11)
     parts = ["word", "Word", "it's", "don't", "x1", "12", ".", ",", "ä", "漢字", "\n", " ", " ", " ", "\n", "\t", "\r\n", "\x00", "\x85",
              "\u00a0", "<|endoftext|>", "!", "e\u0301", "\u200b", "'", "a" * 70]
