@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -76,6 +78,27 @@ def word_hashes(words: list[bytes], cache: HashCache) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+_ONE_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
+
+
+def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words of the texts in a row, number of words of each text).
+
+    A word of the texts is hashed once, whatever its repeats, and nothing is kept
+    between calls: pass texts in ``text_chunks``.
+    """
+    raw = [(t or "").encode("utf-8", "surrogatepass").translate(_ONE_SPACE) for t in texts]
+    cut = pc.split_pattern(pa.array(raw, pa.large_binary()), b" ")
+    flat = cut.flatten()
+    words = pc.greater(pc.binary_length(flat), 0)
+    upto = np.concatenate([[0], np.cumsum(words.to_numpy(zero_copy_only=False))])
+    ends = np.concatenate([[0], np.cumsum(cut.value_lengths().to_numpy())])
+    codes = flat.filter(words).dictionary_encode()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, codes.dictionary.to_pylist()), dtype=np.uint64,
+                         count=len(codes.dictionary))
+    return hashes[codes.indices.to_numpy()], np.diff(upto[ends])
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Invertible mixing of 64-bit values (splitmix finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

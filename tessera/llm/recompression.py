@@ -9,10 +9,10 @@ matter; the rounds run in Spark tasks without any exchange of names.
 
 For each window of ``window`` words, its anchor is the widest symbol (then the
 least name) among those whose name depends on words of the window alone, from
-the top level down until one of five words is found, so equal windows have
+the top level down until one of three words is found, so equal windows have
 equal anchors.  Spark groups the anchors of all documents: only
 those that occur in two documents can belong to a repeat.  The windows under
-shared anchors, and only these, are then compared by a 96-bit hash of their
+shared anchors, and only these, are then compared by a 95-bit hash of their
 words, which verifies the repeats; words under a window that also starts in a
 document with a smaller id are removed.
 
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import HashCache, mix64, ngram_hashes, signed, text_chunks, word_hashes
+from tessera.llm.common import hashed_words, mix64, ngram_hashes, signed, text_chunks
 
 U = np.uint64
 
@@ -109,44 +109,40 @@ def levels(words: np.ndarray, doc: np.ndarray, rounds: int) -> list[Level]:
     return out
 
 
-def anchors(words: np.ndarray, doc: np.ndarray, window: int, rounds: int, enough: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def anchors(words: np.ndarray, doc: np.ndarray, window: int, rounds: int, enough: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """(window starts, anchor name of each window)."""
     n = len(words) - window + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U)
-    start = np.flatnonzero(doc[:n] == doc[window - 1:])
-    best = np.full(len(start), np.iinfo(np.uint64).max, dtype=U)
-    open_ = np.arange(len(start))
+    inside = doc[:n] == doc[window - 1:]  # by start: does a window of one document start here
+    none = np.iinfo(np.uint64).max
+    best = np.full(n, none, dtype=U)
+    open_ = inside.copy()
     for high, s in reversed(list(enumerate(levels(words, doc, rounds)))):
+        # The windows that hold all the words a symbol depends on start from ``lo`` to ``hi``.
+        lo, hi = np.maximum(s.dep_b - window, 0), np.minimum(s.dep_a, n - 1)
+        upto = np.concatenate([[0], np.cumsum(open_)])
+        use = np.flatnonzero(hi >= lo)
+        use = use[upto[hi[use] + 1] > upto[lo[use]]]
+        size = hi[use] - lo[use] + 1
+        before = np.cumsum(size) - size
+        at = np.repeat(lo[use] - before, size) + np.arange(size.sum())
         # Wide symbols first, then the least name; the top six bits hold 63 - width.
-        rank = ((U(63) - np.minimum(s.b - s.a, 62).astype(U)) << U(58)) | (mix64(s.name + U(high)) >> U(6))
-        first = start[open_]
-        # From the first symbol that may fit, look at those that follow.
-        j = np.searchsorted(np.maximum.accumulate(s.dep_a), first)
-        step = np.arange(len(open_))
-        while len(step):
-            k = j[step]
-            step = step[k < len(s.name)]
-            k = j[step]
-            step = step[s.a[k] < first[step] + window]
-            k = j[step]
-            fits = (s.dep_a[k] >= first[step]) & (s.dep_b[k] <= first[step] + window)
-            got = open_[step[fits]]
-            best[got] = np.minimum(best[got], rank[k[fits]])
-            j[step] += 1
+        rank = ((U(63) - np.minimum(s.b[use] - s.a[use], 62).astype(U)) << U(58)) | (mix64(s.name[use] + U(high)) >> U(6))
+        ok = open_[at]
+        np.minimum.at(best, at[ok], np.repeat(rank, size)[ok])
         # A symbol of the level below is at most as wide as what it became part of.
-        open_ = open_[(best[open_] >> U(58)) > U(63 - enough)]
-        if not len(open_):
+        open_ &= (best >> U(58)) > U(63 - enough)
+        if not open_.any():
             break
-    return start, best
+    start = np.flatnonzero(inside)
+    return start, best[start]
 
 
-def chunk_words(texts: list[str | None], cache: HashCache) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """(words of each text, hashes of all words in a row, number of each word's text)."""
-    words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-    hashes = [word_hashes(w, cache) for w in words]
-    doc = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    return words, np.concatenate(hashes) if hashes else np.zeros(0, dtype=U), doc
+def chunk_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in a row, number of each word's text)."""
+    hashes, count = hashed_words(texts)
+    return hashes, np.repeat(np.arange(len(texts)), count)
 
 
 def distinct_of(doc: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -160,22 +156,22 @@ def distinct_of(doc: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     return order[fresh]
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 4, id_col: str = "doc_id",
+def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 3, id_col: str = "doc_id",
                    text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept, row) for every row;
     ``kept`` are the words left, joined by one space, and ``row`` the columns
-    ``carry`` of the input as one struct (null if there are none)."""
+    ``carry`` of the input as one struct (null if there are none).  With ``carry``
+    there is also ``text``, the input's, which travels once with the row."""
     row = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("struct<none:int>")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row.alias("row"))
     row_type = rows.schema["row"].dataType.simpleString()
     ids = rows.where("doc_id is not null and text is not null")
 
     def emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
         for batch in batches:
             doc_ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             for a, b in text_chunks(texts):
-                _, h, doc = chunk_words(texts[a:b], cache)
+                h, doc = chunk_words(texts[a:b])
                 start, name = anchors(h, doc, window, rounds)
                 first = distinct_of(doc[start], name)
                 yield pa.RecordBatch.from_arrays(
@@ -189,13 +185,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 4, id_col: s
     by_id = rows.repartition("doc_id")
 
     def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
         for batch in batches:
             # A null id has no marks; filled, since nulls would turn the ids into floats.
             doc_ids, texts = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             marks, none = batch.column(2), np.zeros(0, dtype=np.int32)
             for a, b in text_chunks(texts):
-                _, h, doc = chunk_words([texts[i] if marks[i].is_valid else None for i in range(a, b)], cache)
+                h, doc = chunk_words([texts[i] if marks[i].is_valid else None for i in range(a, b)])
                 start, name = anchors(h, doc, window, rounds)
                 known = [marks[i].values.to_numpy(zero_copy_only=False) if marks[i].is_valid else none
                          for i in range(a, b)]
@@ -219,16 +214,17 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 4, id_col: s
                 .groupBy("doc_id").agg(F.collect_list("w1").alias("cut")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
         for batch in batches:
             texts, cuts = batch.column(1).to_pylist(), batch.column(2)
             for a, b in text_chunks(texts):
                 n_words, n_removed, digest, kept = [], [], [], []
+                hashes, count = hashed_words([texts[i] if cuts[i].is_valid else None for i in range(a, b)])
+                cuts_at = np.concatenate([[0], np.cumsum(count)])
                 for i in range(a, b):
                     words = (texts[i] or "").encode("utf-8", "surrogatepass").split()
                     left = words
                     if cuts[i].is_valid:
-                        w1 = ngram_hashes(word_hashes(words, cache), window)
+                        w1 = ngram_hashes(hashes[cuts_at[i - a]:cuts_at[i - a + 1]], window)
                         gone = np.isin(w1, cuts[i].values.to_numpy(zero_copy_only=False).view(U))
                         edge = np.zeros(len(words) + 1, dtype=np.int64)
                         at = np.flatnonzero(gone)
@@ -240,23 +236,23 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 4, id_col: s
                     n_removed.append(len(words) - len(left))
                     digest.append(hashlib.sha256(text).hexdigest())
                     kept.append(text.decode("utf-8", "surrogatepass"))
+                beside = [batch.column(3).slice(a, b - a)] + ([batch.column(1).slice(a, b - a)] if carry else [])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                     pa.array(digest, pa.string()), pa.array(kept, pa.string()), batch.column(3).slice(a, b - a)],
-                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "row"])
+                     pa.array(digest, pa.string()), pa.array(kept, pa.string()), *beside],
+                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "row", "text"][:5 + len(beside)])
 
     return (by_id.join(repeated, "doc_id", "left").select("doc_id", "text", "cut", "row")
             .mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, "
-                             f"row {row_type}"))
+                             f"row {row_type}" + (", text string" if carry else "")))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
                     **how) -> DataFrame:
     """The rows of ``docs`` with the repeated words cut from their text.  Texts
     that lose nothing stay as they are; the length column follows the text."""
-    done = remove_repeats(docs, id_col=id_col, text_col=text_col, carry=docs.columns, **how)
-    old = F.col("row").getField(text_col)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(old)
+    done = remove_repeats(docs, id_col=id_col, text_col=text_col, carry=[c for c in docs.columns if c != text_col], **how)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     new = {text_col: text}
     if chars_col in docs.columns:
         new[chars_col] = F.when(F.col("n_removed") > 0, F.length("kept").cast(docs.schema[chars_col].dataType)).otherwise(
