@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import n_words, rank_within
+from tessera.llm.common import free_name, n_words, rank_within
 
 WEIGHTS = (3, 1, 2)
 NULL_KEY = "~"
@@ -90,12 +90,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     it is taken.  Rows equal in id and text are taken alike, as often as the
     most taken of them."""
     h = F.xxhash64(F.col(id_col), F.col(text_col))
+    key, same, copies, copy = (free_name(docs, c) for c in ("_mix_key", "_mix_h", "_copies", "_copy"))
     taken = (systematic_mix(docs, id_col, text_col, carry={"_h": h}, **mix).groupBy("_h")
-             .agg(F.max("copies").alias("_copies")).where("_copies > 0").select(F.col("_h").alias("_mix_h"), "_copies"))
+             .agg(F.max("copies").alias(copies)).where(F.col(copies) > 0).select(F.col("_h").alias(same), copies))
     # Only rows with a count come through; each is repeated in place, so no text is shuffled twice.
-    joined = docs.withColumn("_mix_key", h).join(taken, F.col("_mix_key") == F.col("_mix_h"))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
-        *[joined[c] for c in docs.columns])
+    joined = docs.withColumn(key, h).join(taken, F.col(key) == F.col(same))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 #: The same mix in DuckDB SQL over a relation ``{docs}`` with doc_id, text, source.
