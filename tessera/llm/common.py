@@ -29,6 +29,14 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3, F.lit(0))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
@@ -79,15 +87,17 @@ def word_hashes(words: list[bytes], cache: HashCache) -> np.ndarray:
 
 
 _ONE_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
+_ONE_CASE = bytes.maketrans(b"\t\n\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"     abcdefghijklmnopqrstuvwxyz")
 
 
-def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words of the texts in a row, number of words of each text).
+def hashed_words(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words of the texts in a row, number of words of each text);
+    with ``lower`` A-Z count as a-z.
 
     A word of the texts is hashed once, whatever its repeats, and nothing is kept
     between calls: pass texts in ``text_chunks``.
     """
-    raw = [(t or "").encode("utf-8", "surrogatepass").translate(_ONE_SPACE) for t in texts]
+    raw = [(t or "").encode("utf-8", "surrogatepass").translate(_ONE_CASE if lower else _ONE_SPACE) for t in texts]
     cut = pc.split_pattern(pa.array(raw, pa.large_binary()), b" ")
     flat = cut.flatten()
     words = pc.greater(pc.binary_length(flat), 0)
@@ -137,5 +147,17 @@ def text_chunks(texts: list, limit: int = 2_000_000):
         yield start, len(texts)
 
 
+def column_chunks(texts: pa.Array, limit: int = 2_000_000):
+    """(a, b, texts[a:b] as Python strings): ``text_chunks`` of an Arrow column, of
+    which only one chunk is ever held as strings."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = upto[start - 1] if start else 0
+        end = min(len(texts), int(np.searchsorted(upto, before + limit)) + 1)
+        yield start, end, texts.slice(start, end - start).to_pylist()
+        start = end
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

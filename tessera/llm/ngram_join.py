@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import HashCache, mix64, ngram_hashes, signed, text_chunks, word_hashes, written
+from tessera.llm.common import column_chunks, free_name, hashed_words, mix64, ngram_hashes, signed, written
 from tessera.llm.components import connected_components
 from tessera.session import materialize
 
@@ -58,15 +58,16 @@ SKETCH_SLICES = 64
 FILTER_BITS = 26  # 2 ** 26 bits, 8 MB, say which ids may be wanted, whatever the corpus
 
 
-def shingles(text: str | None, n: int, cache: HashCache) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z change
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    h = word_hashes(words, cache)
-    if len(h) < n:
-        return ngram_hashes(h, len(h), seed=len(h))
-    return np.unique(ngram_hashes(h, n))
+def shingles(texts: list[str | None], n: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles."""
+    hashes, count = hashed_words(texts, lower=True)
+    out, at = [], 0
+    for k in count:
+        h = hashes[at:at + k]
+        at += k
+        out.append(np.unique(ngram_hashes(h, n)) if k >= n else ngram_hashes(h, len(h), seed=len(h)) if k
+                   else np.zeros(0, dtype=np.uint64))
+    return out
 
 
 def needed(n: int, percent: int) -> int:
@@ -141,11 +142,10 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def count_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, counts = HashCache(), np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in text_chunks(texts):
-                every = np.concatenate([shingles(t, n, cache) for t in texts[a:b]])
+            for _, _, texts in column_chunks(batch.column(0)):
+                every = np.concatenate(shingles(texts, n))
                 counts += np.bincount(bucket(every), minlength=len(counts))
         salt = TaskContext.get().partitionId() % 64
         parts = [zlib.compress(c.astype("<i8").tobytes(), 1) for c in np.split(counts, SKETCH_SLICES)]
@@ -166,14 +166,11 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
     shared = spark.sparkContext.broadcast((counts, float(4 * counts.mean() + 8)))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
         counts, usual = shared.value
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in text_chunks(texts):
+            for a, b, texts in column_chunks(batch.column(1)):
                 size, k1, k2, match, prefix, centre = [], [], [], [], [], []
-                for t in texts[a:b]:
-                    s = shingles(t, n, cache)
+                for s in shingles(texts, n):
                     m, p, mid = choose_prefix(s, counts, usual, percent, max_match) if len(s) else (0, s, 0.0)
                     size.append(len(s))
                     k1.append(int(signed(np.add.reduce(mix64(s), keepdims=True, dtype=np.uint64))[0]))
@@ -225,11 +222,9 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
                 .where("shared >= least_l").select("pair.*"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
         for batch in batches:
-            texts = batch.column(3).to_pylist()
-            for a, b in text_chunks(texts):
-                packed = [_binary(shingles(t, n, cache)) for t in texts[a:b]]
+            for a, b, texts in column_chunks(batch.column(3)):
+                packed = [_binary(s) for s in shingles(texts, n)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(i).slice(a, b - a) for i in range(3)] + [pa.array(packed, pa.binary())],
                     names=["node", "rep", "n", "s"])
@@ -309,10 +304,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes, _ = jaccard_classes(docs, id_col=id_col, text_col=text_col, **how)
     gone = (classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
     gone = written(gone, "ngram-gone")
-    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    key = F.coalesce(docs[id_col].cast("string"), F.lit(""))
-    return left.withColumn("_key", F.sha2(F.concat_ws("|", key, F.coalesce(F.col(text_col), F.lit(""))), 256)).dropDuplicates(
-        ["_key"]).drop("_key")
+    left = docs.join(gone.withColumnRenamed("_gone", free_name(docs, "_gone")), F.col(id_col) == F.col(free_name(docs, "_gone")),
+                     "left_anti")
+    id_text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    key = free_name(docs, "_key")
+    return left.withColumn(key, F.sha2(F.concat_ws("|", id_text, F.coalesce(F.col(text_col), F.lit(""))), 256)).dropDuplicates(
+        [key]).drop(key)
 
 
 #: The same classes in DuckDB SQL, by joining all shingles.

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_chunks
+from tessera.llm.common import column_chunks
 from tessera.session import materialize
 
 #: White space other than the space and the line end.
@@ -93,8 +93,8 @@ class CachedEncoder:
     all are forgotten before the next chunk of texts.
     """
 
-    LIMIT = 1_000_000
-    LIMIT_CHARS = 16_000_000
+    LIMIT = 500_000
+    LIMIT_CHARS = 8_000_000
 
     def __init__(self, path: str, ranks: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -238,10 +238,10 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = shared_encoder(tokenizer)
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in text_chunks(texts):
+            doc_ids = batch.column(0).to_pylist()
+            for a, b, texts in column_chunks(batch.column(1)):
                 rows, ids_out = [], []
-                for doc_id, ids in zip(doc_ids[a:b], enc.encode([t or "" for t in texts[a:b]])):
+                for doc_id, ids in zip(doc_ids[a:b], enc.encode([t or "" for t in texts])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for at in range(0, len(ids), max_tokens):
                         part = ids[at:at + max_tokens]

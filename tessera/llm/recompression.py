@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hashed_words, mix64, ngram_hashes, signed, text_chunks
+from tessera.llm.common import column_chunks, hashed_words, mix64, ngram_hashes, signed
 
 U = np.uint64
 
@@ -169,9 +169,9 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 3, id_col: s
 
     def emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            for a, b in text_chunks(texts):
-                h, doc = chunk_words(texts[a:b])
+            doc_ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for a, b, texts in column_chunks(batch.column(1)):
+                h, doc = chunk_words(texts)
                 start, name = anchors(h, doc, window, rounds)
                 first = distinct_of(doc[start], name)
                 yield pa.RecordBatch.from_arrays(
@@ -187,10 +187,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 3, id_col: s
     def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # A null id has no marks; filled, since nulls would turn the ids into floats.
-            doc_ids, texts = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            doc_ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             marks, none = batch.column(2), np.zeros(0, dtype=np.int32)
-            for a, b in text_chunks(texts):
-                h, doc = chunk_words([texts[i] if marks[i].is_valid else None for i in range(a, b)])
+            for a, b, texts in column_chunks(batch.column(1)):
+                h, doc = chunk_words([t if marks[i].is_valid else None for i, t in enumerate(texts, a)])
                 start, name = anchors(h, doc, window, rounds)
                 known = [marks[i].values.to_numpy(zero_copy_only=False) if marks[i].is_valid else none
                          for i in range(a, b)]
@@ -215,13 +215,13 @@ def remove_repeats(docs: DataFrame, window: int = 13, rounds: int = 3, id_col: s
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, cuts = batch.column(1).to_pylist(), batch.column(2)
-            for a, b in text_chunks(texts):
+            cuts = batch.column(2)
+            for a, b, texts in column_chunks(batch.column(1)):
                 n_words, n_removed, digest, kept = [], [], [], []
-                hashes, count = hashed_words([texts[i] if cuts[i].is_valid else None for i in range(a, b)])
+                hashes, count = hashed_words([t if cuts[i].is_valid else None for i, t in enumerate(texts, a)])
                 cuts_at = np.concatenate([[0], np.cumsum(count)])
-                for i in range(a, b):
-                    words = (texts[i] or "").encode("utf-8", "surrogatepass").split()
+                for i, text in enumerate(texts, a):
+                    words = (text or "").encode("utf-8", "surrogatepass").split()
                     left = words
                     if cuts[i].is_valid:
                         w1 = ngram_hashes(hashes[cuts_at[i - a]:cuts_at[i - a + 1]], window)
