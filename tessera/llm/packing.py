@@ -22,7 +22,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -222,12 +221,6 @@ class CachedEncoder:
         return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
-@cache
-def shared_encoder(path: str | None) -> CachedEncoder:
-    """One encoder for each Python worker: later tasks start with the words known."""
-    return CachedEncoder(path) if path else CachedEncoder(default_tokenizer(), default_ranks())
-
-
 def document_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = 1024, end_id: int = 0,
                     with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]), one row per piece."""
@@ -236,7 +229,8 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: i
     schema = ", ".join(f"{n} long" for n in names) + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = shared_encoder(tokenizer)
+        # One for each task: a worker that outlives it keeps none of its words.
+        enc = CachedEncoder(tokenizer) if tokenizer else CachedEncoder(default_tokenizer(), default_ranks())
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for a, b, texts in column_chunks(batch.column(1)):
