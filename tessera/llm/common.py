@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,19 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3, F.lit(0))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """Inside, plans that run send at most ``rows`` rows at a time to Python: for
+    rows that are wide themselves.  The session's own setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}

@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import column_chunks, free_name, hashed_words, mix64, ngram_hashes, signed, written
+from tessera.llm.common import arrow_batches, column_chunks, free_name, hashed_words, mix64, ngram_hashes, signed, written
 from tessera.llm.components import connected_components
 from tessera.session import materialize
 
@@ -258,12 +258,14 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
         chosen = only_wanted(rows, want).join(want, "doc_id").select("node", F.col("doc_id").alias("rep"), "n", "text")
         packed = (chosen.mapInArrow(sets_of, "node long, rep long, n long, s binary")
                   .where(F.length("s") == 8 * F.col("n")).dropDuplicates(["node"]).drop("n"))
-        packed = written(packed, "ngram-wanted-sets")
+        with arrow_batches(spark, 2000):  # whole texts in, whole sets out
+            packed = written(packed, "ngram-wanted-sets")
         both = (pairs.join(packed, "node")
                 .join(packed.withColumnsRenamed({"node": "node_2", "rep": "rep_2", "s": "s_2"}), "node_2")
                 .select("node", "node_2", "rep", "rep_2", "s", "s_2"))
-        return materialize(both.mapInArrow(
-            verify, "node long, node_2 long, rep long, rep_2 long, common long, united long"))
+        with arrow_batches(spark, 500):  # two whole sets in a row
+            return materialize(both.mapInArrow(
+                verify, "node long, node_2 long, rep long, rep_2 long, common long, united long"))
 
     star = written(star, "ngram-star")
     tried = written(candidates(star), "ngram-tried")
