@@ -46,7 +46,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_batches, column_chunks, free_name, hashed_words, mix64, ngram_hashes, signed, written
@@ -196,8 +196,9 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
     posts = reps.select(F.posexplode("prefix").alias("pos", "token"), node, "n", "l", "centre")
     # How many shingles a pair may have in common from this token on, and as many as the l before it.
     posts = posts.select("token", "node", "n", "l", "centre", (F.col("n") - F.col("pos") + F.col("l") - 1).alias("room"))
-    common = posts.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    posts = written(posts.join(common, "token"), "ngram-posts")
+    # Counted where they lie: one shuffle of the posts, not a second one of their tokens.
+    posts = posts.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1")
+    posts = written(posts, "ngram-posts")
 
     def reaches(room: str, n_a: str, n_b: str):
         """Whether ``room`` shingles in common suffice for the similarity."""
