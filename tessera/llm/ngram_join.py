@@ -17,7 +17,11 @@ near copy with too many of its own drops out here.
 
 Sets are compared whole: documents with equal sets are one class from the
 start, and candidate pairs are verified by the exact intersection of the
-64-bit shingle hashes.  Candidates come in two steps so that a group of
+64-bit shingle hashes.  Before whole sets are fetched, a pair must pass a
+bound by parities: each set keeps one bit for each of about as many hash
+buckets as it has shingles, the parity of the bucket's shingles.  Two sets
+differ in at least as many shingles as their parities differ in bits, so a
+pair ruled out cannot reach the similarity.  Candidates come in two steps so that a group of
 thousands of near copies never becomes all its pairs: first each posting list
 (by shingle and size class) proposes only its members with its most central
 member, whose shingles are the most frequent on average; then, with the
@@ -101,6 +105,23 @@ def choose_prefix(s: np.ndarray, counts: np.ndarray, usual: float, percent: int,
     return best, s[order[:p + best - 1]], float(level.mean())
 
 
+def parities(s: np.ndarray) -> bytes:
+    """The parity of the number of shingles in each hash bucket, as bits; as
+    many buckets as shingles, up to the next power of two, 64 at least."""
+    places = 1 << max(6, (len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """At most the number of shingles that only one of two sets holds: the bits
+    in which their parities differ, the longer one folded to the shorter."""
+    a, b = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+    short = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(v.reshape(-1, short), axis=0) for v in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _binary(s: np.ndarray) -> bytes:
     return s.astype("<u8").tobytes()
 
@@ -169,7 +190,7 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
         counts, usual = shared.value
         for batch in batches:
             for a, b, texts in column_chunks(batch.column(1)):
-                size, k1, k2, match, prefix, centre = [], [], [], [], [], []
+                size, k1, k2, match, prefix, centre, parity = [], [], [], [], [], [], []
                 for s in shingles(texts, n):
                     m, p, mid = choose_prefix(s, counts, usual, percent, max_match) if len(s) else (0, s, 0.0)
                     size.append(len(s))
@@ -179,17 +200,20 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
                     match.append(m)
                     prefix.append(signed(p))
                     centre.append(mid)
+                    parity.append(parities(s))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(size, pa.int64()), pa.array(k1, pa.int64()),
                      pa.array(k2, pa.int64()), pa.array(match, pa.int32()),
-                     pa.array(prefix, type=pa.list_(pa.int64())), pa.array(centre, pa.float32())],
-                    names=["doc_id", "n", "k1", "k2", "l", "prefix", "centre"])
+                     pa.array(prefix, type=pa.list_(pa.int64())), pa.array(centre, pa.float32()),
+                     pa.array(parity, pa.binary())],
+                    names=["doc_id", "n", "k1", "k2", "l", "prefix", "centre", "parity"])
 
     indexed = written(rows.mapInArrow(
-        index, "doc_id long, n long, k1 long, k2 long, l int, prefix array<long>, centre float"), "ngram-index")
+        index, "doc_id long, n long, k1 long, k2 long, l int, prefix array<long>, centre float, "
+        "parity binary"), "ngram-index")
     # Equal sets: the smallest id stands for them, found before and after one shuffle.
     reps = written(indexed.where("n > 0 and doc_id is not null").groupBy("n", "k1", "k2")
-                   .agg(F.min(F.struct("doc_id", "l", "centre", "prefix")).alias("r"))
+                   .agg(F.min(F.struct("doc_id", "l", "centre", "prefix", "parity")).alias("r"))
                    .select("n", "k1", "k2", "r.*"), "ngram-sets")
     sets = reps.select("n", "k1", "k2", F.col("doc_id").alias("rep"))
     node = F.xxhash64("k1", "k2", "n").alias("node")
@@ -248,11 +272,24 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
                                                                                   pa.array(union, pa.int64())],
                 names=["node", "node_2", "rep", "rep_2", "common", "united"])
 
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            apart = np.fromiter((differing(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5))),
+                                dtype=np.int64, count=batch.num_rows)
+            # At most half of what is not apart is common.
+            yield batch.select([0, 1]).filter(pa.array((100 + percent) * (both - apart) >= 2 * percent * both))
+
     keys = reps.select("doc_id", "n", "k1", "k2", node)
+    bits = reps.select(node, "n", "parity")
 
     def links(pairs: DataFrame) -> DataFrame:
         """Pairs that reach the similarity, by their whole sets."""
-        pairs = written(pairs, "ngram-candidates")
+        near = (written(pairs, "ngram-candidates").join(bits, "node")
+                .join(bits.withColumnsRenamed({x: f"{x}_2" for x in ("node", "n", "parity")}), "node_2")
+                .select("node", "node_2", "n", "n_2", "parity", "parity_2"))
+        with arrow_batches(spark, 2000):
+            pairs = written(near.mapInArrow(possible, "node long, node_2 long"), "ngram-possible")
         want = pairs.select("node").union(pairs.select("node_2")).distinct()
         want = written(keys.join(want, "node").select("doc_id", "node", "n", "k1", "k2"), "ngram-wanted")
         # A row of that id with that very set (ids may repeat with other texts).
