@@ -210,11 +210,17 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
 
     indexed = written(rows.mapInArrow(
         index, "doc_id long, n long, k1 long, k2 long, l int, prefix array<long>, centre float, "
-        "parity binary"), "ngram-index")
-    # Equal sets: the smallest id stands for them, found before and after one shuffle.
-    reps = written(indexed.where("n > 0 and doc_id is not null").groupBy("n", "k1", "k2")
-                   .agg(F.min(F.struct("doc_id", "l", "centre", "prefix", "parity")).alias("r"))
-                   .select("n", "k1", "k2", "r.*"), "ngram-sets")
+        "parity binary").withColumn("row", F.monotonically_increasing_id()), "ngram-index")
+    # Equal sets: the smallest id stands for them.  Only keys are grouped; rows that
+    # another stands for are then taken out, so prefixes of the rest need not move.
+    known = indexed.where("n > 0 and doc_id is not null")
+    same = (known.groupBy("n", "k1", "k2").agg(F.min(F.struct("doc_id", "row")).alias("r"), F.count(F.lit(1)).alias("c"))
+            .where("c > 1").select("n", "k1", "k2", F.col("r.row").alias("first")))
+    same = written(same, "ngram-same")
+    copies = written(known.select("row", "n", "k1", "k2").join(same, ["n", "k1", "k2"]).where("row <> first")
+                     .select("row"), "ngram-copies")
+    reps = known.join(copies, "row", "left_anti").drop("row")
+    reps = written(reps, "ngram-sets")
     sets = reps.select("n", "k1", "k2", F.col("doc_id").alias("rep"))
     node = F.xxhash64("k1", "k2", "n").alias("node")
     posts = reps.select(F.posexplode("prefix").alias("pos", "token"), node, "n", "l", "centre")
@@ -222,7 +228,6 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
     posts = posts.select("token", "node", "n", "l", "centre", (F.col("n") - F.col("pos") + F.col("l") - 1).alias("room"))
     # Counted where they lie: one shuffle of the posts, not a second one of their tokens.
     posts = posts.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1")
-    posts = written(posts, "ngram-posts")
 
     def reaches(room: str, n_a: str, n_b: str):
         """Whether ``room`` shingles in common suffice for the similarity."""
@@ -231,12 +236,14 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
     # n - pos + min(l) - 1 on both sides, from room = n - pos + l - 1.
     may_link = reaches("least(room - l, room_2 - l_2) + least(l, l_2)", "n", "n_2")
     band = F.when(F.col("c") > 2, F.floor(F.log("n") / F.lit(math.log(100 / percent))))
-    banded = posts.withColumn("band", F.coalesce(band, F.lit(-1)))  # lists of two: in one band
-    hubs = banded.groupBy("token", "band").agg(
-        F.max(F.struct("centre", "node", "n", "l", "room")).alias("h"), F.count(F.lit(1)).alias("members"))
-    hubs = hubs.where("members > 1").select("token", "band", *[F.col(f"h.{x}").alias(f"{x}_2")
-                                                               for x in ("node", "n", "l", "room")])
-    star = (banded.join(hubs, ["token", "band"]).where((F.col("node") != F.col("node_2")) & may_link)
+    # The hub of a list's band is found where the list lies, without another shuffle.
+    hub = F.max(F.struct("centre", "node", "n", "l", "room")).over(Window.partitionBy("token", "band"))
+    posts = (posts.withColumn("band", F.coalesce(band, F.lit(-1)))  # lists of two: in one band
+             .withColumn("h", hub)
+             .select("token", "node", "n", "l", "room", "c",
+                     *[F.col(f"h.{x}").alias(f"{x}_2") for x in ("node", "n", "l", "room")]))
+    posts = written(posts, "ngram-posts")
+    star = (posts.where((F.col("node") != F.col("node_2")) & may_link)
             .select("node", "n", "l", "node_2", "n_2", "l_2", (F.col("c") == 2).alias("two")))
 
     def candidates(pairs: DataFrame) -> DataFrame:
@@ -309,8 +316,8 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: i
     tried = written(candidates(star), "ngram-tried")
     first = links(tried)
     parts = connected_components(first.select(F.col("node").alias("a"), F.col("node_2").alias("b")))
-    tagged = (posts.where("c > 2").join(parts, "node", "left")
-              .withColumn("component", F.coalesce("component", "node")).drop("centre", "c"))
+    tagged = (posts.where("c > 2").select("token", "node", "n", "l", "room").join(parts, "node", "left")
+              .withColumn("component", F.coalesce("component", "node")))
     tagged = written(tagged, "ngram-tagged")
     lists = tagged.groupBy("token", "component").agg(
         F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("room").alias("room"))
