@@ -14,7 +14,7 @@ from conftest import SF_SMALL
 from tessera.llm import cover_tree, decision_list, html_main, packing, recompression, toxicity_kernel
 from tessera.llm.common import table
 from tessera.llm.mixing import mixed_documents, systematic_mix
-from tessera.llm.ngram_join import jaccard_classes, one_of_each
+from tessera.llm.ngram_join import differing, jaccard_classes, one_of_each, parities
 from tessera.llm.quality_zstd import score_quality
 from tessera.llm.toxicity_kernel import score_toxicity
 from tessera.llm.url_templates import judge_urls
@@ -215,6 +215,17 @@ def test_recompression_on_random_runs(spark):
     assert sorted(tuple(r)[:4] for r in recompression.remove_repeats(df).collect()) == sorted(_cut(rows))
 
 
+@pytest.mark.parametrize("sizes", [(1, 1), (3, 200), (64, 65), (500, 520), (2000, 5000)])
+def test_parities_never_exceed_the_real_difference(sizes):
+    rng = np.random.default_rng(sum(sizes))
+    for share in (0.0, 0.5, 0.9, 1.0):
+        x = rng.integers(0, 2**64, sizes[0], dtype=np.uint64)
+        y = np.concatenate([x[:int(share * len(x))], rng.integers(0, 2**64, sizes[1], dtype=np.uint64)])
+        x, y = np.unique(x), np.unique(y)
+        assert differing(parities(x), parities(y)) <= len(np.setxor1d(x, y))
+        assert differing(parities(x), parities(x)) == 0
+
+
 def test_jaccard_classes_equal_brute_force(spark, edge, empty):
     rng = np.random.default_rng(1)
     base = [f"b{i}" for i in range(120)]
