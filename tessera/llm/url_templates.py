@@ -4,25 +4,32 @@ Paths become templates segment by segment: digit runs turn into ``#``, a tree
 node whose children are many and even (the inverse Simpson index of their
 counts reaches ``min_effective``) gets the wildcard ``*`` for all of them, and
 sibling branches whose distributions of next segment and label differ no more
-than chance allows are merged into ``+``.  A template is rejected when the
+than chance allows are merged into ``+``.  The tree has no fixed depth: a node
+is split as long as it holds blocked labels enough to reject a template and
+other rows beside them; elsewhere the rest of a path stands as one tail ``**``,
+since no split there could change a verdict.  A template is rejected when the
 smoothed share of blocked among its labelled urls reaches ``reject_at``.
 Labels are the urls that the rules decide, or a given table of them.  A
 template without labels has the neutral share 0.5 and is allowed.
 
 Only DataFrame functions are used.  All tree statistics are sums over
 (host, path) counts, so a host with most of the rows is combined before each
-shuffle; the two joins back are plain equi-joins that adaptive execution may
-split.  Segments from ``depth`` on stand as one tail ``**`` in a template;
-every url still gets its verdict.
+shuffle; the joins back are plain equi-joins with the few nodes that split or
+generalise, or that adaptive execution may split.  Each level is a round of
+Spark jobs: urls of which each continues the one before (one segment more
+every time, labels mixed throughout) cost a round for each of them.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and
 is judged like any other; repeated rows are kept; an empty table gives an
-empty result; other columns are ignored.
+empty result; very long urls are read whole, and segments that all paths of a node
+share take one round together; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,53 +57,94 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def path_templates(paths: DataFrame, depth: int = 4, min_effective: float = 12.0,
+def _grown(rows: DataFrame, min_block: int, min_effective: float) -> DataFrame:
+    """One level of the tree: every open row's node is split, or closes its rows."""
+    node = ["host", "node"]
+    left = F.greatest(F.size("seg") - F.col("at"), F.lit(0))
+    rows = rows.withColumn("rest", F.slice("seg", F.col("at") + 1, left))
+    rows = rows.withColumn("head", F.coalesce(F.get("rest", F.lit(0)), F.lit("")))
+    kids = rows.groupBy(*node, "head").agg(
+        F.sum("n").cast("double").alias("c"), F.sum("n_block").alias("b"), F.count(F.lit(1)).alias("r"),
+        F.min("rest").alias("lo"), F.max("rest").alias("hi"))
+    c = F.sum("c")
+    nodes = kids.groupBy(*node).agg(
+        (c * c / F.greatest(F.sum(F.col("c") * F.col("c")), F.lit(1.0)) >= min_effective).alias("wide"),
+        ((F.sum("b") >= min_block) & (F.sum("b") < c) & (F.sum("r") > 1)).alias("split"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("wide or split")
+    # What the first and the last of all continuations share, all share.
+    differ = F.array_position(F.zip_with("lo", "hi", lambda x, y: x.eqNullSafe(y)), False)
+    nodes = nodes.select(*node, "wide", "split", F.when(differ == 0, F.size("lo")).otherwise(differ - 1)
+                         .cast("int").alias("same"))
+    split, same = F.coalesce("split", F.lit(False)), F.coalesce("same", F.lit(0))
+    peek = F.when(F.col("wide") & (F.col("head") != ""), F.lit("*")).otherwise(F.col("head"))
+    step = F.when(same > 0, F.array_join(F.slice("rest", F.lit(1), same), "/")).otherwise(F.col("peek"))
+    after = F.when(split, F.col("at") + F.greatest(same, F.lit(1))).otherwise(F.col("at"))
+    return rows.join(nodes, node, "left").withColumn("peek", peek).withColumn("step", step).select(
+        "host", "gen", "seg", "n", "n_block", "n_allow", after.alias("at"),
+        F.when(split, F.concat_ws("/", "node", "step")).otherwise(F.col("node")).alias("node"),
+        F.when(split, F.concat("levels", F.array("step"))).otherwise(F.col("levels")).alias("levels"),
+        F.concat("peeks", F.array("peek")).alias("peeks"), (split & (after < F.size("seg"))).alias("open"))
+
+
+def _merged(tree: DataFrame, d: int, slack: float) -> DataFrame:
+    """Sibling branches of level ``d`` that are alike get the step ``+``."""
+    node, kid = ["host", "pre"], "kid"
+    tree = tree.withColumn("pre", F.concat_ws("/", F.slice("levels", 1, d))).withColumn(
+        kid, F.get("levels", F.lit(d)))
+    label = F.explode(F.array(
+        F.struct(F.lit("block").alias("y"), F.col("n_block").alias("c")),
+        F.struct(F.lit("allow").alias("y"), F.col("n_allow").alias("c")),
+        F.struct(F.lit("none").alias("y"), (F.col("n") - F.col("n_block") - F.col("n_allow")).alias("c"))))
+    cells = (tree.where(F.col(kid) != "")
+             .select(*node, kid, F.coalesce(F.get("peeks", F.lit(d + 1)), F.lit("")).alias("nxt"), label.alias("l"))
+             .groupBy(*node, kid, "nxt", F.col("l.y").alias("y")).agg(F.sum("l.c").alias("c")).where("c > 0"))
+    cells = materialize(cells)
+    pooled = cells.groupBy(*node, "nxt", "y").agg(F.sum("c").alias("all_c"))
+    size_kid = cells.groupBy(*node, kid).agg(F.sum("c").alias("n_kid"))
+    size_node = (size_kid.groupBy(*node).agg(F.sum("n_kid").alias("n_node"), F.count(F.lit(1)).alias("kids"))
+                 .join(pooled.groupBy(*node).agg(F.count(F.lit(1)).alias("cells")), node))
+    # Total variation between child and node is the sum of the child's excesses over the node.
+    over = F.greatest(F.lit(0.0), F.col("c") / F.col("n_kid") - F.col("all_c") / F.col("n_node"))
+    alike = (cells.join(pooled, [*node, "nxt", "y"]).join(size_kid, [*node, kid]).join(size_node, node)
+             .where("kids > 1").groupBy(*node, kid)
+             .agg(F.sum(over).alias("_tv"), F.max("n_kid").alias("_n"), F.max("cells").alias("_k"))
+             .where(F.col("_tv") <= slack + 0.5 * F.sqrt(F.col("_k") / F.col("_n")))
+             .select(*node, kid, F.lit(True).alias("_alike")))
+    plus = F.concat(F.slice("levels", 1, d), F.array(F.lit("+")), F.slice("levels", d + 2, F.size("levels")))
+    return tree.join(alike, [*node, kid], "left").withColumn(
+        "levels", F.when(F.col("_alike"), plus).otherwise(F.col("levels"))).drop("_alike", "pre", kid)
+
+
+def path_templates(paths: DataFrame, min_block: int = 2, min_effective: float = 12.0,
                    slack: float = 0.1) -> DataFrame:
     """Add ``template`` to rows (host, path, n, n_block, n_allow), one for each
-    host and path."""
-    seg = F.split(F.regexp_replace(F.regexp_replace("path", "^/", ""), "[0-9]+", "#"), "/", depth + 1)
-    parts = paths.withColumn("_s", seg)
-    level = [f"t{d}" for d in range(depth + 1)]
-    for d in range(depth):
-        parts = parts.withColumn(level[d], F.coalesce(F.get("_s", F.lit(d)), F.lit("")))
-    parts = parts.withColumn(level[depth], F.when(F.size("_s") > depth, F.lit("**")).otherwise(F.lit("")))
-    tree = materialize(parts.groupBy("host", *level).agg(
-        *[F.sum(c).alias(c) for c in ("n", "n_block", "n_allow")]).select(
-        "*", *[F.col(c).alias(f"raw_{c}") for c in level]))
-    for d in range(depth):  # from the root: wildcards
-        node = ["host", *level[:d]]
-        kids = tree.groupBy(*node, level[d]).agg(F.sum("n").alias("c"))
-        wide = kids.groupBy(*node).agg((F.sum("c") * F.sum("c") / F.sum(F.col("c") * F.col("c"))).alias("_eff"))
-        wide = wide.where(F.col("_eff") >= min_effective).drop("_eff").withColumn("_wide", F.lit(True))
-        tree = materialize(tree.join(wide, node, "left").withColumn(
-            level[d], F.when(F.col("_wide") & (F.col(level[d]) != ""), F.lit("*")).otherwise(F.col(level[d])))
-            .drop("_wide"))
-    for d in reversed(range(depth)):  # from the leaves: merge alike branches
-        node, kid = ["host", *level[:d]], level[d]
-        label = F.explode(F.array(
-            F.struct(F.lit("block").alias("y"), F.col("n_block").alias("c")),
-            F.struct(F.lit("allow").alias("y"), F.col("n_allow").alias("c")),
-            F.struct(F.lit("none").alias("y"), (F.col("n") - F.col("n_block") - F.col("n_allow")).alias("c"))))
-        cells = (tree.where(F.col(kid) != "").select(*node, kid, F.col(level[d + 1]).alias("nxt"), label.alias("l"))
-                 .groupBy(*node, kid, "nxt", F.col("l.y").alias("y")).agg(F.sum("l.c").alias("c")).where("c > 0"))
-        pooled = cells.groupBy(*node, "nxt", "y").agg(F.sum("c").alias("all_c"))
-        size_kid = cells.groupBy(*node, kid).agg(F.sum("c").alias("n_kid"))
-        size_node = cells.groupBy(*node).agg(F.sum("c").alias("n_node"), F.countDistinct(kid).alias("kids"),
-                                             F.countDistinct("nxt", "y").alias("cells"))
-        # Total variation between child and node is the sum of the child's excesses over the node.
-        over = F.greatest(F.lit(0.0), F.col("c") / F.col("n_kid") - F.col("all_c") / F.col("n_node"))
-        alike = (cells.join(pooled, [*node, "nxt", "y"]).join(size_kid, [*node, kid]).join(size_node, node)
-                 .where("kids > 1").groupBy(*node, kid)
-                 .agg(F.sum(over).alias("_tv"), F.max("n_kid").alias("_n"), F.max("cells").alias("_k"))
-                 .where(F.col("_tv") <= slack + 0.5 * F.sqrt(F.col("_k") / F.col("_n")))
-                 .select(*node, kid, F.lit(True).alias("_alike")))
-        tree = materialize(tree.join(alike, [*node, kid], "left").withColumn(
-            kid, F.when(F.col("_alike"), F.lit("+")).otherwise(F.col(kid))).drop("_alike"))
-    shape = tree.select("host", *[F.col(f"raw_{c}") for c in level],
-                        F.concat(F.lit("/"), F.regexp_replace(F.concat_ws("/", *level), "/+$", "")).alias("template"))
-    return (parts.drop("_s").withColumnsRenamed({c: f"raw_{c}" for c in level})
-            .join(shape, ["host", *[f"raw_{c}" for c in level]])
-            .select("host", "path", "template", "n", "n_block", "n_allow"))
+    host and path.
+
+    A node is split while it holds at least ``min_block`` blocked labels, other
+    rows beside them and more than one continuation.  Rounds: one for each level
+    of such nodes; segments that all of a node's paths share are one level.
+    """
+    paths = paths.withColumn("gen", F.regexp_replace(F.regexp_replace("path", "^/", ""), "[0-9]+", "#"))
+    none = F.array().cast("array<string>")
+    rows = materialize(paths.groupBy("host", "gen").agg(*[F.sum(c).alias(c) for c in ("n", "n_block", "n_allow")])
+                       .select("host", "gen", F.split("gen", "/").alias("seg"), "n", "n_block", "n_allow",
+                               F.lit(0).alias("at"), F.lit("").alias("node"), none.alias("levels"),
+                               none.alias("peeks")))
+    closed, rounds = [], 0
+    while True:  # from the root: splits and wildcards
+        rows = materialize(_grown(rows, min_block, min_effective))
+        closed.append(rows.where("not open").drop("open"))
+        rounds += 1
+        rows = rows.where("open").drop("open")
+        if rows.isEmpty():
+            break
+    tree = reduce(DataFrame.unionByName, closed)
+    for d in reversed(range(rounds)):  # from the leaves: merge alike branches
+        tree = materialize(_merged(tree, d, slack))
+    tail = F.when(F.col("at") < F.size("seg"), F.array(F.lit("**"))).otherwise(none)
+    shape = tree.select("host", "gen", F.concat(F.lit("/"), F.regexp_replace(
+        F.concat_ws("/", F.concat("levels", tail)), "/+$", "")).alias("template"))
+    return paths.join(shape, ["host", "gen"]).select("host", "path", "template", "n", "n_block", "n_allow")
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, alpha: float = 2.0,
@@ -119,7 +167,9 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.sum(F.when((F.col("n") == 1) | F.col("y").isin("block", "allow"), 1).otherwise(0)).alias("n"),
         F.sum(F.when(F.col("y") == "block", 1).otherwise(0)).alias("n_block"),
         F.sum(F.when(F.col("y") == "allow", 1).otherwise(0)).alias("n_allow")))
-    shaped = materialize(path_templates(paths, **tree))
+    # Fewer blocked labels than this reach ``reject_at`` in no template.
+    enough = math.ceil(alpha * (reject_at - 0.5) / (1 - reject_at)) if reject_at < 1 else 1
+    shaped = materialize(path_templates(paths, **{"min_block": max(1, enough), **tree}))
     purity = shaped.groupBy("host", "template").agg(
         ((F.sum("n_block") + alpha / 2) / (F.sum("n_block") + F.sum("n_allow") + alpha)).alias("bad_share"))
     verdicts = written(shaped.join(purity, ["host", "template"]).select("host", "path", "template", "bad_share"),
