@@ -9,8 +9,10 @@ its text outside links.  The page's vote is the deepest container that holds
 all blocks inside its article or main elements, or, where these have less than
 half of the score, all blocks that are text rather than links.  Spark counts
 the votes for each host.
-Second pass: a page's text is what stands under that of the host's winning
-paths which holds most of the page's score, the most voted first of equals; a
+Second pass: where a page has no article, the path that most of its host's
+pages vote for overrules the page's own, if more than half of the page's score
+stands there; what lies beside it is a box that this page alone has.  Otherwise
+a page's text is what stands under that of the host's winning paths which holds most of the page's score, the most voted first of equals; a
 page of which none holds more than half, or the whole article if it has one,
 falls back on its own vote.
 
@@ -20,13 +22,14 @@ join shuffles by host and adaptive execution splits a host with many pages.
 
 Defined cases: null or empty html gives an empty text; pages without a host
 vote among themselves; unclosed and stray tags are tolerated as browsers do;
-very long pages are read whole; repeated rows are kept; an empty table gives
+very long pages are read whole, in time linear in their length; repeated rows are kept; an empty table gives
 an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -60,9 +63,9 @@ _SAME = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td
          "th": ("td", "th"), "option": ("option",)}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"},
           "td": {"tr", "table"}, "th": {"tr", "table"}}
-_TAG = re.compile(r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                  r"<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|"
-                  r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_OPEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_COMMENT = re.compile(r">|->|.*?(?:-->|--!>|\Z)", re.S)
+_UNQUOTED = re.compile(r"[^>\"']*")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
 _SPACE = re.compile(r"\s+")
@@ -91,10 +94,99 @@ def _attrs(raw: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(raw)}
 
 
-def blocks(html: str | None) -> list[tuple[tuple[str, ...], str, float]]:
-    """(container path, text, score) of the page's blocks outside of noise."""
-    out: list[tuple[tuple[str, ...], str, float]] = []
-    stack: list[tuple[str, str | None, bool]] = []  # tag, path step of containers, noise begins here
+class Page:
+    """Text blocks of a page and the tree of their container paths.
+
+    ``parent[v]`` and ``step[v]`` give a path's last step and the path before
+    it (0 is the empty path); ``blocks`` holds (path, text, score).
+    """
+
+    def __init__(self) -> None:
+        self.parent, self.step, self.article = [0], [""], [False]
+        self.kids: dict[tuple[int, str], int] = {}
+        self.blocks: list[tuple[int, str, float]] = []
+
+    def child(self, at: int, step: str) -> int:
+        v = self.kids.setdefault((at, step), len(self.parent))
+        if v == len(self.parent):
+            self.parent.append(at)
+            self.step.append(step)
+            self.article.append(self.article[at] or step.split(".")[0] in ("article", "main"))
+        return v
+
+    def path(self, v: int) -> str:
+        steps = []
+        while v:
+            steps.append(self.step[v])
+            v = self.parent[v]
+        return "/".join(reversed(steps))
+
+    def find(self, path: str) -> int | None:
+        v: int | None = 0
+        for step in path.split("/") if path else ():
+            v = self.kids.get((v, step))
+            if v is None:
+                return None
+        return v
+
+    def under(self, v: int | None, some: list[tuple[int, str, float]]) -> list[tuple[int, str, float]]:
+        """Those of the blocks whose path is or continues path ``v``."""
+        if v is None:
+            return []
+        held = [False] * len(self.parent)
+        for u in range(v, len(held)):  # a path comes after the one before it
+            held[u] = u == v or (u > 0 and held[self.parent[u]])
+        return [x for x in some if held[x[0]]]
+
+
+def _tags(html: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, "/" of a closing tag, name, attributes) of tags; comments and
+    declarations have an empty name.  Send a position to go on from there.
+
+    A ``>`` inside quotes does not end a tag, unless none outside would.  The
+    quotes met on the way to the end of the page in vain are kept in
+    ``endless``, so no part of a page is read again for each of its tags.
+    """
+    at, last = 0, html.rfind(">")
+    endless: set[int] = set()
+    while m := _OPEN.search(html, at):
+        start, at, name = m.start(), m.end(), ""
+        raw = ""
+        if m[1]:
+            at = _COMMENT.match(html, at).end()
+        elif m[2]:
+            end = html.find("]]>", at)
+            at = end + 3 if end >= 0 else len(html)
+        elif m[3]:
+            end = html.find(">", at)
+            at = end + 1 if end >= 0 else len(html)
+        else:
+            if at > last:
+                return
+            name, i, opened = m[5].lower(), at, []
+            while True:
+                i = _UNQUOTED.match(html, i).end()
+                if i < len(html) and html[i] == ">":
+                    break
+                close = html.find(html[i], i + 1) if i < len(html) and i not in endless else -1
+                opened.append(i)
+                if close < 0:
+                    endless.update(opened)
+                    i = html.find(">", at)
+                    break
+                i = close + 1
+            raw, at = html[at:i], i + 1
+        onward = yield start, at, m[4] or "", name, raw
+        if onward is not None:
+            at = onward
+
+
+def blocks(html: str | None) -> Page:
+    """The page's blocks outside of noise, in time linear in its length."""
+    page = Page()
+    stack: list[tuple[str, int, bool, bool]] = []  # tag, path, noise begins here, article begins here
+    places: dict[str, list[int]] = defaultdict(list)  # tag -> its places in the stack
+    solid: list[int] = []  # places of the tags that are not inline
     noisy = article = links = 0
     buf: list[str] = []
     link_chars = 0
@@ -104,52 +196,57 @@ def blocks(html: str | None) -> list[tuple[tuple[str, ...], str, float]]:
         if buf:
             text = _SPACE.sub(" ", unescape("".join(buf))).strip()
             if text:
-                path = tuple(step for _, step, _ in stack if step)
-                out.append((path, text, float(max(1, len(text) - link_chars))))
+                page.blocks.append((stack[-1][1] if stack else 0, text, float(max(1, len(text) - link_chars))))
             buf.clear()
         link_chars = 0
 
     def pop(to: int) -> None:
         nonlocal noisy, article, links
         while len(stack) > to:
-            tag, step, noise = stack.pop()
+            tag, _, noise, begins = stack.pop()
+            places[tag].pop()
+            if tag not in INLINE:
+                solid.pop()
             noisy -= noise
-            article -= bool(step) and step.split(".")[0] in ("article", "main")
+            article -= begins
             links -= tag == "a"
 
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
     def near(tags, scope=()) -> int:
         """Place of the innermost open element among tags, not beyond scope; -1 if none."""
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
-                return i
-            if stack[i][0] in scope or stack[i][0] in ("body", "html"):
-                return -1
-        return -1
+        i = last(tags)
+        return i if i > max(last(scope), last(("body", "html"))) else -1
 
     if not html:
-        return out
+        return page
     at, n = 0, len(html)
-    while at < n:
-        m = _TAG.search(html, at)
-        text = html[at:m.start() if m else n]
-        if text and not noisy:
+    tags = _tags(html)
+    onward = None
+    while True:
+        try:
+            start, end, closing, tag, raw = tags.send(onward)
+        except StopIteration:
+            start, end, closing, tag, raw = n, n, "", "", ""
+        onward = None
+        if start > at and not noisy:
+            text = html[at:start]
             buf.append(text)
             if links:
                 link_chars += len(text)
-        if not m:
+        at = end
+        if start == n:
             break
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
-        closing, raw = m[1] or m[4], m[3] if m[2] else m[6]
         if closing:
             if tag in INLINE:
-                i = near((tag,), _P_CLOSERS)
-                if i >= 0 and all(t in INLINE for t, _, _ in stack[i:]):
+                i = last((tag,))
+                if i > (solid[-1] if solid else -1):
                     pop(i)
                 continue
-            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
+            i = last((tag,))
             flush()
             if i >= 0:
                 pop(i)
@@ -157,21 +254,21 @@ def blocks(html: str | None) -> list[tuple[tuple[str, ...], str, float]]:
         if tag not in INLINE and tag not in RAW:
             flush()
             if tag in _P_CLOSERS and tag not in ("br", "hr"):
-                i = near(("p",), {"table", "td", "article", "section", "div", "button"})
+                i = near(("p",), ("table", "td", "article", "section", "div", "button"))
                 if i >= 0:
                     pop(i)
             if tag in _SAME:
-                i = near(_SAME[tag], _SCOPE.get(tag, set()))
+                i = near(_SAME[tag], _SCOPE.get(tag, ()))
                 if i >= 0:
                     pop(i)
         if tag in VOID:
             continue
         if tag in RAW:
             if not raw.endswith("/") or tag in ("script", "style", "title", "textarea"):
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
-                at = end.end() if end else n
+                close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
+                at = onward = close.end() if close else n
             continue
-        if tag in ("head", "html", "body") and any(t == tag for t, _, _ in stack):
+        if tag in ("head", "html", "body") and places.get(tag):
             continue
         if tag == "body" or (tag not in ("html", "head") and stack and stack[-1][0] == "head" and
                              tag not in ("base", "link", "meta")):
@@ -182,72 +279,87 @@ def blocks(html: str | None) -> list[tuple[tuple[str, ...], str, float]]:
             continue
         attrs = _attrs(raw)
         noise = _noise(tag, attrs, article > 0)
-        step = None
+        path = stack[-1][1] if stack else 0
         if tag not in INLINE and tag not in LEAF:
             names = sorted({_DIGITS.sub("#", c) for c in attrs.get("class", "").split()})
-            step = ".".join([tag, *names])
-        stack.append((tag, step, noise))
+            path = page.child(path, ".".join([tag, *names]).replace("/", "|"))
+        if tag not in INLINE:
+            solid.append(len(stack))
+        places[tag].append(len(stack))
+        stack.append((tag, path, noise, tag in ("article", "main")))
         noisy += noise
-        article += bool(step) and tag in ("article", "main")
+        article += tag in ("article", "main")
         links += tag == "a"
     flush()
-    return out
+    return page
 
 
-def wanted(page: list[tuple[tuple[str, ...], str, float]]) -> tuple[list[tuple[tuple[str, ...], str, float]], bool]:
+def wanted(page: Page) -> tuple[list[tuple[int, str, float]], bool]:
     """The blocks that the page's container must hold, and whether they are
     those of its article or main elements: these if they hold at least half of
     the score, else all blocks that are text rather than links."""
-    inside = [b for b in page if any(step.split(".")[0] in ("article", "main") for step in b[0])]
-    if inside and 2 * sum(s for _, _, s in inside) >= sum(s for _, _, s in page):
+    inside = [x for x in page.blocks if page.article[x[0]]]
+    if inside and 2 * sum(s for _, _, s in inside) >= sum(s for _, _, s in page.blocks):
         return inside, True
-    return [b for b in page if 2 * b[2] >= len(b[1])] or page, False
+    return [x for x in page.blocks if 2 * x[2] >= len(x[1])] or page.blocks, False
 
 
-def best_path(page: list[tuple[tuple[str, ...], str, float]]) -> str:
-    """The deepest container path that holds all the wanted blocks."""
-    paths = [path for path, _, _ in wanted(page)[0]]
-    low, high = min(paths, default=()), max(paths, default=())
-    return "/".join(low[:next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))])
+def _own(page: Page, need: list[tuple[int, str, float]]) -> int:
+    """The deepest path that holds all the blocks."""
+    held = [0] * len(page.parent)
+    for v, _, _ in need:
+        held[v] += 1
+    for v in range(len(held) - 1, 0, -1):
+        held[page.parent[v]] += held[v]
+    return max((v for v, k in enumerate(held) if k == len(need)), default=0) if need else 0
 
 
-def _under(page: list[tuple[tuple[str, ...], str, float]], want: str) -> list[tuple[tuple[str, ...], str, float]]:
-    steps = tuple(want.split("/")) if want else ()
-    return [b for b in page if b[0][:len(steps)] == steps]
+def best_path(page: Page) -> str:
+    """The deepest container path that holds all the wanted blocks."""
+    return page.path(_own(page, wanted(page)[0]))
 
 
-def choose(page: list[tuple[tuple[str, ...], str, float]], winners: list[str] | None) -> str:
-    """The winning path that holds most of the score of the page's wanted
+def choose(page: Page, winners: list[str] | None, major: str | None = None) -> int:
+    """The path ``major`` that most of the host's pages vote for, if the page has
+    no article and more than half of its wanted score stands there.  Else the
+    winning path that holds most of the score of the page's wanted
     blocks, the most voted one of equals; the page's own vote if none holds
     more than half.  Of an article every block must be held, and the path must
     lie in it unless the page's own vote lies above it too."""
-    own = best_path(page)
     need, article = wanted(page)
-    inside = lambda p: any(step.split(".")[0] in ("article", "main") for step in p.split("/"))
+    own = _own(page, need)
     total = sum(s for _, _, s in need)
     best, most = own, 0.5 * total
-    for want in winners or []:
-        held = sum(s for _, _, s in _under(need, want))
-        if held > most and not (article and (held < total or inside(want) != inside(own))):
-            best, most = want, held
+    if major is not None and not article:
+        v = page.find(major)
+        if sum(s for _, _, s in page.under(v, need)) > most:
+            return v
+    for v in map(page.find, winners or []):
+        held = sum(s for _, _, s in page.under(v, need))
+        if held > most and not (article and (held < total or page.article[v] != page.article[own])):
+            best, most = v, held
     return best
 
 
-def extract(html: str | None, winners: list[str] | None) -> str:
+def extract(html: str | None, winners: list[str] | None, major: str | None = None) -> str:
     page = blocks(html)
-    return " ".join(text for _, text, _ in _under(page, choose(page, winners))) if page else ""
+    return " ".join(text for _, text, _ in page.under(choose(page, winners, major), page.blocks)) if page.blocks else ""
+
 
+def extract_main_text(pages: DataFrame, min_share: float = 0.05, min_votes: int = 4, id_col: str = "page_id",
+                      url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(page_id, url, host, text, n_chars) for every page.
 
-def extract_main_text(pages: DataFrame, min_share: float = 0.05, id_col: str = "page_id", url_col: str = "url",
-                      html_col: str = "html") -> DataFrame:
-    """(page_id, url, host, text, n_chars) for every page."""
+    A path with more than half of a host's votes, and at least ``min_votes`` of
+    them, overrules the own vote of the host's pages without an article.
+    """
     host, _ = host_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"),
                         F.col(html_col).alias("html"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = [None if not (page := blocks(h.as_py())) else best_path(page) for h in batch.column(1)]
+            paths = [None if not (page := blocks(h.as_py())).blocks else best_path(page) for h in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, type=pa.string())],
                                              names=["host", "path"])
 
@@ -255,20 +367,22 @@ def extract_main_text(pages: DataFrame, min_share: float = 0.05, id_col: str = "
              .where("path is not null").groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")))
     total = votes.groupBy("host").agg(F.sum("n").alias("total"))
     winners = (votes.join(total, "host").where(F.col("n") >= min_share * F.col("total")).groupBy("host")
-               .agg(F.sort_array(F.collect_list(F.struct("n", "path")), asc=False)["path"].alias("winners")))
+               .agg(F.sort_array(F.collect_list(F.struct("n", "path")), asc=False)["path"].alias("winners"),
+                    F.max(F.when((2 * F.col("n") > F.col("total")) & (F.col("n") >= min_votes), F.col("path")))
+                    .alias("major")))
     winners = written(winners, "html-winners")
 
     id_type = rows.schema["page_id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            html, known = batch.column(3), batch.column(4)
+            html, known, major = (batch.column(i) for i in (3, 4, 5))
             for a, b in text_chunks([h.as_py() for h in html]) if len(html) else ():
-                texts = [extract(html[i].as_py(), known[i].as_py()) for i in range(a, b)]
+                texts = [extract(html[i].as_py(), known[i].as_py(), major[i].as_py()) for i in range(a, b)]
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(i).slice(a, b - a) for i in range(3)], pa.array(texts, type=pa.string())],
                     names=["page_id", "url", "host", "text"])
 
-    joined = rows.join(winners, "host", "left").select("page_id", "url", "host", "html", "winners")
+    joined = rows.join(winners, "host", "left").select("page_id", "url", "host", "html", "winners", "major")
     return (joined.mapInArrow(read, f"page_id {id_type}, url string, host string, text string")
             .withColumn("n_chars", F.length("text").cast("long")))
