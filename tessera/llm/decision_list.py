@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES, HashCache, ngram_hashes, word_hashes
+from tessera.llm.common import SPACES, HashCache, ngram_hashes, word_hashes, written
 from tessera.session import materialize
 
 SYMBOLS = b"#*$%&|<>"
@@ -182,6 +182,22 @@ def decision_list(rules: list[list[Test]]) -> Column:
     return out
 
 
+def first_by_hash(rows: DataFrame, hashed: str, ties: list[str], k: int) -> DataFrame:
+    """The first ``k`` rows by a 64-bit hash, then by ``ties``.
+
+    Only rows under a bound taken from the row count are sorted, so tasks send
+    about ``k`` rows in all, not ``k`` each; the bound is raised until it holds ``k``.
+    """
+    total = rows.count()
+    share = min(1.0, 1.25 * k / max(total, 1))
+    while share < 1.0:
+        below = rows.where(F.col(hashed) < int(-2 ** 63 + share * 2 ** 64))
+        if below.count() >= k:
+            return below.orderBy(hashed, *ties).limit(k)
+        share = min(1.0, 2 * share)
+    return rows.orderBy(hashed, *ties).limit(k)
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_dup_percent: int = 50,
                   min_words: int = 50, **learner) -> tuple[DataFrame, list[list[Test]]]:
     """(counts with base_failed, rule and kept, the learned list).
@@ -192,9 +208,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000,
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_dup_percent * F.col("n_words"))
     marked = (labels.where("doc_id is not null and quality is not null")
               .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    sample = (counts.where(~base).join(marked, "doc_id")
-              .select("quality", "doc_id", *[ratio(r).cast("double").alias(r) for r in RATIOS])
-              .orderBy(F.xxhash64("doc_id"), "doc_id", *RATIOS).limit(sample_rows).toPandas())
+    rows = written(counts.where(~base).join(marked, "doc_id")
+                   .select("quality", "doc_id", *[ratio(r).cast("double").alias(r) for r in RATIOS],
+                           F.xxhash64("doc_id").alias("_h")), "rule-sample")
+    sample = first_by_hash(rows, "_h", ["doc_id", *RATIOS], sample_rows).toPandas()
     bad = (sample["quality"].to_numpy() == 0)
     x = {r: sample[r].to_numpy() for r in RATIOS}
     rules = learn_list(x, bad, **learner) if 0 < bad.sum() < len(bad) else []
