@@ -193,12 +193,14 @@ def q_cv_summary(spark, sf_dir):
     return _rnd(cv.select("experiment", "cv_mean", "cv_std", F.size("cv_scores").alias("n_folds")), "cv_mean", "cv_std")
 
 
-def coefficient_table(spark, sf_dir, spec=fe.WORD_1_2) -> DataFrame:
+def coefficient_table(spark, sf_dir, spec=fe.WORD_1_2, split: str | None = "train") -> DataFrame:
     """Smoothed log-odds weight of every vocabulary term (presence in
-    positive vs negative documents of the train split): a data-derived stand-in for a
-    fitted model's coefficients, computed as the log of one integer ratio so
-    equal ratios tie exactly."""
-    corpus = labelled_docs(spark, sf_dir).where(F.col("split") == "train")
+    positive vs negative documents of ``split``, None: of all labelled ones): a
+    data-derived stand-in for a fitted model's coefficients, computed as the log
+    of one integer ratio so equal ratios tie exactly."""
+    corpus = labelled_docs(spark, sf_dir)
+    if split is not None:
+        corpus = corpus.where(F.col("split") == split)
     norm = corpus.select("doc_id", "label", tx.normalize_text("text").alias("text"))
     counts = fe.term_counts(norm, spec)
     n_docs, n_pos = norm.agg(F.count(F.lit(1)), F.sum("label")).first()
@@ -217,7 +219,8 @@ def q_top_features(spark, sf_dir):
 
 
 def q_top_abs_features(spark, sf_dir):
-    return _rnd(rp.top_abs_features(coefficient_table(spark, sf_dir)), "weight", "abs_weight")
+    """Largest |weight| over the whole labelled corpus, all three splits."""
+    return _rnd(rp.top_abs_features(coefficient_table(spark, sf_dir, split=None)), "weight", "abs_weight")
 
 
 def q_feature_select(spark, sf_dir):
@@ -373,9 +376,12 @@ V2_ORDER = ("ORDER BY val_macro_f1 DESC NULLS LAST, cv_mean DESC NULLS LAST, "
 LOGITS = f"""lg AS (SELECT doc_id, [{S.hash_uniform("'l0:' || CAST(doc_id AS VARCHAR)")} * 4.0::DOUBLE - 2.0::DOUBLE,
                      {S.hash_uniform("'l1:' || CAST(doc_id AS VARCHAR)")} * 4.0::DOUBLE - 2.0::DOUBLE] AS logits FROM documents)"""
 
-COEF = f"""
+
+def coef_sql(where: str = "") -> str:
+    """CTEs up to ``coef``, the weights of the labelled documents that ``where`` keeps."""
+    return f"""
 WITH ld AS ({LABELLED_SQL}),
-nd AS (SELECT doc_id, label, {S.normalize('text')} AS text FROM ld WHERE split = 'train'),
+nd AS (SELECT doc_id, label, {S.normalize('text')} AS text FROM ld{where}),
 counts AS (SELECT doc_id, term, count(*) AS tf FROM ({S.word_ngram_rows('nd', 'text', 1, 2)}) GROUP BY doc_id, term),
 stats AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM counts GROUP BY term HAVING count(*) >= 2),
 top AS (SELECT * FROM stats ORDER BY cf DESC, term ASC LIMIT 8000),
@@ -386,6 +392,9 @@ per AS (SELECT term, idx, sum(label) AS p, sum(1 - label) AS n FROM counts JOIN
 coef AS (SELECT term AS feature, idx, ln(((p + 1.0::DOUBLE) * CAST(tot.n_docs - tot.n_pos + 2 AS DOUBLE))
                 / ((n + 1.0::DOUBLE) * CAST(tot.n_pos + 2 AS DOUBLE))) AS weight FROM per, tot)"""
 
+
+COEF = coef_sql(" WHERE split = 'train'")
+
 ORACLE = {
     "confusion_matrix": f"{BASE} SELECT experiment, split, true_label, pred_label, n FROM a_cells",
     "classification_report": f"""{BASE},
@@ -486,7 +495,7 @@ ORACLE = {
         (SELECT feature, round(weight, {R}) AS weight, 'hate' AS class FROM coef ORDER BY weight DESC, feature ASC LIMIT 15)
         UNION ALL
         (SELECT feature, round(weight, {R}) AS weight, 'non_hate' AS class FROM coef ORDER BY weight ASC, feature ASC LIMIT 15)""",
-    "top_abs_features": f"""{COEF} SELECT feature, round(weight, {R}) AS weight, round(abs(weight), {R}) AS abs_weight
+    "top_abs_features": f"""{coef_sql()} SELECT feature, round(weight, {R}) AS weight, round(abs(weight), {R}) AS abs_weight
         FROM coef ORDER BY abs(weight) DESC, feature ASC LIMIT 12""",
     "feature_select": f"""{COEF}, med AS (SELECT quantile_cont(abs(weight), 0.5) AS m FROM coef)
         SELECT feature, idx, CAST(row_number() OVER (ORDER BY idx) - 1 AS INTEGER) AS new_idx, round(weight, {R}) AS weight
