@@ -13,16 +13,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import sigmoid
 from tessera.operators import features as fe
+from tessera.operators import grams as gr
 from tessera.operators.vocab import doc_terms, family, widest
 from tessera.session import stored
 
-#: A cube estimated at up to this many bytes gets a broadcast hint; the join of
-#: a larger one is left to Catalyst/AQE.
+#: A cube estimated at up to this many bytes goes to the tasks as arrays; the join
+#: of a larger one is left to Catalyst/AQE.
 BROADCAST_CUBE_BYTES = 256 << 20
 
 
@@ -64,19 +67,9 @@ def cube_scores(docs: DataFrame, cube: DataFrame, specs: Sequence[fe.VectorizerS
     cube = stored(cube, "cube")
     width = 64 + len(slots) * (16 + 8 * (len(specs) + len(blocks)))
     if cube.count() * width <= BROADCAST_CUBE_BYTES:
-        cube = F.broadcast(cube)
-    rows = None
-    for wide, _ in widest(specs):
-        part = doc_terms(docs, wide, ["slots"]).select(F.lit(family(wide)).alias("family"), "*")
-        rows = part if rows is None else rows.unionByName(part)
-    place = F.array_position(F.array(*[F.lit(s) for s in slots]), F.col("slot")).cast("int")
-    met = (rows.join(cube, ["family", "term"])
-           .select("row.doc_id", F.explode("row.slots").alias("slot"), (1.0 + F.log(F.col("tf").cast("double"))).alias("tf"), "cells")
-           .select("doc_id", "slot", "tf", F.element_at("cells", place).alias("c")))
-    raw = [F.col("tf") * F.col("c.idf")[v] for v in range(len(specs))]
-    sums = [F.sum(x * x).alias(f"n{v}") for v, x in enumerate(raw)]
-    sums += [F.sum(raw[v] * F.col("c.w")[b]).alias(f"d{b}") for b, (_, v) in enumerate(blocks)]
-    sums = met.groupBy("doc_id", "slot").agg(*sums)
+        sums = _sums_in_tasks(docs, cube, specs, blocks, slots)
+    else:
+        sums = _sums_by_join(docs, cube, specs, blocks, slots)
     base = docs.select("doc_id", *keep, F.explode("slots").alias("slot"))
     j = base.join(sums, ["doc_id", "slot"], "left")
     models = []
@@ -91,3 +84,41 @@ def cube_scores(docs: DataFrame, cube: DataFrame, specs: Sequence[fe.VectorizerS
     out = j.select("doc_id", "slot", *keep, F.explode(F.array(*models)).alias("m"))
     return out.select("m.experiment", "slot", "doc_id", *keep, "m.score", sigmoid("m.score").alias("prob"),
                       (F.col("m.score") > 0).cast("int").alias("prediction"))
+
+
+def _totals(rows: DataFrame, specs, blocks, norm, dot) -> DataFrame:
+    """One row for each document and slot: n.. (squared norms), d.. (dot products)."""
+    return rows.groupBy("doc_id", "slot").agg(*[F.sum(norm(v)).alias(f"n{v}") for v in range(len(specs))],
+                                              *[F.sum(dot(b)).alias(f"d{b}") for b in range(len(blocks))])
+
+
+def _sums_in_tasks(docs: DataFrame, cube: DataFrame, specs, blocks, slots) -> DataFrame:
+    """A cube of bounded size goes to the tasks as arrays; what leaves them is a
+    few sums for each document, slot and family."""
+    parts = None
+    for wide, at in widest(specs):
+        own = cube.where(F.col("family") == family(wide)).orderBy("term").toArrow()
+        cells = own["cells"].combine_chunks().flatten()
+
+        def numbers(name: str, many: int, cells=cells, rows=own.num_rows) -> np.ndarray:
+            x = cells.field(name).flatten().to_numpy(zero_copy_only=False)
+            return np.nan_to_num(x.astype(float)).reshape(rows, len(slots), many)
+
+        part = gr.cube_sums(docs, wide, own["term"].combine_chunks().cast(pa.string()), numbers("idf", len(specs)),
+                            numbers("w", len(blocks)), slots, [v for _, v in blocks], at,
+                            [b for b, (_, v) in enumerate(blocks) if v in at])
+        parts = part if parts is None else parts.unionByName(part)
+    return _totals(parts, specs, blocks, lambda v: F.col(f"n{v}"), lambda b: F.col(f"d{b}"))
+
+
+def _sums_by_join(docs: DataFrame, cube: DataFrame, specs, blocks, slots) -> DataFrame:
+    rows = None
+    for wide, _ in widest(specs):
+        part = doc_terms(docs, wide, ["slots"]).select(F.lit(family(wide)).alias("family"), "*")
+        rows = part if rows is None else rows.unionByName(part)
+    place = F.array_position(F.array(*[F.lit(s) for s in slots]), F.col("slot")).cast("int")
+    met = (rows.join(cube, ["family", "term"])
+           .select("row.doc_id", F.explode("row.slots").alias("slot"), (1.0 + F.log(F.col("tf").cast("double"))).alias("tf"), "cells")
+           .select("doc_id", "slot", "tf", F.element_at("cells", place).alias("c")))
+    raw = [F.col("tf") * F.col("c.idf")[v] for v in range(len(specs))]
+    return _totals(met, specs, blocks, lambda v: raw[v] * raw[v], lambda b: raw[blocks[b][1]] * F.col("c.w")[b])

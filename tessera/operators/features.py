@@ -31,6 +31,7 @@ from tessera.functions.tokens import (
     word_gram_count,
     word_tokens,
 )
+from tessera.operators import grams as gr
 from tessera.operators.ranks import dense_index
 from tessera.session import stored
 
@@ -103,15 +104,27 @@ def _char_rows(parted: DataFrame, spec: VectorizerSpec, text_col: str, key: str)
 def term_counts(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
                 key: str = "doc_id", num_partitions: int | None = None) -> DataFrame:
     """(doc_id, term, tf) for every distinct term of every document."""
+    if not isinstance(docs.schema[key].dataType, T.StructType):
+        return gr.gram_counts(docs, spec, text_col, key, num_partitions)
     rows = gram_rows(docs, spec, text_col, key, num_partitions)
     return rows.groupBy(key, "term").agg(F.sum("n").alias("tf"))
 
 
 def fit_vocab(counts: DataFrame, n_docs: int, spec: VectorizerSpec) -> DataFrame:
     """vocab(term, idx, df, cf, idf) from a term-count table."""
-    stats = (counts.groupBy("term")
-             .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-             .where(F.col("df") >= spec.min_df))
+    return cut_vocab(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")), n_docs, spec)
+
+
+def vocab_of(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text", key: str = "doc_id") -> DataFrame:
+    """``fit_vocab`` straight from the documents: a task hands on a term's sums over
+    some hundred documents, not a row for every document that holds it."""
+    stats = gr.gram_stats(docs, spec, text_col=text_col, key=key).groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    return cut_vocab(stats, docs.select(key).count(), spec)
+
+
+def cut_vocab(stats: DataFrame, n_docs: int, spec: VectorizerSpec) -> DataFrame:
+    """vocab(term, idx, df, cf, idf) from (term, df, cf)."""
+    stats = stats.where(F.col("df") >= spec.min_df)
     if spec.max_features is not None:
         # TakeOrderedAndProject: per-partition top-n, then one merge of n rows.
         stats = stats.orderBy(F.desc("cf"), F.asc("term")).limit(spec.max_features)
@@ -138,7 +151,9 @@ def fit_transform(docs: DataFrame, spec: VectorizerSpec, text_col: str = "text",
     the explode, so only known terms are counted per document.
     """
     fit_docs = docs if fit_on is None else docs.join(fit_on.select(key), key, "left_semi")
-    vocab = fit_vocab(term_counts(fit_docs, spec, text_col, key), fit_docs.count(), spec)
+    vocab = vocab_of(fit_docs, spec, text_col, key)
+    if capped(spec):
+        vocab = stored(vocab, "vocab")  # the transform reads it here and now
     return vocab, transform(docs, vocab, spec, text_col, key, idx_offset)
 
 
@@ -173,16 +188,23 @@ def transform(docs: DataFrame, vocab: DataFrame, spec: VectorizerSpec, text_col:
               key: str = "doc_id", idx_offset: int = 0) -> DataFrame:
     """``tfidf_long`` straight from the documents.
 
-    With a capped vocabulary the n-grams meet it before they are counted; an
-    uncapped one may be too large to broadcast, so there the counts (fewer
-    rows than the n-grams) go into the join.
+    A capped vocabulary goes to the tasks, which look its terms up while they
+    count; an uncapped one may be too large for that, so there the counts go into
+    a join.
     """
-    if spec.max_features is None:
+    if not capped(spec):
         return tfidf_long(term_counts(docs, spec, text_col, key), vocab, spec, key, idx_offset)
-    v = bounded_broadcast(vocab.select("term", "idx", "idf"), spec.max_features)
-    known = (gram_rows(docs, spec, text_col, key).join(v, "term")
-             .groupBy(key, "idx", "idf").agg(F.sum("n").alias("tf")))
-    return _weigh(known, spec, key, idx_offset)
+    return gr.tfidf_entries(docs, vocab_arrays(vocab, spec), text_col, key, idx_offset)
+
+
+def capped(*specs: VectorizerSpec) -> bool:
+    """Whether the vocabularies have a bound that lets them go to every task."""
+    return all(s.max_features is not None for s in specs) and sum(s.max_features for s in specs) <= BROADCAST_VOCAB_MAX
+
+
+def vocab_arrays(vocab: DataFrame, spec: VectorizerSpec) -> gr.Vocabulary:
+    """A capped vocabulary (term, idx, idf) as arrays."""
+    return gr.vocabulary(spec, vocab.select("term", "idx", "idf").toArrow())
 
 
 def sparse_vector(size: int, indices: Column, values: Column) -> Column:

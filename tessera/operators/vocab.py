@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import features as fe
+from tessera.operators import grams as gr
 from tessera.operators.ranks import dense_index, group_top
 
 
@@ -57,12 +58,11 @@ def fold_stats(docs: DataFrame, spec: fe.VectorizerSpec, folds: int = 0) -> Data
     """(term, df, cf, pos): arrays with one entry per fold (one entry in all if
     ``folds`` is 0) from ``docs`` (doc_id, text, fold, label)."""
     slots = max(folds, 1)
-    fold = F.col("row.fold") if folds else F.lit(0)
-    aggs = []
-    for name, value in (("df", F.lit(1)), ("cf", F.col("tf")), ("pos", F.col("row.label"))):
-        aggs += [F.coalesce(F.sum(F.when(fold == f, value.cast("long"))), F.lit(0)).alias(f"{name}{f}") for f in range(slots)]
-    carry = ["fold", "label"] if folds else ["label"]
-    flat = doc_terms(docs, spec, carry).groupBy("term").agg(*aggs)
+    parts = gr.gram_stats(docs, spec, ["fold"] if folds else [], "label")
+    fold = F.col("fold") if folds else F.lit(0)
+    aggs = [F.coalesce(F.sum(F.when(fold == f, F.col(name))), F.lit(0)).alias(f"{name}{f}")
+            for name in ("df", "cf", "pos") for f in range(slots)]
+    flat = parts.groupBy("term").agg(*aggs)
     return flat.select("term", *[F.array(*[F.col(f"{n}{f}") for f in range(slots)]).alias(n) for n in ("df", "cf", "pos")])
 
 

@@ -20,6 +20,7 @@ from tessera.functions.text import normalize_text
 from tessera.operators import ensemble as en
 from tessera.operators import evaluate as ev
 from tessera.operators import features as fe
+from tessera.operators import grams as gr
 from tessera.operators import models as mo
 from tessera.operators import report as rp
 from tessera.operators import validate as va
@@ -129,8 +130,9 @@ def run_grid(corpus: DataFrame, experiments: Sequence[Experiment], k: int = 5, r
     """Fit, cross-validate, score and evaluate every experiment; ``corpus``
     carries doc_id, text (already preprocessed), label, split.
 
-    All vocabularies come from one pass over the training texts, all training
-    vectors from a second, all scores (every model, every fold) from a third.
+    All vocabularies come from one pass over the training texts for each kind, the
+    training vectors from one for each set of vocabularies, all scores (every
+    model, every fold) from one more for each kind.
     Only the fits are one Spark job chain each; they are submitted concurrently,
     ``parallelism`` at a time.  Folds share the vocabularies and selectors of the
     whole train split, as in the reference; with ``refit_per_fold`` each fold has
@@ -139,17 +141,25 @@ def run_grid(corpus: DataFrame, experiments: Sequence[Experiment], k: int = 5, r
     from concurrent.futures import ThreadPoolExecutor
 
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     spark = corpus.sparkSession
     specs = list(dict.fromkeys(v for e in experiments for v in e.vectorizers))
     slots = [-1, *range(k)] if any(e.cv for e in experiments) else [-1]
     fitted_slots = slots if refit_per_fold else [-1]
-    train = corpus.where(F.col("split") == "train")
-    folds = va.stratified_folds(train, k=k).select("doc_id", "fold")
-    train = train.join(folds, "doc_id")
+    folds = va.stratified_folds(corpus.where(F.col("split") == "train"), k=k).select("doc_id", "fold")
+    # every pass below reads the preprocessed texts with their folds
+    corpus = stored(corpus.select("doc_id", "text", "label", "split").join(folds, "doc_id", "left"), "grid-corpus")
+    train = corpus.where((F.col("split") == "train") & F.col("fold").isNotNull())
     vocabs = stored(vo.fit_vocabs(train, specs, k, refit_per_fold), "grid-vocabs")
     sizes = {(r.variant, r.slot): r.n for r in vocabs.groupBy("variant", "slot").agg(F.count(F.lit(1)).alias("n")).collect()}
-    long = stored(vo.tfidf_many(train, vocabs, specs, refit_per_fold), "grid-tfidf")
+    arrays = None
+    if fe.capped(*specs):
+        table = vocabs.select("variant", "slot", "term", "idx", "idf").toArrow()
+        arrays = {(v, slot): gr.vocabulary(specs[v], table.filter((pc.field("variant") == v) & (pc.field("slot") == slot)))
+                  for v in range(len(specs)) for slot in fitted_slots}
+    else:
+        long = stored(vo.tfidf_many(train, vocabs, specs, refit_per_fold), "grid-tfidf")
 
     def columns(exp: Experiment, slot: int) -> list[tuple[int, int, int]]:
         """(variant, offset, size) of the blocks of an experiment in a fitted slot."""
@@ -166,10 +176,15 @@ def run_grid(corpus: DataFrame, experiments: Sequence[Experiment], k: int = 5, r
                 key = (exp.vectorizers, slot, penalised)
                 if key not in vectors:
                     at = columns(exp, slot)
+                    docs = train.where(F.col("fold") != slot) if slot >= 0 else train
+                    if arrays is not None:
+                        packed = mo.packed_rows(docs, [(arrays[v, slot], o) for v, o, _ in at], ("label", "split", "fold"))
+                        fs = mo.FeatureSet(None, docs, sum(n for _, _, n in at), [], packed)
+                        vectors[key] = mo.design(fs, penalised, penalised)
+                        continue
                     offset = F.create_map(*[x for v, o, _ in at for x in (F.lit(v), F.lit(o))])
                     part = (long.where(F.col("variant").isin([v for v, _, _ in at]) & (F.col("slot") == slot))
                             .select("doc_id", (F.col("idx") + offset[F.col("variant")]).alias("idx"), "value"))
-                    docs = train.where(F.col("fold") != slot) if slot >= 0 else train
                     fs = mo.FeatureSet(part, docs.select("doc_id", "label", "split", "fold"), sum(n for _, _, n in at), [])
                     vectors[key] = mo.design(fs, penalised, penalised)
 
@@ -213,7 +228,7 @@ def run_grid(corpus: DataFrame, experiments: Sequence[Experiment], k: int = 5, r
              .select("block", "slot", "term", "weight", "idx"))
     named = stored(named, "grid-weights")
     cube = weight_cube(vocabs, named, specs, blocks, slots)
-    docs = corpus.join(folds, "doc_id", "left").withColumn(
+    docs = corpus.withColumn(
         "slots", F.array_compact(F.array(F.lit(-1), F.when(F.lit(len(slots) > 1), F.col("fold")))))
     scored = stored(cube_scores(docs, cube, specs, blocks, slots, {key: m.intercept for key, m in done.items()}), "grid-scores")
     preds = scored.where("slot = -1").drop("slot")

@@ -104,9 +104,7 @@ def q_char_ngrams(spark, sf_dir):
 
 def _vocab_query(spark, sf_dir, spec):
     d = _norm_docs(spark, sf_dir)
-    counts = fe.term_counts(d, spec)
-    n = d.count()
-    v = fe.fit_vocab(counts, n, spec)
+    v = fe.vocab_of(d, spec)
     return v.select("term", "idx", "df", "cf", F.round("idf", R).alias("idf"))
 
 
