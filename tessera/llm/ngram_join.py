@@ -129,30 +129,19 @@ def _binary(s: np.ndarray) -> bytes:
 def only_wanted(rows: DataFrame, want: DataFrame) -> DataFrame:
     """The ``rows`` (doc_id, text) whose id may be among ``want``: a bitmap of
     fixed size, by the ids' hashes, spares the others the shuffle of a join.
-    It never drops a wanted row; ids that share a bit pass to the join."""
-    spark = rows.sparkSession
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("place")
-    width = 1 << (FILTER_BITS - 6)  # bits of a slice
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(width, dtype=np.uint8)
-        bits[pdf["place"].to_numpy() % width] = 1
-        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
-
-    slices = (want.select(place).distinct().withColumn("slice", (F.col("place") / width).cast("int"))
-              .groupBy("slice").applyInPandas(pack, "slice int, bits binary").collect())  # of fixed size
-    bitmap = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
-    for r in slices:
-        bitmap[r["slice"] * (width // 8):(r["slice"] + 1) * (width // 8)] = np.frombuffer(r.bits, dtype=np.uint8)
-    shared = spark.sparkContext.broadcast(bitmap)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(2).to_numpy()
-            hit = (shared.value[at // 8] >> (7 - at % 8).astype(np.uint8)) & 1
-            yield batch.select([0, 1]).filter(pa.array(hit.astype(bool)))
-
-    return rows.select("doc_id", "text", place).mapInArrow(run, "doc_id long, text string")
+    It never drops a wanted row; ids that share a bit pass to the join.
+
+    The bitmap is made and read by Spark's own functions: where the join after it
+    is broadcast, the task that reads the texts goes on to Python, and a Python
+    step here would give each such task two Python workers, which then stay.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    part, bit = F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit")
+    bits = want.select(part, bit).repartition("part").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))
+    known = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(F.pow(F.lit(2), F.col("bit") % 8).cast("int")) != 0
+    return (rows.select("doc_id", "text", part, bit).join(F.broadcast(bits), "part")  # 2049 rows of 4 KB at most
+            .where(known).select("doc_id", "text"))
 
 
 def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, max_match: int = 3,
